@@ -54,27 +54,32 @@ def _kind(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.typeName()
 
 
+def _number(df: DataFrame, name: str) -> Column:
+    """Column as a number; text is parsed strictly."""
+
+    return parse_number(F.col(name)) if _kind(df, name) == "string" else F.col(name)
+
+
 def _numeric(df: DataFrame, name: str) -> Column:
-    """Column as a number: NaN is missing, text is parsed strictly."""
+    """Column as a number with NaN as missing."""
 
-    if _kind(df, name) == "string":
-        return missing_to_null(parse_number(F.col(name)), "double")
-    return missing_to_null(F.col(name), _kind(df, name))
+    kind = _kind(df, name)
+    return missing_to_null(_number(df, name), "double" if kind == "string" else kind)
 
 
 def _rejects(df: DataFrame, name: str, accepted: Column) -> Column:
     """True where a value is present (neither NULL nor NaN) and not accepted."""
 
-    present = F.col(name).isNotNull()
+    bad = F.col(name).isNotNull() & ~F.coalesce(accepted, F.lit(False))
     if _kind(df, name) in FLOATING_TYPES:
-        present = present & ~F.isnan(F.col(name))
-    return present & ~F.coalesce(accepted, F.lit(False))
+        bad = bad & ~F.isnan(F.col(name))
+    return bad
 
 
 def integer_rule(df: DataFrame, name: str, minimum: int, maximum: int, stored: str) -> tuple[Column, Check]:
     """Whole number within a closed range."""
 
-    value = _numeric(df, name)
+    value = _number(df, name)
     low, high = (F.lit(str(limit)).cast("decimal(20,0)") for limit in (minimum, maximum))
     accepted = value.between(low, high)
     if _kind(df, name) not in INTEGER_TYPES:
@@ -85,15 +90,15 @@ def integer_rule(df: DataFrame, name: str, minimum: int, maximum: int, stored: s
         if minimum == 0
         else f"must contain whole values between {minimum} and {maximum}"
     )
-    return value.try_cast(stored), Check(name, problem, _rejects(df, name, accepted))
+    return _numeric(df, name).try_cast(stored), Check(name, problem, _rejects(df, name, accepted))
 
 
 def decimal_rule(df: DataFrame, name: str, minimum: str, maximum: str, stored: str) -> tuple[Column, Check]:
     """Six-decimal fixed point, rounded half-even, within a closed range."""
 
-    value = missing_to_null(F.col(name), _kind(df, name))
-    rounded = quantize_half_even(value)
-    accepted = rounded.between(F.lit(minimum).cast("decimal(20,6)"), F.lit(maximum).cast("decimal(20,6)"))
+    value = F.col(name)
+    rounded = quantize_half_even(missing_to_null(value, _kind(df, name)))
+    accepted = quantize_half_even(value).between(F.lit(minimum).cast("decimal(20,6)"), F.lit(maximum).cast("decimal(20,6)"))
     if _kind(df, name) in (*FLOATING_TYPES, *INTEGER_TYPES):
         # Rounding cannot carry a value this far inside the range out of it, so
         # ordinary values skip the exact decimal test.
@@ -114,7 +119,7 @@ def domain_rule(df: DataFrame, name: str, allowed: Iterable[str]) -> tuple[Colum
 
 
 def flag_rule(df: DataFrame, name: str) -> Check:
-    accepted = _numeric(df, name).isin(0, 1)
+    accepted = _number(df, name).isin(0, 1)
     return Check(name, "must contain only documented 0/1 flag values", _rejects(df, name, accepted))
 
 
@@ -167,7 +172,11 @@ def valid_rows(normalized: Normalized) -> DataFrame:
 
 
 def violation_rows(normalized: Normalized, keys: Iterable[str] = ()) -> DataFrame:
-    """One row per violation: key columns, column_name, problem, value."""
+    """One row per violation: key columns, column_name, problem, value.
+
+    Every check yields a struct or NULL and the NULLs are dropped after the
+    explode, so each check is evaluated once and nothing is filtered twice.
+    """
 
     found = F.array(
         *[
@@ -183,8 +192,7 @@ def violation_rows(normalized: Normalized, keys: Iterable[str] = ()) -> DataFram
         ]
     )
     return (
-        normalized.source.where(normalized.any_bad())
-        .select(*keys, F.explode(found).alias("v"))
+        normalized.source.select(*keys, F.explode(found).alias("v"))
         .where(F.col("v").isNotNull())
         .select(*keys, "v.column_name", "v.problem", "v.value")
     )
