@@ -6,11 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The accepted spelling of a number in a text field.
-FINITE_NUMBER = (
-    r"^[+-]?((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
+NUMBER = (
+    r"(?i)^\s*[+-]?(((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?|inf(inity)?)\s*$"
 )
-INFINITE_NUMBER = r"(?i)^[+-]?inf(inity)?$"
-NOT_A_NUMBER = r"(?i)^[+-]?nan$"
+NOT_A_NUMBER = r"(?i)^\s*[+-]?nan\s*$"
 
 # Binary size units.
 KIB = 1024
@@ -28,16 +27,12 @@ def parse_number(text: Column) -> Column:
     """Text to double; NULL where the text is not a number.
 
     A bare cast is too lenient (it takes ``1d``), so the spelling is checked
-    first. ``inf`` and ``nan`` are numbers here; callers that need finite
-    values test with :func:`is_finite`.
+    first. Infinities and NaN are numbers here; callers that need finite values
+    test with :func:`is_finite`.
     """
 
-    field = strip(text)
-    return (
-        F.when(field.rlike(FINITE_NUMBER), F.replace(field, F.lit("_"), F.lit("")).try_cast("double"))
-        .when(field.rlike(NOT_A_NUMBER), F.lit(float("nan")))
-        .when(field.rlike(INFINITE_NUMBER) & field.startswith("-"), F.lit(float("-inf")))
-        .when(field.rlike(INFINITE_NUMBER), F.lit(float("inf")))
+    return F.when(text.rlike(NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double")).when(
+        text.rlike(NOT_A_NUMBER), F.lit(float("nan"))
     )
 
 
@@ -45,23 +40,41 @@ def is_finite(value: Column) -> Column:
     return ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
 
 
-def missing_to_null(value: Column, type_name: str) -> Column:
-    """Treat NaN as missing in floating columns; other types pass through."""
+def missing_to_null(value: Column, type_name: str, of: Column | None = None) -> Column:
+    """Treat NaN as missing in floating columns; other types pass through.
+
+    ``of`` names the raw column when ``value`` is computed from it.
+    """
 
     if type_name in ("float", "double"):
-        return F.when(~F.isnan(value), value)
+        return F.when(~F.isnan(value if of is None else of), value)
     return value
 
 
-def quantize_half_even(value: Column, scale: int = 6) -> Column:
-    """Round half-even to ``scale`` decimals through the value's decimal text.
+def quantize_half_even(value: Column, type_name: str, stored: str = "decimal(19,6)") -> Column:
+    """Round half-even to six decimals through the value's decimal text.
 
     The text form drops binary artefacts (a float 0.1 stays 0.1). 25 fraction
     digits hold every digit a double prints next to a 6-decimal tie, and 13
     integer digits cover the widest target; larger values become NULL.
+
+    Rounding through 38 digits is slow, and it matters only next to a tie. A
+    floating value whose scaled fraction stays clear of one half by more than
+    the arithmetic error rounds the same way under a plain decimal cast, so
+    ordinary values take that path.
     """
 
-    return F.bround(value.cast("string").try_cast("decimal(38,25)"), scale)
+    if type_name == "float":
+        value = value.cast("string").cast("double")
+    exact = F.bround(value.cast("string").try_cast("decimal(38,25)"), 6).try_cast(stored)
+    if type_name not in ("float", "double"):
+        return exact
+    scaled = value * F.lit(1e6)
+    from_tie = F.lit(0.5) - F.abs(scaled - F.rint(scaled))
+    # The product and the printed digits are each off by at most one unit in
+    # the last place, 2**-52 of the value; 2**-49 leaves room.
+    clear = from_tie > F.abs(scaled) * F.lit(2.0**-49) + F.lit(1e-9)
+    return F.when(clear, value.try_cast(stored)).otherwise(exact)
 
 
 def pretty_bytes(byte_count: Column) -> Column:

@@ -1,8 +1,10 @@
 """Minute-bar text lines: strict parsing, rejects and an issue report.
 
-Input rows carry ``file_name``, ``line_number`` and ``line``. Everything is a
-projection over the line, so good rows, rejects and issues come out of one
-narrow pass each.
+Input rows carry ``file_name``, ``line_number`` and ``line``. Good rows, rejects
+and issues come out of one narrow pass each. Values that several later
+expressions share (the split fields, the parsed numbers) are produced by a
+one-element explode: a filter on them then cannot be pushed below it, where it
+would split and parse every line again for each field it looks at.
 """
 
 from __future__ import annotations
@@ -49,12 +51,17 @@ def split_fields(line: Column) -> Column:
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ",", -1))
 
 
+def once(value: Column) -> Column:
+    """Generator that yields its argument as one row."""
+
+    return F.explode(F.array(value))
+
+
 def with_fields(lines: DataFrame) -> DataFrame:
-    """Lines that are not empty, with their fields and symbol."""
+    """Lines that are not empty, with their fields."""
 
     return lines.where(F.length("line") > 0).select(
-        "file_name", "line_number", "line", symbol_of(F.col("file_name")).alias("symbol"),
-        split_fields(F.col("line")).alias("fields"),
+        "file_name", "line_number", "line", once(split_fields(F.col("line"))).alias("fields")
     )
 
 
@@ -67,37 +74,38 @@ def parse_bars(lines: DataFrame) -> DataFrame:
     """
 
     place = F.concat(F.col("file_name"), F.lit(":"), F.col("line_number").cast("string"))
-    count = F.size("fields")
     # get() returns NULL past the end, so short lines reach the error text.
-    raw = [F.get("fields", F.lit(i)) for i in range(len(FIELDS))]
-    parsed = with_fields(lines).select(
-        "file_name", "line_number", "line", "symbol", count.alias("field_count"),
-        parse_bar_timestamp(raw[0]).alias("local_ts"),
-        *[parse_number(raw[i]).alias(name) for i, name in enumerate(FIELDS) if i > 0],
-        raw[0].alias("_raw_timestamp"),
-        *[raw[i].alias(f"_raw_{name}") for i, name in enumerate(FIELDS) if i > 0],
+    raw = {name: F.get("fields", F.lit(i)) for i, name in enumerate(FIELDS)}
+    values = F.struct(
+        parse_bar_timestamp(raw["timestamp"]).alias("local_ts"),
+        *[parse_number(raw[name]).alias(name) for name in PRICES],
+    )
+    parsed = (
+        with_fields(lines)
+        .select("file_name", "line_number", "line", "fields", once(values).alias("v"))
+        .select("file_name", "line_number", "line", "fields", "v.*")
     )
 
     error = F.when(
-        F.col("field_count") != len(FIELDS),
-        F.concat(place, F.lit(" expected 6 columns, got "), F.col("field_count").cast("string")),
+        F.size("fields") != len(FIELDS),
+        F.concat(place, F.lit(" expected 6 columns, got "), F.size("fields").cast("string")),
     ).when(
         F.col("local_ts").isNull(),
-        F.concat(place, F.lit(" timestamp does not match YYYY-mm-dd HH:MM:SS: "), F.col("_raw_timestamp")),
+        F.concat(place, F.lit(" timestamp does not match YYYY-mm-dd HH:MM:SS: "), raw["timestamp"]),
     )
     for name in PRICES:
         error = error.when(
             F.col(name).isNull(),
-            F.concat(place, F.lit(f" {name} must be a numeric value, got "), F.col(f"_raw_{name}")),
+            F.concat(place, F.lit(f" {name} must be a numeric value, got "), raw[name]),
         )
     error = error.when(
         ~is_finite(F.col("volume")),
-        F.concat(place, F.lit(" volume must be a finite numeric value, got "), F.col("_raw_volume")),
+        F.concat(place, F.lit(" volume must be a finite numeric value, got "), raw["volume"]),
     )
     negatives = F.array_compact(F.array(*[F.when(F.col(name) < 0, F.lit(name)) for name in PRICES]))
     return parsed.select(
-        "file_name", "line_number", "line", "symbol", "local_ts", *PRICES, error.alias("error"),
-        negatives.alias("negatives"),
+        "file_name", "line_number", "line", symbol_of(F.col("file_name")).alias("symbol"), "local_ts", *PRICES,
+        error.alias("error"), negatives.alias("negatives"),
     )
 
 
@@ -136,8 +144,14 @@ def line_issues(lines: DataFrame) -> DataFrame:
     A numeric field reports one issue only: non-numeric, non-finite or negative.
     """
 
-    rows = with_fields(lines)
-    values = [strip(F.get("fields", F.lit(i))) for i in range(len(FIELDS))]
+    stripped = F.transform(F.col("fields"), strip)
+    numbers = F.transform(F.col("f"), parse_number)
+    rows = (
+        with_fields(lines)
+        .select("file_name", "line_number", "line", once(stripped).alias("f"))
+        .select("file_name", "line_number", "line", "f", once(numbers).alias("n"))
+    )
+    values = [F.get("f", F.lit(i)) for i in range(len(FIELDS))]
 
     def issue(test: Column, column: str, kind: str, value: Column) -> Column:
         return F.when(
@@ -150,8 +164,8 @@ def line_issues(lines: DataFrame) -> DataFrame:
               "unparseable timestamp", values[0])
     ]
     numeric = []
-    for name, value in list(zip(FIELDS, values))[1:]:
-        number = parse_number(value)
+    for i, name in enumerate(FIELDS[1:], start=1):
+        value, number = values[i], F.get("n", F.lit(i))
         kind = (
             F.when(value == "", F.lit(None).cast("string"))
             .when(number.isNull(), "non-numeric")
@@ -167,15 +181,17 @@ def line_issues(lines: DataFrame) -> DataFrame:
     wrong_count = F.array(
         F.struct(
             F.lit("").alias("column_name"),
-            F.concat(F.lit("wrong column count: expected 6, got "), F.size("fields").cast("string")).alias("issue"),
+            F.concat(F.lit("wrong column count: expected 6, got "), F.size("f").cast("string")).alias("issue"),
             F.col("line").alias("value"),
         )
     )
-    found = F.when(F.size("fields") != len(FIELDS), wrong_count).otherwise(
-        F.array_compact(F.array(*empty, *stamp, *numeric))
-    )
-    return rows.select("file_name", "line_number", F.explode(found).alias("i")).select(
-        "file_name", "line_number", "i.*"
+    found = F.when(F.size("f") != len(FIELDS), wrong_count).otherwise(F.array(*empty, *stamp, *numeric))
+    # The outer form keeps the optimizer from testing the whole list once more
+    # before it explodes it.
+    return (
+        rows.select("file_name", "line_number", F.explode_outer(found).alias("i"))
+        .where(F.col("i").isNotNull())
+        .select("file_name", "line_number", "i.*")
     )
 
 

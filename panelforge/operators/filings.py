@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +62,11 @@ def flatten_holdings(documents: DataFrame, keys: list[str], xml: str = "xml") ->
     parsed = documents.select(
         *keys, F.from_xml(F.col(xml), holding_schema(), {"ignoreNamespace": "true", "mode": "FAILFAST"}).alias("d")
     )
-    exploded = parsed.select(*keys, F.posexplode("d.infoTable").alias("position", "h"))
+    # The outer form keeps the optimizer from adding a size test below the
+    # explode, which would parse every document a second time.
+    exploded = parsed.select(*keys, F.posexplode_outer("d.infoTable").alias("position", "h")).where(
+        F.col("position").isNotNull()
+    )
 
     def leaf(parent: str | None, element: str) -> Column:
         own = F.col("h").getField(element)
@@ -92,10 +98,12 @@ def holdings_by_value(holdings: DataFrame, keys: list[str]) -> DataFrame:
     return holdings.orderBy(*keys, holding_value(F.col("value")).desc(), "position")
 
 
-def holdings_preview(holdings: DataFrame, keys: list[str], rows: int = PREVIEW_ROWS) -> DataFrame:
+def holdings_preview(
+    holdings: DataFrame, keys: list[str], rows: int = PREVIEW_ROWS, ties: Sequence[str] = ("position",)
+) -> DataFrame:
     """Top holdings per filing with their rank; cut per input partition before the shuffle."""
 
-    ranked = Window.partitionBy(*keys).orderBy(F.col("_value").desc(), "position")
+    ranked = Window.partitionBy(*keys).orderBy(F.col("_value").desc(), *ties)
     return (
         holdings.withColumn("_value", holding_value(F.col("value")))
         .withColumn("value_rank", F.row_number().over(ranked))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +25,11 @@ FLOATING_TYPES = ("float", "double")
 
 @dataclass(frozen=True)
 class Check:
-    """One way a value of a column can be bad."""
+    """One way a value of a column can be bad; ``bad`` is NULL or false for a missing value.
+
+    Checks are kept short on purpose: all of them meet in one generated method
+    per stage, and the JVM only compiles methods below a size limit.
+    """
 
     column_name: str
     problem: str
@@ -41,7 +46,9 @@ class Normalized:
     source_year: int | None = None
 
     def any_bad(self) -> Column:
-        return reduce(Column.__or__, [c.bad for c in self.checks], F.lit(False))
+        if not self.checks:
+            return F.lit(False)
+        return F.coalesce(reduce(Column.__or__, [c.bad for c in self.checks]), F.lit(False))
 
     def columns(self) -> list[Column]:
         chosen = [self.typed.get(name, F.col(name)).alias(name) for name in self.source.columns]
@@ -68,12 +75,18 @@ def _numeric(df: DataFrame, name: str) -> Column:
 
 
 def _rejects(df: DataFrame, name: str, accepted: Column) -> Column:
-    """True where a value is present (neither NULL nor NaN) and not accepted."""
+    """True where a value is present (neither NULL nor NaN) and not accepted.
+
+    ``accepted`` is NULL for a NULL value. Only text can also make it NULL by
+    not being a number, so only text needs the longer form.
+    """
 
-    bad = F.col(name).isNotNull() & ~F.coalesce(accepted, F.lit(False))
-    if _kind(df, name) in FLOATING_TYPES:
-        bad = bad & ~F.isnan(F.col(name))
-    return bad
+    kind = _kind(df, name)
+    if kind == "string":
+        return F.col(name).isNotNull() & F.coalesce(~accepted, F.lit(True))
+    if kind in FLOATING_TYPES:
+        return ~(F.isnan(F.col(name)) | accepted)
+    return ~accepted
 
 
 def integer_rule(df: DataFrame, name: str, minimum: int, maximum: int, stored: str) -> tuple[Column, Check]:
@@ -96,26 +109,33 @@ def integer_rule(df: DataFrame, name: str, minimum: int, maximum: int, stored: s
 def decimal_rule(df: DataFrame, name: str, minimum: str, maximum: str, stored: str) -> tuple[Column, Check]:
     """Six-decimal fixed point, rounded half-even, within a closed range."""
 
-    value = F.col(name)
-    rounded = quantize_half_even(missing_to_null(value, _kind(df, name)))
-    accepted = quantize_half_even(value).between(F.lit(minimum).cast("decimal(20,6)"), F.lit(maximum).cast("decimal(20,6)"))
-    if _kind(df, name) in (*FLOATING_TYPES, *INTEGER_TYPES):
-        # Rounding cannot carry a value this far inside the range out of it, so
-        # ordinary values skip the exact decimal test.
+    value, kind = F.col(name), _kind(df, name)
+    # Half a unit beyond either limit. The largest allowed digit is odd and the
+    # smallest even, so a tie at the top leaves the range and one at the bottom
+    # stays in it.
+    half_unit = Decimal("0.0000005")
+    low, high = (
+        F.lit(str(limit)).cast("decimal(38,20)") for limit in (Decimal(minimum) - half_unit, Decimal(maximum) + half_unit)
+    )
+    digits = value.cast("string").try_cast("decimal(38,20)")
+    accepted = F.coalesce((digits >= low) & (digits < high), value.isNull())
+    if kind in (*FLOATING_TYPES, *INTEGER_TYPES):
+        # Ordinary values are well inside the limits and skip the exact test.
         accepted = (F.abs(value) < F.lit(float(maximum.split(".")[0]))) | accepted
+    typed = missing_to_null(quantize_half_even(value, kind, stored), kind, of=value)
     problem = f"must fit six decimals between {minimum} and {maximum}"
-    return rounded.try_cast(stored), Check(name, problem, _rejects(df, name, accepted))
+    return typed, Check(name, problem, _rejects(df, name, accepted))
 
 
 def date_rule(df: DataFrame, name: str) -> tuple[Column, Check]:
     typed = F.col(name).try_cast("date")
-    return typed, Check(name, "must contain dates", _rejects(df, name, typed.isNotNull()))
+    return typed, Check(name, "must contain dates", typed.isNull() & F.col(name).isNotNull())
 
 
 def domain_rule(df: DataFrame, name: str, allowed: Iterable[str]) -> tuple[Column, Check]:
     text, allowed = F.col(name).cast("string"), list(allowed)
     problem = f"contains unexpected values; allowed: {', '.join(allowed)}"
-    return text, Check(name, problem, _rejects(df, name, text.isin(allowed)))
+    return text, Check(name, problem, ~text.isin(allowed))
 
 
 def flag_rule(df: DataFrame, name: str) -> Check:

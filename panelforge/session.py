@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM does not compile methods beyond 8000 bytes; a wide normalization
+    # fused into one larger method would run interpreted, several times slower.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from panelforge.suite.common import Tables
 
-MODULES = ("spell_queries", "load_check_queries", "panel_queries")
+MODULES = ("spell_queries", "load_check_queries", "panel_queries", "bar_queries", "filing_queries")
 
 
 def _suites():

@@ -146,9 +146,9 @@ def norm_fixed_point(t: Tables) -> DataFrame:
     tie = (F.col("l_orderkey") * 10 + 5).cast("double") / F.lit(1e7)
     return t("lineitem").select(
         "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
-        quantize_half_even(tie).cast("double").alias("tie"),
-        quantize_half_even(-tie).cast("double").alias("negative_tie"),
-        quantize_half_even(F.col("l_extendedprice") / 7).cast("double").alias("price"),
+        quantize_half_even(tie, "double").cast("double").alias("tie"),
+        quantize_half_even(-tie, "double").cast("double").alias("negative_tie"),
+        quantize_half_even(F.col("l_extendedprice") / 7, "double").cast("double").alias("price"),
     )
 
 
