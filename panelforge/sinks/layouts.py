@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,8 @@ def laid_out(df: DataFrame, layout: Layout) -> DataFrame:
     Range splitting samples the keys and cuts a large month, year or security
     into several tasks, so no single task has to write a hot partition, and
     files cover narrow key ranges that readers can skip by their statistics.
+    The sample costs one more pass over the (narrow) input of a load; the table
+    is written once and read many times.
     """
 
     if layout.partition == "month":
@@ -47,11 +49,16 @@ def laid_out(df: DataFrame, layout: Layout) -> DataFrame:
     return df.repartitionByRange(*lead, *keys).sortWithinPartitions(*lead, *keys)
 
 
-def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "errorifexists") -> None:
-    """zstd Parquet in a layout; Spark's commit makes the write all-or-nothing."""
+def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "errorifexists") -> int:
+    """zstd Parquet in a layout; returns the rows written.
 
+    Spark's commit makes the write all-or-nothing. Rows are counted on their
+    way into the files, behind the shuffle, where each passes once.
+    """
+
+    seen = Observation()
     writer = (
-        laid_out(df, layout).write.mode(mode).option("compression", "zstd")
+        laid_out(df, layout).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).option("compression", "zstd")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         # A replaced table must lose its old partitions too.
         .option("partitionOverwriteMode", "static")
@@ -59,6 +66,7 @@ def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "errorife
     if layout.partition:
         writer = writer.partitionBy(layout.partition)
     writer.parquet(path)
+    return int(seen.get["rows"])
 
 
 def layout_for(family: str, columns: list[str]) -> Layout:

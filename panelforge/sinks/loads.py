@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.operators.normalize import normalize_family, strict_rows
@@ -125,14 +125,12 @@ class Loader:
         self.audit(planned, 0, started, STARTED)
         try:
             rows = strict_rows(normalize_family(source, planned.family, planned.year_slice))
-            seen = Observation()
-            write_layout(
-                rows.observe(seen, F.count(F.lit(1)).alias("rows")),
+            loaded = write_layout(
+                rows,
                 self.target_path(planned.target_table),
                 layout_for(planned.family, rows.columns),
                 mode="append",
             )
-            loaded = int(seen.get["rows"])
         except KeyboardInterrupt:
             self.audit(planned, 0, started, INTERRUPTED, "KeyboardInterrupt")
             raise

@@ -7,7 +7,10 @@ from importlib import import_module
 
 from panelforge.suite.common import Tables
 
-MODULES = ("spell_queries", "load_check_queries", "panel_queries", "bar_queries", "filing_queries")
+MODULES = (
+    "spell_queries", "load_check_queries", "panel_queries", "bar_queries", "filing_queries", "catalog_queries",
+    "snapshot_queries", "load_queries",
+)
 
 
 def _suites():

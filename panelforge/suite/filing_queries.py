@@ -54,7 +54,11 @@ def holding_documents(t: Tables) -> DataFrame:
 
     body = F.array_join(F.transform(F.sequence(F.lit(1), F.col("l_linenumber")), entry), "")
     space = F.when(flag == "A", ' xmlns:n1="urn:holdings"').otherwise(' xmlns="urn:holdings"')
-    return t("lineitem").select(
+    # Rendering and parsing XML is heavy per row, so the rows are spread over all
+    # cores first; a real landing folder is already split over many files.
+    columns = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
+    rows = t("lineitem").select(*columns).repartition(4 * t.spark.sparkContext.defaultParallelism)
+    return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.concat(
             F.lit('<?xml version="1.0"?><'), p, F.lit("informationTable"), space, F.lit(">"), body,
