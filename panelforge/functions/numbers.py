@@ -17,10 +17,17 @@ MIB = 1024**2
 GIB = 1024**3
 
 
+# Every character that counts as white space around a field.
+WHITE_SPACE = (
+    " \t\n\r\f\v\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
-    """Remove leading and trailing whitespace of any kind, not only blanks."""
+    """Remove leading and trailing white space of any kind, not only blanks."""
 
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def parse_number(text: Column) -> Column:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.digests import row_digest
+from panelforge.session import work_dir
 
 # Fixed value: sampled rows per table in an audit.
 SAMPLE_SIZE = 25
@@ -16,19 +19,23 @@ SAMPLE_SIZE = 25
 def snapshot_diff(local: DataFrame, live: DataFrame) -> DataFrame:
     """Rows present more often on one side, with that side and the surplus copies.
 
-    Only 32-byte digests are shuffled for the comparison. The few digests that
-    differ then pick their full rows from the two inputs, so long texts travel
-    only for rows that are part of the answer. Copies are counted, not repeated.
+    Only 32-byte digests are shuffled for the comparison. The digests that
+    differ are stored in the shared folder; their size is then known, so Spark
+    broadcasts them when they are few and joins by shuffle when they are not.
+    Full rows travel only for the answer. Copies are counted, not repeated.
     """
 
+    spark = local.sparkSession
     columns = local.columns
     digest = row_digest(columns)
     tagged = local.select(digest.alias("digest"), F.lit(1).alias("weight")).unionByName(
         live.select(digest.alias("digest"), F.lit(-1).alias("weight"))
     )
-    surplus = tagged.groupBy("digest").agg(F.sum("weight").alias("net")).where(F.col("net") != 0)
+    path = work_dir(spark, "snapshot-diff")
+    tagged.groupBy("digest").agg(F.sum("weight").alias("net")).where(F.col("net") != 0).write.parquet(path)
+    surplus = spark.read.schema("digest string, net bigint").parquet(path)
 
-    def picked(rows: DataFrame, side: str, test) -> DataFrame:
+    def picked(rows: DataFrame, side: str, test: Column) -> DataFrame:
         wanted = surplus.where(test).select("digest", F.abs("net").alias("copies"))
         # One representative per digest; equal digests mean equal rows.
         found = (
@@ -47,17 +54,21 @@ def snapshot_diff(local: DataFrame, live: DataFrame) -> DataFrame:
 def sample_positions(df: DataFrame, table: str, keys: Sequence[str], size: int = SAMPLE_SIZE) -> DataFrame:
     """The rows with the ``size`` smallest key hashes of each table.
 
-    The same rows come back on every run and from every engine with MD5. The
-    limit is applied inside each input partition before the shuffle.
+    The same rows come back on every run and from every engine with MD5. Only
+    keys and hashes are sorted, and cut to ``size`` per input partition before
+    the shuffle; the full rows are then picked by the sampled keys, which number
+    at most ``size`` per table and are broadcast. Keys must identify a row and
+    hold no NULL.
     """
 
     key_hash = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
     first = Window.partitionBy(table).orderBy("key_hash", *keys)
-    return (
-        df.withColumn("key_hash", key_hash)
+    chosen = (
+        df.select(table, *keys, key_hash.alias("key_hash"))
         .withColumn("position", F.row_number().over(first))
         .where(F.col("position") <= size)
     )
+    return df.join(F.broadcast(chosen), [table, *keys])
 
 
 def compare_by_key(
@@ -66,16 +77,17 @@ def compare_by_key(
     """Look sampled rows up in another snapshot and compare column by column.
 
     Adds ``outcome`` (``match``, ``changed``, ``absent``) and the changed column
-    names. The keys must be unique in ``other``.
+    names. The keys must be unique in ``other``. ``sample`` is a bounded sample
+    (see :func:`sample_positions`): its keys are broadcast to thin out ``other``
+    during the scan, so the other snapshot is not shuffled.
     """
 
-    right = other.select(
+    wanted = sample.select(*keys).distinct()
+    right = other.join(F.broadcast(wanted), list(keys), "left_semi").select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_c_{c}") for c in columns],
         F.lit(True).alias("_known"),
     )
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    condition = reduce(Column.__and__, [F.col(k) == F.col(f"_k_{k}") for k in keys])
     joined = sample.join(right, condition, "left")
     changed = F.array_compact(
         F.array(*[F.when(~F.col(c).eqNullSafe(F.col(f"_c_{c}")), F.lit(c)) for c in columns])
@@ -124,8 +136,6 @@ def drift_report(local_counts: DataFrame, live_counts: DataFrame, compared: Data
 def schema_fingerprint(df: DataFrame) -> str:
     """Digest of names, types and nullability; computed from metadata only."""
 
-    import hashlib
-
     text = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema)
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 

@@ -84,3 +84,10 @@ def export_samples(
         write_csv(df.limit(rows), path)
         written.append(path)
     return written
+
+
+def write_rejects(rejected: DataFrame, path: str) -> None:
+    """Append rejected bar lines with the time of the rejection."""
+
+    stamped = rejected.withColumn("rejected_at", F.current_timestamp())
+    stamped.write.mode("append").json(path)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.plans import load_plan as P
-from panelforge.plans.contracts import LAYOUTS
+from panelforge.plans.contracts import LAYOUTS, SOURCE_COLUMNS
 from panelforge.session import work_dir
 from panelforge.sinks import exports as E
 from panelforge.sinks import loads as L
@@ -187,6 +187,62 @@ def failed_load_cleared(t: Tables) -> DataFrame:
     )
 
 
+# --- static reference tables, each through its own contract, rules and layout
+
+STATIC = tuple(("optionm_all", name, name) for name in ("securd", "secnmd", "exchgd", "distrd", "opinfd", "opcrsphist"))
+
+
+def reference_source(t: Tables, table: str) -> DataFrame:
+    """Raw rows of one reference table; columns without a stand-in are NULL."""
+
+    day = iso("o_orderdate")
+    known = {
+        "securd": lambda: t("supplier").select(
+            F.col("s_suppkey").cast("double").alias("secid"), F.col("s_name").alias("issue_type"),
+            F.col("s_acctbal").alias("industry_group"),
+        ),
+        "secnmd": lambda: t("part").select(
+            F.col("p_partkey").alias("secid"), F.lit("1996-01-04").alias("effect_date"), F.col("p_name").alias("issuer")
+        ),
+        "exchgd": lambda: t("nation").select(
+            F.col("n_nationkey").alias("secid"), F.col("n_regionkey").alias("seq_num"), F.col("n_name").alias("status")
+        ),
+        "distrd": lambda: t("orders").select(
+            F.col("o_custkey").alias("secid"), day.alias("record_date"), F.col("o_orderkey").alias("seq_num"),
+            F.col("o_totalprice").alias("amount"), F.col("o_orderstatus").alias("distr_type"),
+        ),
+        "opinfd": lambda: t("customer").select(
+            F.col("c_custkey").alias("secid"), F.col("c_mktsegment").alias("exercise_style")
+        ),
+        "opcrsphist": lambda: links(t),
+    }
+    rows = known[table]()
+    return rows.select(
+        *[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in SOURCE_COLUMNS[table]]
+    )
+
+
+@suite.register(f"""WITH {LINKS_SQL}
+SELECT 'securd' AS target_table, count(*) AS rows_loaded, CAST(sum(s_suppkey) AS BIGINT) AS secids FROM supplier
+UNION ALL SELECT 'secnmd', count(*), CAST(sum(p_partkey) AS BIGINT) FROM part
+UNION ALL SELECT 'exchgd', count(*), CAST(sum(n_nationkey) AS BIGINT) FROM nation
+UNION ALL SELECT 'distrd', count(*), CAST(sum(o_custkey) AS BIGINT) FROM orders
+UNION ALL SELECT 'opinfd', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer
+UNION ALL SELECT 'opcrsphist', count(*), CAST(sum(secid) AS BIGINT) FROM links""")
+def reference_tables_loaded(t: Tables) -> DataFrame:
+    loader = L.Loader(t.spark, work_dir(t.spark, "reference"))
+    plan = P.build_plan(static_tables=STATIC)
+    loader.create_targets(plan)
+    loaded = loader.load(plan, lambda p: reference_source(t, p.source_table))
+    counted = None
+    for planned, (_, target, rows) in zip(plan, loaded):
+        one = loader.read_target(planned).agg(F.sum("secid").alias("secids")).select(
+            F.lit(target).alias("target_table"), F.lit(rows).cast("bigint").alias("rows_loaded"), "secids"
+        )
+        counted = one if counted is None else counted.unionByName(one)
+    return counted
+
+
 # --- whole-table exports, discovery, reloads
 
 EXPORTED = ("orders", "customer", "part")
