@@ -15,7 +15,7 @@ def read_documents(spark: SparkSession, folder: str, pattern: str = "*.xml") ->
     """One row per document: file_name, xml."""
 
     return (
-        spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(folder)
+        spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
         .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("xml"))
     )
 
