@@ -42,28 +42,21 @@ def family_name(table_name: Column) -> Column:
     return F.regexp_replace(table_name, "[0-9]{4}$", "YYYY")
 
 
+# Wording of a derivation check, by how many rows matched.
+NONE_CHECKED = "No rows were checked."
+ALL_MATCHED = "All %d checked rows were recoverable from smaller source tables."
+NONE_MATCHED = "None of the %d checked rows were recoverable from smaller source tables."
+SOME_MATCHED = "Only %d of %d checked rows were recoverable from smaller source tables."
+UNORDERED_NOTE = " The sample uses an unordered LIMIT query, so reruns may inspect different rows."
+
+
 def interpretation(matched: Column, checked: Column, ordered_sample: bool) -> Column:
     """Wording for a checked/matched pair of counts."""
 
     summary = (
-        F.when(checked <= 0, F.lit("No rows were checked."))
-        .when(
-            matched == checked,
-            F.format_string("All %d checked rows were recoverable from smaller source tables.", checked),
-        )
-        .when(
-            matched == 0,
-            F.format_string("None of the %d checked rows were recoverable from smaller source tables.", checked),
-        )
-        .otherwise(
-            F.format_string(
-                "Only %d of %d checked rows were recoverable from smaller source tables.", matched, checked
-            )
-        )
-    )
-    if ordered_sample:
-        return summary
-    return F.concat(
-        summary,
-        F.lit(" The sample uses an unordered LIMIT query, so reruns may inspect different rows."),
+        F.when(checked <= 0, F.lit(NONE_CHECKED))
+        .when(matched == checked, F.format_string(ALL_MATCHED, checked))
+        .when(matched == 0, F.format_string(NONE_MATCHED, checked))
+        .otherwise(F.format_string(SOME_MATCHED, matched, checked))
     )
+    return summary if ordered_sample else F.concat(summary, F.lit(UNORDERED_NOTE))

@@ -31,22 +31,23 @@ def sort_value(df: DataFrame, column: str) -> Column:
 
 
 def laid_out(df: DataFrame, layout: Layout) -> DataFrame:
-    """Rows arranged for the write: range-split by partition and sort key, then sorted.
-
-    Range splitting samples the keys and cuts a large month, year or security
-    into several tasks, so no single task has to write a hot partition, and
-    files cover narrow key ranges that readers can skip by their statistics.
-    The sample costs one more pass over the (narrow) input of a load; the table
-    is written once and read many times.
+    """Rows arranged for the write: gathered by partition value, sorted by the layout's key.
+
+    The rebalance brings the rows of a month or year together, so files are not
+    scattered over partitions, and adaptive execution then cuts a partition
+    value that is too large into several writers and merges small ones. Unlike
+    a range split it does not run the input twice to sample it. Every file is
+    sorted, so readers skip row groups and pages by their statistics. Tables
+    without partitions are only sorted where they are, with no shuffle.
     """
 
     if layout.partition == "month":
         df = df.withColumn("month", month_of(layout.month_of))
     keys = [sort_value(df, c) for c in layout.sort_keys if c in df.columns]
-    lead = [F.col(layout.partition)] if layout.partition else []
-    if not lead and not keys:
-        return df
-    return df.repartitionByRange(*lead, *keys).sortWithinPartitions(*lead, *keys)
+    if layout.partition:
+        df = df.hint("rebalance", layout.partition)
+        keys = [F.col(layout.partition), *keys]
+    return df.sortWithinPartitions(*keys) if keys else df
 
 
 def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "errorifexists") -> int:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelforge.operators import normalize as N
 from panelforge.plans import load_plan as P
 from panelforge.plans.contracts import LAYOUTS, SOURCE_COLUMNS
 from panelforge.session import work_dir
@@ -13,8 +14,8 @@ from panelforge.sinks import loads as L
 from panelforge.sinks.layouts import write_layout
 from panelforge.sources.audit_log import latest_status
 from panelforge.sources.tables import discover_tables, scan
-from panelforge.suite.common import Suite, Tables, iso, number
-from panelforge.suite.load_check_queries import LINKS_SQL, PANEL_SQL, links, option_panel
+from panelforge.suite.common import Suite, Tables, iso, number, stored
+from panelforge.suite.load_check_queries import ANY_BAD, LINKS_SQL, PANEL_SQL, links, option_panel, raw_options
 
 suite = Suite()
 
@@ -123,6 +124,29 @@ def link_layout_written(t: Tables) -> DataFrame:
     )
 
 
+@suite.register(f"""
+SELECT CASE WHEN l_orderkey % 107 = 0 THEN '197001' ELSE strftime(l_shipdate, '%Y%m') END AS month, count(*) AS "rows",
+       CAST(sum(l_quantity) AS BIGINT) AS volume, CAST(sum(l_orderkey) AS BIGINT) AS optionids
+FROM lineitem WHERE NOT ({ANY_BAD}) GROUP BY 1""")
+def option_panel_loaded(t: Tables) -> DataFrame:
+    """Raw option rows normalized, written by month in contract order, read back by month.
+
+    The load path from end to end: checks, casts, fixed point, shuffle by month,
+    sort, compressed write. The raw rows are landed first, over several files,
+    as a source table would be.
+    """
+
+    path = work_dir(t.spark, "option-load")
+    raw = stored(raw_options(t).repartition(4 * t.spark.sparkContext.defaultParallelism), "option-source")
+    rows = N.valid_rows(N.normalize_family(raw, "opprcd"))
+    write_layout(rows, path, LAYOUTS["opprcd"])
+    loaded = t.spark.read.schema(rows.schema.add("month", "string")).parquet(path)
+    return loaded.groupBy("month").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("volume").alias("volume"),
+        F.sum(F.col("optionid").cast("bigint")).alias("optionids"),
+    )
+
+
 # --- append-once load of yearly price tables with audit trail
 
 LOAD_YEARS = list(range(1995, 2002))
