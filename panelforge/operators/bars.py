@@ -9,7 +9,7 @@ would split and parse every line again for each field it looks at.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,20 +57,20 @@ def once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
-def with_fields(lines: DataFrame) -> DataFrame:
+def with_fields(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Lines that are not empty, with their fields."""
 
     return lines.where(F.length("line") > 0).select(
-        "file_name", "line_number", "line", once(split_fields(F.col("line"))).alias("fields")
+        "file_name", "line_number", "line", *keep, once(split_fields(F.col("line"))).alias("fields")
     )
 
 
-def parse_bars(lines: DataFrame) -> DataFrame:
+def parse_bars(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Typed bar values plus ``error`` (NULL for accepted lines) and ``negatives``.
 
     Exactly six fields, a timestamp, four numbers and a finite volume are
     required. Negative values are accepted and listed as warnings. ``local_ts``
-    is the wall-clock time as written.
+    is the wall-clock time as written. ``keep`` names further columns to pass on.
     """
 
     place = F.concat(F.col("file_name"), F.lit(":"), F.col("line_number").cast("string"))
@@ -81,9 +81,9 @@ def parse_bars(lines: DataFrame) -> DataFrame:
         *[parse_number(raw[name]).alias(name) for name in PRICES],
     )
     parsed = (
-        with_fields(lines)
-        .select("file_name", "line_number", "line", "fields", once(values).alias("v"))
-        .select("file_name", "line_number", "line", "fields", "v.*")
+        with_fields(lines, keep)
+        .select("file_name", "line_number", "line", *keep, "fields", once(values).alias("v"))
+        .select("file_name", "line_number", "line", *keep, "fields", "v.*")
     )
 
     error = F.when(
@@ -105,7 +105,7 @@ def parse_bars(lines: DataFrame) -> DataFrame:
     negatives = F.array_compact(F.array(*[F.when(F.col(name) < 0, F.lit(name)) for name in PRICES]))
     return parsed.select(
         "file_name", "line_number", "line", symbol_of(F.col("file_name")).alias("symbol"), "local_ts", *PRICES,
-        error.alias("error"), negatives.alias("negatives"),
+        error.alias("error"), negatives.alias("negatives"), *keep,
     )
 
 
@@ -137,7 +137,7 @@ def negative_warnings(parsed: DataFrame) -> DataFrame:
     )
 
 
-def line_issues(lines: DataFrame) -> DataFrame:
+def line_issues(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Every issue of every line, as (file_name, line_number, column_name, issue, value).
 
     A wrong field count ends the checks of that line. Fields are stripped first.
@@ -147,9 +147,9 @@ def line_issues(lines: DataFrame) -> DataFrame:
     stripped = F.transform(F.col("fields"), strip)
     numbers = F.transform(F.col("f"), parse_number)
     rows = (
-        with_fields(lines)
-        .select("file_name", "line_number", "line", once(stripped).alias("f"))
-        .select("file_name", "line_number", "line", "f", once(numbers).alias("n"))
+        with_fields(lines, keep)
+        .select("file_name", "line_number", "line", *keep, once(stripped).alias("f"))
+        .select("file_name", "line_number", "line", *keep, "f", once(numbers).alias("n"))
     )
     values = [F.get("f", F.lit(i)) for i in range(len(FIELDS))]
 
@@ -189,9 +189,9 @@ def line_issues(lines: DataFrame) -> DataFrame:
     # The outer form keeps the optimizer from testing the whole list once more
     # before it explodes it.
     return (
-        rows.select("file_name", "line_number", F.explode_outer(found).alias("i"))
+        rows.select("file_name", "line_number", *keep, F.explode_outer(found).alias("i"))
         .where(F.col("i").isNotNull())
-        .select("file_name", "line_number", "i.*")
+        .select("file_name", "line_number", *keep, "i.*")
     )
 
 

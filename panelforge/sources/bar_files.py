@@ -6,6 +6,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelforge.operators.bars import symbol_of
+from panelforge.sources.tables import entry_names
+
+
+def bar_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of the supported files of a folder, also of empty ones; none is an error."""
+
+    # A listing, since Spark's readers leave empty files out.
+    names = [(n,) for n in entry_names(spark, folder) if n.endswith(".txt")]
+    files = spark.createDataFrame(names, "file_name string").where(symbol_of(F.col("file_name")).isNotNull())
+    if files.isEmpty():
+        raise FileNotFoundError(f"no supported bar files in {folder}")
+    return files
 
 
 def read_bar_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -71,7 +71,7 @@ def discover_tables(spark: SparkSession, folder: str) -> DataFrame:
     without Parquet files is an error. Tables without rows are kept.
     """
 
-    names = sorted(parquet_names(spark, folder))
+    names = sorted(n[: -len(".parquet")] for n in entry_names(spark, folder) if n.endswith(".parquet"))
     if not names:
         raise FileNotFoundError(f"no .parquet files found in {folder}")
     paths = [f"{folder.rstrip('/')}/{name}.parquet" for name in names]
@@ -90,16 +90,15 @@ def discover_tables(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def parquet_names(spark: SparkSession, folder: str) -> list[str]:
-    """Stems of the ``*.parquet`` entries of a folder."""
+def entry_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the entries of a folder; a missing folder is an error."""
 
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
         raise FileNotFoundError(f"folder does not exist: {folder}")
-    entries = [status.getPath().getName() for status in fs.listStatus(path)]
-    return [name[: -len(".parquet")] for name in entries if name.endswith(".parquet")]
+    return [status.getPath().getName() for status in fs.listStatus(path)]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 
 from panelforge.operators import bars as B
+from panelforge.sinks.bar_loads import check_folder, load_bars
 from panelforge.sinks.exports import write_rejects
 from panelforge.sources.bar_files import number_lines, numbered_bar_lines, read_bar_lines
 
@@ -98,3 +99,25 @@ def test_rejects_are_appended(spark, tmp_path):
     write_rejects(rejected, path)
     write_rejects(rejected, path)
     assert spark.read.json(path).count() == 2
+
+
+def test_folder_load_and_check(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    with pytest.raises(FileNotFoundError):
+        load_bars(spark, str(folder), str(tmp_path / "t"), str(tmp_path / "r"))
+    (folder / "BNS_full_1min_adj.txt").write_text("2024-01-02 09:30:00,1,1,1,1,1\n\n,1,1,1,1,1\n2024-02-02 09:30:00,1,1,1,-1,1\n")
+    (folder / "ER_U24_1min.txt").write_text("2024-01-02 09:30:00,1,1,1,1,1\n")
+    (folder / "EMPTY_1min.txt").write_text("")
+    target, bad = str(tmp_path / "t"), str(tmp_path / "r")
+    assert load_bars(spark, str(folder), target, bad, utc_symbols=["er_u24"]) == 3
+    assert load_bars(spark, str(folder), target, bad, clean_start=True) == 3
+    stored = spark.read.parquet(target)
+    assert stored.count() == 3 and sorted(str(r.month) for r in stored.select("month").distinct().collect()) == ["202401", "202402"]
+    errors = {(r.file_name, r.line_number, r.line) for r in spark.read.json(bad).collect()}
+    assert errors == {("BNS_full_1min_adj.txt", 3, ",1,1,1,1,1")}
+    report, issues = check_folder(spark, str(folder))
+    assert sorted((r.file_name, r.issue_count, r.status) for r in report.collect()) == [
+        ("BNS_full_1min_adj.txt", 2, "issues found"), ("EMPTY_1min.txt", 0, "OK"), ("ER_U24_1min.txt", 0, "OK")]
+    assert sorted((r.line_number, r.column_name, r.issue) for r in issues.collect()) == [
+        (3, "timestamp", "empty"), (4, "close", "negative")]
