@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.digests import row_digest
-from panelforge.session import work_dir
+from panelforge.session import land
 
 # Fixed value: sampled rows per table in an audit.
 SAMPLE_SIZE = 25
@@ -25,15 +25,13 @@ def snapshot_diff(local: DataFrame, live: DataFrame) -> DataFrame:
     Full rows travel only for the answer. Copies are counted, not repeated.
     """
 
-    spark = local.sparkSession
     columns = local.columns
     digest = row_digest(columns)
     tagged = local.select(digest.alias("digest"), F.lit(1).alias("weight")).unionByName(
         live.select(digest.alias("digest"), F.lit(-1).alias("weight"))
     )
-    path = work_dir(spark, "snapshot-diff")
-    tagged.groupBy("digest").agg(F.sum("weight").alias("net")).where(F.col("net") != 0).write.parquet(path)
-    surplus = spark.read.schema("digest string, net bigint").parquet(path)
+    nets = tagged.groupBy("digest").agg(F.sum("weight").alias("net"))
+    surplus = land(nets.where(F.col("net") != 0), "snapshot-diff")
 
     def picked(rows: DataFrame, side: str, test: Column) -> DataFrame:
         wanted = surplus.where(test).select("digest", F.abs("net").alias("copies"))
@@ -56,9 +54,8 @@ def sample_positions(df: DataFrame, table: str, keys: Sequence[str], size: int =
 
     The same rows come back on every run and from every engine with MD5. Only
     keys and hashes are sorted, and cut to ``size`` per input partition before
-    the shuffle; the full rows are then picked by the sampled keys, which number
-    at most ``size`` per table and are broadcast. Keys must identify a row and
-    hold no NULL.
+    the shuffle. The sampled keys, at most ``size`` per table, are stored, and
+    the full rows are picked by them. Keys must identify a row and hold no NULL.
     """
 
     key_hash = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
@@ -68,7 +65,7 @@ def sample_positions(df: DataFrame, table: str, keys: Sequence[str], size: int =
         .withColumn("position", F.row_number().over(first))
         .where(F.col("position") <= size)
     )
-    return df.join(F.broadcast(chosen), [table, *keys])
+    return df.join(land(chosen, "sampled-keys"), [table, *keys])
 
 
 def compare_by_key(
@@ -77,13 +74,13 @@ def compare_by_key(
     """Look sampled rows up in another snapshot and compare column by column.
 
     Adds ``outcome`` (``match``, ``changed``, ``absent``) and the changed column
-    names. The keys must be unique in ``other``. ``sample`` is a bounded sample
-    (see :func:`sample_positions`): its keys are broadcast to thin out ``other``
-    during the scan, so the other snapshot is not shuffled.
+    names. The keys must be unique in ``other``. The sampled keys are stored, so
+    that a small sample (see :func:`sample_positions`) thins out ``other`` during
+    its scan and the other snapshot is not shuffled.
     """
 
-    wanted = sample.select(*keys).distinct()
-    right = other.join(F.broadcast(wanted), list(keys), "left_semi").select(
+    wanted = land(sample.select(*keys).distinct(), "compared-keys")
+    right = other.join(wanted, list(keys), "left_semi").select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_c_{c}") for c in columns],
         F.lit(True).alias("_known"),
     )
@@ -147,14 +144,12 @@ def manifest(
 
     sampled = sample_positions(df.withColumn("_table", F.lit(table_name)), "_table", keys, size)
     hashes = sampled.select("position", row_digest(df.columns).alias("h"))
-    sample = hashes.agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "h"))), lambda p: p["h"]), ",")
-        .alias("sample_row_hashes")
-    ).withColumn("table_name", F.lit(table_name))
-    counted = df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(table_name))
-    return counted.join(sample, "table_name").select(
-        "table_name",
-        "row_count",
+    in_order = F.array_sort(F.collect_list(F.struct("position", "h")))  # at most ``size`` entries
+    return hashes.agg(
+        F.array_join(F.transform(in_order, lambda p: p["h"]), ",").alias("sample_row_hashes")
+    ).select(
+        F.lit(table_name).alias("table_name"),
+        df.agg(F.count(F.lit(1))).scalar().alias("row_count"),
         F.lit(written_at).cast("timestamp_ntz").alias("written_at"),
         F.lit(schema_fingerprint(df)).alias("schema_fingerprint"),
         "sample_row_hashes",

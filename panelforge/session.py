@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on. Adaptive execution coalesces small shuffle
 # partitions and splits skewed join partitions; ANSI keeps bad casts loud.
@@ -48,3 +48,18 @@ def work_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         shared = tempfile.mkdtemp(prefix="panelforge-")
     return f"{shared.rstrip('/')}/panelforge/{label}-{uuid.uuid4().hex}"
+
+
+def land(df: DataFrame, label: str) -> DataFrame:
+    """Write rows to a new shared folder and read them back.
+
+    For an intermediate result that later steps read more than once, and for
+    one that should be broadcast only if it is small: the size of a stored table
+    is known when the next plan is made, so Spark checks it against its
+    broadcast threshold and shuffles otherwise. A lost executor costs no
+    recomputation of it.
+    """
+
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,8 +8,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.session import work_dir
-
 
 class Tables:
     """The Parquet tables of one data folder."""
@@ -22,18 +20,6 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write rows to the shared folder and read them back.
-
-    For costly rows that a later step reads more than once, such as a global
-    sort, which samples its input before it shuffles it.
-    """
-
-    path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 Query = Callable[[Tables], DataFrame]
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.operators import filings as H
-from panelforge.suite.common import Suite, Tables, number, stored
+from panelforge.session import land
+from panelforge.suite.common import Suite, Tables, number
 
 suite = Suite()
 
@@ -112,7 +113,7 @@ def holdings_top25(t: Tables) -> DataFrame:
 @suite.register(f"""WITH {HOLDINGS_SQL}
 SELECT l_orderkey, CAST(position AS BIGINT) AS position, CAST(amount AS BIGINT) AS amount FROM holdings""")
 def holdings_sorted(t: Tables) -> DataFrame:
-    flat = stored(H.flatten_holdings(holding_documents(t), ["l_orderkey"]), "holdings")
+    flat = land(H.flatten_holdings(holding_documents(t), ["l_orderkey"]), "holdings")
     ordered = H.holdings_by_value(flat, ["l_orderkey"])
     return ordered.select(
         "l_orderkey", number("position").alias("position"), H.holding_value(F.col("value")).cast("bigint").alias("amount")

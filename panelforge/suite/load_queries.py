@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from panelforge.operators import normalize as N
 from panelforge.plans import load_plan as P
 from panelforge.plans.contracts import LAYOUTS, SOURCE_COLUMNS
-from panelforge.session import work_dir
+from panelforge.session import land, work_dir
 from panelforge.sinks import exports as E
 from panelforge.sinks import loads as L
 from panelforge.sinks.layouts import write_layout
 from panelforge.sources.audit_log import latest_status
 from panelforge.sources.tables import discover_tables, scan
-from panelforge.suite.common import Suite, Tables, iso, number, stored
+from panelforge.suite.common import Suite, Tables, iso, number
 from panelforge.suite.load_check_queries import ANY_BAD, LINKS_SQL, PANEL_SQL, links, option_panel, raw_options
 
 suite = Suite()
@@ -137,7 +137,7 @@ def option_panel_loaded(t: Tables) -> DataFrame:
     """
 
     path = work_dir(t.spark, "option-load")
-    raw = stored(raw_options(t).repartition(4 * t.spark.sparkContext.defaultParallelism), "option-source")
+    raw = land(raw_options(t).repartition(4 * t.spark.sparkContext.defaultParallelism), "option-source")
     rows = N.valid_rows(N.normalize_family(raw, "opprcd"))
     write_layout(rows, path, LAYOUTS["opprcd"])
     loaded = t.spark.read.schema(rows.schema.add("month", "string")).parquet(path)
