@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.operators import bars as B
-from panelforge.suite.common import Suite, Tables, number
+from panelforge.plans.contracts import LAYOUTS
+from panelforge.session import work_dir
+from panelforge.sinks.layouts import write_layout
+from panelforge.suite.common import Suite, Tables
 
 suite = Suite()
 ZONE = "America/New_York"
@@ -156,10 +159,6 @@ FROM bars WHERE defect NOT IN {BAD_SQL} GROUP BY 1, 2""")
 def bars_layout_written(t: Tables) -> DataFrame:
     """Good bars written by month and sorted by symbol and time, then read back."""
 
-    from panelforge.plans.contracts import LAYOUTS
-    from panelforge.session import work_dir
-    from panelforge.sinks.layouts import write_layout
-
     path = work_dir(t.spark, "bars")
     write_layout(B.good_bars(B.parse_bars(supported(t)), ZONE, UTC_SYMBOLS), path, LAYOUTS["bars"])
     stored = t.spark.read.schema("symbol string, ts timestamp_ntz, month string").parquet(path)

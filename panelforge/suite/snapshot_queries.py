@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.operators import quality as Q
 from panelforge.operators import snapshots as S
 from panelforge.sources.tables import sample_rows
 from panelforge.suite.common import Suite, Tables, number

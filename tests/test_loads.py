@@ -1,5 +1,7 @@
 """Append-once loads, audit state, exports and discovery."""
 
+from datetime import UTC, datetime
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,8 +55,6 @@ def test_clear_drops_only_the_failed_year(spark, tmp_path):
     plan = P.build_plan(price_years=[2020, 2021])
     loader.create_targets(plan)
     loader.load(plan, lambda p: prices(spark, p.source_year))
-    from datetime import UTC, datetime
-
     loader.audit(plan[1], 0, datetime.now(UTC), "interrupted", "KeyboardInterrupt")
     assert loader.clear_failed(plan) == ["secprd"]
     assert [r.source_year for r in loader.read_target(plan[0]).select("source_year").distinct().collect()] == [2020]
@@ -71,7 +71,7 @@ def test_option_tables_by_month(spark, tmp_path):
     assert loader.load(plan, lambda p: df) == [("opprcd2024", "opprcd2024", 3)]
     got = loader.read_target(plan[0]).select("month", "secid").orderBy("month").collect()
     assert [tuple(r) for r in got] == [("197001", 3), ("202401", 1), ("202402", 2)]
-    loader.audit(plan[0], 0, __import__("datetime").datetime.now(__import__("datetime").UTC), "failed")
+    loader.audit(plan[0], 0, datetime.now(UTC), "failed")
     loader.clear_failed(plan)
     assert loader.read_target(plan[0]).isEmpty()
     loader.require_empty(plan[0])
