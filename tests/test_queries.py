@@ -6,13 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from panelforge.suite import all_queries, all_sql
 
 DATA = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
