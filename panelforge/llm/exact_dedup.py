@@ -6,8 +6,10 @@ adjacent blocks are then paired, the pairs are sorted and named in the same
 way, and so on until one integer is left per text. Two texts share it exactly
 when they are equal: names come from comparing contents, never from a hash.
 
-Sorting is Spark's range partitioning on (content, row), so the copies of a hot
-block spread over several tasks. Each task ranks its own stretch; a prefix sum
+Sorting is Spark's range partitioning on (digest, row) and a sort by content inside
+each range, so the copies of a hot block spread over several tasks. The digest only
+orders: should two different blocks with one digest ever meet in a task, the sort is
+done again with the whole content as the range key. Each task ranks its own stretch; a prefix sum
 over one summary row per task turns local ranks into global ones and joins a
 block that continues across a task border.
 """
@@ -20,38 +22,45 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelforge.llm.common import require
+from panelforge.llm.common import map_arrow, require
 from panelforge.session import land
 
 #: Bytes in a block. Larger blocks need fewer rounds and larger samples for the range bounds.
 BLOCK_BYTES = 1024
 
 
-def rank_by_sort(df: DataFrame, keys: Sequence[str], ties: Sequence[str], label: str) -> DataFrame:
+def rank_by_sort(
+    df: DataFrame, keys: Sequence[str], ties: Sequence[str], label: str, lead: Column | None = None
+) -> DataFrame:
     """Replace ``keys`` by ``name``, the dense rank of their values among all rows.
 
     One shuffle moves the rows. The driver receives Spark's sampled range bounds
     and one summary row per shuffle partition (two keys and a count), both bounded
-    by the number of partitions and independent of the rows behind them. Keys must
-    not be null. The result is stored in the shared folder.
+    by the number of partitions and independent of the rows behind them. ``lead`` is
+    a short value that equal keys share; ranges are then cut by it instead of by long
+    keys, which keeps the samples small. Keys must not be null. The result is stored
+    in the shared folder.
     """
 
-    spark = df.sparkSession
+    spark, has_lead = df.sparkSession, lead is not None
     payload = [c for c in df.columns if c not in keys]
+    sorted_rows = df.withColumn("_lead", lead if has_lead else F.lit(0).cast("long"))
+    range_keys = ["_lead", *([] if has_lead else keys), *ties]
     key_fields = [df.schema[k] for k in keys]
     out = T.StructType(
         [T.StructField(f.name, f.dataType) for f in df.schema if f.name in payload]
         + [T.StructField("_part", T.IntegerType()), T.StructField("_rank", T.LongType())]
+        + [T.StructField("_clash", T.BooleanType())]
         + [T.StructField(f"_{side}_{f.name}", f.dataType) for side in ("first", "last") for f in key_fields]
     )
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        seen, first, last = 0, None, None
+        seen, first, last, last_lead, clash = 0, None, None, None, False
         schema = None
         for batch in batches:
             if not batch.num_rows:
@@ -61,8 +70,12 @@ def rank_by_sort(df: DataFrame, keys: Sequence[str], ties: Sequence[str], label:
             for column in columns:
                 if batch.num_rows > 1:
                     change[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            leads = batch.column("_lead").to_numpy()
             start = [c[0].as_py() for c in columns]
             change[0] = last is None or start != last
+            if has_lead:
+                clash |= bool((change[1:] & (leads[1:] == leads[:-1])).any()) or bool(change[0] and leads[0] == last_lead)
+                last_lead = leads[-1]
             ranks = seen + np.cumsum(change) - 1
             seen = int(ranks[-1]) + 1
             first = start if first is None else first
@@ -71,31 +84,35 @@ def rank_by_sort(df: DataFrame, keys: Sequence[str], ties: Sequence[str], label:
             if schema is None:
                 schema = pa.schema(
                     [(c, batch.schema.field(c).type) for c in payload]
-                    + [("_part", pa.int32()), ("_rank", pa.int64())]
+                    + [("_part", pa.int32()), ("_rank", pa.int64()), ("_clash", pa.bool_())]
                     + [(f"_{side}_{k}", batch.schema.field(k).type) for side in ("first", "last") for k in keys]
                 )
             blank = [pa.nulls(batch.num_rows, schema.field(f"_{s}_{k}").type) for s in ("first", "last") for k in keys]
+            parts = pa.array(np.full(batch.num_rows, part, np.int32))
             yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.nulls(batch.num_rows, pa.int32()), pa.array(ranks, pa.int64()), *blank], schema=schema
-            ).set_column(len(payload), "_part", pa.array(np.full(batch.num_rows, part, np.int32)))
+                [*arrays, parts, pa.array(ranks, pa.int64()), pa.nulls(batch.num_rows, pa.bool_()), *blank], schema=schema
+            )
         if schema is not None:  # one summary row: ``_rank`` is the count, the payload is null
             edge = [pa.array([v], schema.field(f"_first_{k}").type) for k, v in zip(keys, first)]
             edge += [pa.array([v], schema.field(f"_last_{k}").type) for k, v in zip(keys, last)]
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, schema.field(c).type) for c in payload]
-                + [pa.array([part], pa.int32()), pa.array([seen], pa.int64()), *edge],
+                + [pa.array([part], pa.int32()), pa.array([seen], pa.int64()), pa.array([clash]), *edge],
                 schema=schema,
             )
 
-    order = [*keys, *ties]
-    ranked = land(df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(rank, out), label)
-    is_edge = F.col(f"_first_{keys[0]}").isNotNull()
+    ranges = sorted_rows.repartitionByRange(*range_keys).sortWithinPartitions("_lead", *keys, *ties)
+    ranked = land(map_arrow(ranges, rank, out), label)
+    is_edge = F.col("_clash").isNotNull()
     edges = ranked.where(is_edge).select(
-        "_part", "_rank", F.struct(*[f"_first_{k}" for k in keys]).alias("a"),
+        "_part", "_rank", "_clash", F.struct(*[f"_first_{k}" for k in keys]).alias("a"),
         F.struct(*[f"_last_{k}" for k in keys]).alias("b"),
     )
+    summary = sorted(edges.collect(), key=lambda r: r[0])
+    if any(r["_clash"] for r in summary):
+        return rank_by_sort(df, keys, ties, label)
     bases, base, previous = [], 0, None
-    for part, count, start, end in sorted(edges.collect(), key=lambda r: r[0]):
+    for part, count, _, start, end in summary:
         if previous is not None and tuple(start) == previous:
             base -= 1
         bases.append((part, base))
@@ -135,7 +152,7 @@ def name_texts(df: DataFrame, id_column: str, text_column: str, block_bytes: int
             F.when(F.col("idx") == 0, F.col("sha")).alias("sha"), "block",
         )
     )
-    named = rank_by_sort(blocks, ["block"], ["row", "idx"], "block-names")
+    named = rank_by_sort(blocks, ["block"], ["row", "idx"], "block-names", F.xxhash64("block"))
     rounds = int(np.ceil(np.log2(named.agg(F.max("n")).first()[0] or 1)))
     done = []
     for level in range(rounds + 1):

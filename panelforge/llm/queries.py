@@ -6,19 +6,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import exact_dedup, simhash_near
+from panelforge.llm import decontaminate, exact_dedup, language_id, sentencepiece_codec, simhash_near, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(folder).rstrip('/')}/{name}.parquet")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every (document, benchmark item) pair with a passage of the item in the document."""
+
+    return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score and significant passages of every document."""
+
+    return toxicity.toxic_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document and whether decoding them gives the text back."""
+
+    return sentencepiece_codec.token_ids(_table(spark, folder, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of equal documents by block naming; the largest doc_id of each stays."""
 
     return exact_dedup.exact_groups(_table(spark, folder, "documents")).drop("row")
 
 
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language and score of every document."""
+
+    return language_id.identify(_table(spark, folder, "documents"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
 
@@ -33,7 +57,11 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_toxicity": op3_toxicity,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,
+    "op8_language_id": op8_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 SQL = {"op5_exact_dedup": OP5_SQL}

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import require, slices, text_views
+from panelforge.llm.common import map_arrow, require, slices, text_views
 from panelforge.llm.components import connected_components
 from panelforge.session import land
 
@@ -140,7 +140,7 @@ def with_fingerprints(df: DataFrame, id_column: str, text_column: str, width: in
 
     kind = df.schema[id_column].dataType.simpleString()
     picked = df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    return picked.mapInArrow(compute, f"id {kind}, fp bigint")
+    return map_arrow(picked, compute, f"id {kind}, fp bigint")
 
 
 def ball_links(fps: DataFrame) -> DataFrame:
