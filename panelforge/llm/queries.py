@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import decontaminate, exact_dedup, language_id, sentencepiece_codec, simhash_near, toxicity
+from panelforge.llm import decontaminate, exact_dedup, language_id, repeat_removal, sentencepiece_codec, simhash_near, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +37,12 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, folder, "documents")).drop("row")
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that occur elsewhere too."""
+
+    return repeat_removal.remove_repeats(_table(spark, folder, "documents"))
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language and score of every document."""
 
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op8_language_id": op8_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
