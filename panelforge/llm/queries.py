@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import decontaminate, exact_dedup, language_id, repeat_removal, sentencepiece_codec, simhash_near, toxicity
+from panelforge.llm import decontaminate, exact_dedup, language_id, page_text, repeat_removal, sentencepiece_codec, simhash_near, token_files, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,12 +43,24 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeat_removal.remove_repeats(_table(spark, folder, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+
+    return page_text.extract_text(_table(spark, folder, "pages"))
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language and score of every document."""
 
     return language_id.identify(_table(spark, folder, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token count of every document, from flat token files."""
+
+    return token_files.document_token_counts(_table(spark, folder, "documents"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
 
@@ -68,7 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_html_extraction": op7_html_extraction,
     "op8_language_id": op8_language_id,
+    "op9_token_counts": op9_token_counts,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 SQL = {"op5_exact_dedup": OP5_SQL}
