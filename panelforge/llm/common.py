@@ -64,6 +64,15 @@ def require(df: DataFrame, *names: str) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def filter_rows(df: DataFrame, extra: dict[str, Column], decide) -> DataFrame:
     """Rows of ``df`` for which ``decide`` says so, decided in place without a shuffle.
 
@@ -71,12 +80,7 @@ def filter_rows(df: DataFrame, extra: dict[str, Column], decide) -> DataFrame:
     The extra columns get names that ``df`` does not use.
     """
 
-    names = []
-    for key in extra:
-        name = f"_{key}"
-        while name in df.columns:
-            name = f"_{name}"
-        names.append(name)
+    names = [free_name(df, f"_{key}") for key in extra]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

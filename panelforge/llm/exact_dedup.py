@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelforge.llm.common import map_arrow, require
+from panelforge.llm.common import free_name, map_arrow, require
 from panelforge.session import land
 
 #: Bytes in a block. Larger blocks need fewer rounds and larger samples for the range bounds.
@@ -209,6 +209,7 @@ def keep_one_of_each(df: DataFrame, id_column: str = "doc_id", text_column: str
     The input must be a stored table: the row numbers of its scan link both reads.
     """
 
-    kept = exact_groups(df, id_column, text_column).where("kept").select(F.col("row").alias("_row"))
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.join(land(kept, "kept-rows"), "_row", "left_semi").drop("_row")
+    row = free_name(df, "_row")
+    kept = exact_groups(df, id_column, text_column).where("kept").select(F.col("row").alias(row))
+    numbered = df.withColumn(row, F.monotonically_increasing_id())
+    return numbered.join(land(kept, "kept-rows"), row, "left_semi").drop(row)

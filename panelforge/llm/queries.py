@@ -6,13 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import decontaminate, exact_dedup, language_id, page_text, repeat_removal, sentencepiece_codec, simhash_near, token_files, toxicity
+from panelforge.llm import (
+    decontaminate, exact_dedup, language_id, license_scan, page_text, repeat_removal, sentencepiece_codec, simhash_near,
+    token_files, toxicity,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(folder).rstrip('/')}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Every paragraph of every document that states a licence."""
+
+    return license_scan.find_licenses(_table(spark, folder, "documents"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every (document, benchmark item) pair with a passage of the item in the document."""
 
@@ -64,7 +73,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
 
-    return simhash_near.simhash_groups(_table(spark, folder, "documents"))
+    return simhash_near.simhash_groups(_table(spark, folder, "documents")).drop("row", "kept")
 
 
 OP5_SQL = """
@@ -75,6 +84,7 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_toxicity": op3_toxicity,
     "op4_sentencepiece": op4_sentencepiece,

@@ -94,5 +94,6 @@ def token_ids(df: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """Id, ``n_tokens``, ``round_trip`` and ``ids`` of each row."""
 
     require(df, id_column, text_column)
-    picked = df.select(F.col(id_column), F.col(text_column).cast("string").alias("_text"))
-    return encode_texts(picked, "_text", model_path).select(id_column, "n_tokens", "round_trip", "ids")
+    picked = df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    found = encode_texts(picked, "text", model_path)
+    return found.select(F.col("id").alias(id_column), "n_tokens", "round_trip", "ids")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import map_arrow, require, slices, text_views
+from panelforge.llm.common import free_name, map_arrow, require, slices, text_views
 from panelforge.llm.components import connected_components
 from panelforge.session import land
 
@@ -129,18 +129,23 @@ def fingerprints(data: np.ndarray, bounds: np.ndarray, width: int = 3) -> np.nda
 
 
 def with_fingerprints(df: DataFrame, id_column: str, text_column: str, width: int = 3) -> DataFrame:
-    """One row (``id``, ``fp``) per input row; ``fp`` is the fingerprint as a signed 64-bit integer."""
+    """``row``, ``id`` and ``fp`` of each input row; ``fp`` is the fingerprint as a signed 64-bit integer."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, bounds = text_views(batch.column(1))
+            data, bounds = text_views(batch.column(2))
             fps = [fingerprints(data, bounds[a : b + 1], width) for a, b in slices(bounds)]
             fp = np.concatenate(fps) if fps else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(fp.view(np.int64))], names=["row", "id", "fp"]
+            )
 
     kind = df.schema[id_column].dataType.simpleString()
-    picked = df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    return map_arrow(picked, compute, f"id {kind}, fp bigint")
+    picked = df.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"),
+        F.col(text_column).cast("string").alias("text"),
+    )
+    return map_arrow(picked, compute, f"row bigint, id {kind}, fp bigint")
 
 
 def ball_links(fps: DataFrame) -> DataFrame:
@@ -170,28 +175,35 @@ def simhash_groups(df: DataFrame, id_column: str = "doc_id", text_column: str =
     ``component_id`` is the smallest id reachable over links of at most two differing
     bits. Null and empty texts have fingerprint zero and are linked like any other; null
     ids are never a ``component_id`` unless a group has no other. Repeated rows each get
-    a row. An empty table gives an empty result; other columns are ignored.
+    a row. ``row`` and ``kept`` mark one row of each group, the named one. An empty table gives an empty result; other columns are ignored.
     """
 
     require(df, id_column, text_column)
     docs = land(with_fingerprints(df, id_column, text_column, width), "fingerprints")
-    distinct = land(docs.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
+    # The row that stands for a group: the smallest id, nulls last, and of repeated rows the first.
+    least = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("least")
+    distinct = land(docs.groupBy("fp").agg(least), "distinct-fingerprints")
     links = land(ball_links(distinct.select("fp")), "fingerprint-links")
     roots = connected_components(links)
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "least"
     )
     rooted = land(rooted, "rooted-fingerprints")
-    least = land(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
-    named = land(rooted.join(least, "root").select("fp", "component_id"), "fingerprint-components")
+    firsts = land(rooted.groupBy("root").agg(F.min("least").alias("first")), "component-firsts")
+    named = land(rooted.join(firsts, "root").select("fp", "first"), "fingerprint-components")
     return docs.join(named, "fp").select(
-        F.col("id").alias(id_column), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+        F.col("id").alias(id_column), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("first.id").alias("component_id"), "row", (F.col("row") == F.col("first.row")).alias("kept"),
     )
 
 
 def keep_one_per_component(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows whose id is their group's ``component_id``, with all columns of ``df``."""
+    """One row of each component, the one named by ``component_id``, with all columns of ``df``.
+
+    The input must be a stored table: the row numbers of its scan link both reads.
+    """
 
-    groups = simhash_groups(df, id_column, text_column)
-    kept = groups.where(F.col(id_column).eqNullSafe(F.col("component_id"))).select(F.col(id_column)).distinct()
-    return df.join(land(kept.where(F.col(id_column).isNotNull()), "kept-ids"), id_column, "left_semi").select(df.columns)
+    row = free_name(df, "_row")
+    kept = simhash_groups(df, id_column, text_column).where("kept").select(F.col("row").alias(row))
+    numbered = df.withColumn(row, F.monotonically_increasing_id())
+    return numbered.join(land(kept, "kept-rows"), row, "left_semi").drop(row)
