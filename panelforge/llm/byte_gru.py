@@ -15,7 +15,7 @@ import numpy as np
 #: Bytes that one lane reads at prediction time; the state starts anew in each chunk.
 CHUNK = 256
 #: Bytes of text that one call of the recurrence holds.
-PREDICT_BYTES = 1 << 19
+PREDICT_BYTES = 1 << 17
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

@@ -28,7 +28,7 @@ SPACE = "▁"
 #: Characters told apart when a text is cut.
 CLASSES = 1024
 #: Words remembered per process, and piece pairs; a full memory is emptied, which costs time only.
-WORD_MEMORY, PAIR_MEMORY = 1 << 18, 1 << 20
+WORD_MEMORY, PAIR_MEMORY = 1 << 16, 1 << 18
 
 
 class Automaton:
