@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Accepted date and bar-timestamp spellings.
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 COMPACT_DATE = r"^\d{8}$"
+ISO_DATE_TIME = (
+    r"^\d{4}-\d{2}-\d{2}[T ]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?$"
+)
 BAR_TIMESTAMP = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}:\d{1,2}$"
 
 
@@ -26,6 +29,16 @@ def strict_date(value: Column, type_name: str) -> Column:
     )
 
 
+def lenient_date(value: Column, type_name: str) -> Column:
+    """As :func:`strict_date`, and the date part of an ISO date-time; anything after it makes the text no date."""
+
+    if type_name != "string":
+        return value.try_cast("date")
+    return F.coalesce(
+        strict_date(value, type_name), F.when(value.rlike(ISO_DATE_TIME), F.left(value, F.lit(10)).try_cast("date"))
+    )
+
+
 def iso_text(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM-dd")
 

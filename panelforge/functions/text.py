@@ -21,9 +21,10 @@ def blank_to_null(text: Column) -> Column:
 
 
 def padded_cik(cik: Column) -> Column:
-    """Ten-digit zero-padded filer id."""
+    """Filer id padded with zeros to ten digits; a longer id stays whole."""
 
-    return F.lpad(cik.cast("bigint").cast("string"), 10, "0")
+    digits = cik.cast("bigint").cast("string")
+    return F.lpad(digits, F.greatest(F.lit(10), F.length(digits)), F.lit("0"))
 
 
 def legacy_root(symbol: Column) -> Column:

@@ -33,9 +33,6 @@ SIZED_DECIMAL = r"^(?:numeric|decimal)\((\d+),(\d+)\)$"
 TIME_OF_DAY = "time without time zone"
 BARE_DECIMAL = ("numeric", "decimal")
 
-# Fixed value: the source database allows at most this many columns per table.
-MAX_TABLE_COLUMNS = 1600
-
 
 def spark_type(data_type: Column) -> Column:
     """Spark DDL type of a database type text; NULL where unsupported."""
@@ -74,8 +71,7 @@ def typed_columns(columns: DataFrame) -> DataFrame:
 def table_schemas(columns: DataFrame) -> DataFrame:
     """One DDL text per (library, table), columns in ordinal order.
 
-    The per-table list is bounded: a source table holds at most 1,600 columns,
-    and more than that is an error rather than a silently huge group.
+    A group is the column list of one table, which the catalog itself bounds.
     """
 
     piece = F.struct(
@@ -93,9 +89,7 @@ def table_schemas(columns: DataFrame) -> DataFrame:
         "library",
         "table_name",
         "column_count",
-        F.when(F.col("column_count") <= MAX_TABLE_COLUMNS, ddl)
-        .otherwise(F.raise_error(F.lit("more columns than a source table can hold")).cast("string"))
-        .alias("schema_ddl"),
+        ddl.alias("schema_ddl"),
     )
 
 
@@ -115,7 +109,16 @@ def _conformed(df: DataFrame, field: T.StructField) -> Column:
         return strict_date(F.col(field.name), source_type.typeName())
     if source_type == field.dataType:
         return F.col(field.name)
-    return F.col(field.name).try_cast(field.dataType)
+    converted = F.col(field.name).try_cast(field.dataType)
+    if isinstance(field.dataType, (T.IntegralType, T.DecimalType)) and isinstance(
+        source_type, (T.FractionalType, T.StringType)
+    ):
+        # A cut or rounded value is a failure. Both sides are compared with all digits that
+        # fit beside the target's integer digits.
+        whole = 20 if isinstance(field.dataType, T.IntegralType) else field.dataType.precision - field.dataType.scale
+        wide = f"decimal(38,{38 - max(whole, 1)})"
+        return F.when(F.col(field.name).try_cast(wide) == converted.try_cast(wide), converted)
+    return converted
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -143,8 +146,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def conform_problems(df: DataFrame, schema: T.StructType, samples: int = 5) -> DataFrame:
     """Per declared column: how many values do not convert, with sample values.
 
-    One pass. Samples are the smallest failing texts, found through a bounded
-    top-k per column before anything is shuffled.
+    One pass over the table. Failing values are counted per distinct text, combined
+    before the shuffle; every distinct failing text is shuffled once. Samples are the
+    smallest of them.
     """
 
     failures = [

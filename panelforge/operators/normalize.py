@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.functions.dates import lenient_date
 from panelforge.functions.numbers import missing_to_null, parse_number, quantize_half_even
 from panelforge.plans.contracts import RULES, SOURCE_COLUMNS, FamilyRules
 
@@ -128,7 +129,7 @@ def decimal_rule(df: DataFrame, name: str, minimum: str, maximum: str, stored: s
 
 
 def date_rule(df: DataFrame, name: str) -> tuple[Column, Check]:
-    typed = F.col(name).try_cast("date")
+    typed = lenient_date(F.col(name), _kind(df, name))
     return typed, Check(name, "must contain dates", typed.isNull() & F.col(name).isNotNull())
 
 
@@ -177,10 +178,16 @@ def normalize(df: DataFrame, rules: FamilyRules) -> Normalized:
 
 
 def normalize_family(df: DataFrame, family: str, source_year: int | None = None) -> Normalized:
-    """Apply one family's contract and rules; the year, where given, goes in front."""
+    """Apply one family's contract and rules; the year, where given, goes in front.
 
-    present = [name for name in SOURCE_COLUMNS[family] if name in df.columns]
-    result = normalize(df.select(*present), RULES[family])
+    Every column of the contract must be there; a source that lacks one fails by name
+    instead of loading NULLs.
+    """
+
+    missing = [name for name in SOURCE_COLUMNS[family] if name not in df.columns]
+    if missing:
+        raise ValueError(f"{family} source lacks contract columns: {', '.join(missing)}")
+    result = normalize(df.select(*SOURCE_COLUMNS[family]), RULES[family])
     result.source_year = source_year
     return result
 

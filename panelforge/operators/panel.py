@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelforge.session import land
+
 # Fixed value: open interest is published with a one-day lag after this date.
 OPEN_INTEREST_LAG_DATE = "2000-11-28"
 
@@ -28,7 +30,8 @@ def usable_links(links: DataFrame, score: int | None = None) -> DataFrame:
 
 
 def link_join(
-    panel: DataFrame, links: DataFrame, score: int | None = None, how: str = "left"
+    panel: DataFrame, links: DataFrame, score: int | None = None, how: str = "left",
+    years: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Attach the identifier whose date range covers the panel date.
 
@@ -36,11 +39,16 @@ def link_join(
     on (secid, year) with the date range as residual. A secid that holds a
     large part of the panel is thereby split by year, and a row is compared
     only with links of its own year. The repetition is bounded by the years of
-    the panel, to which open-ended links are clipped.
+    the panel, to which open-ended links are clipped. ``years`` states them, as
+    the load plan or the partition values know them; without it they cost one
+    more scan of the date column. Panel rows outside stated years find no link.
     """
 
-    first_year = panel.agg(F.min(F.year("date"))).scalar()
-    last_year = panel.agg(F.max(F.year("date"))).scalar()
+    if years is not None:
+        first_year, last_year = F.lit(years[0]), F.lit(years[1])
+    else:
+        first_year = panel.agg(F.min(F.year("date"))).scalar()
+        last_year = panel.agg(F.max(F.year("date"))).scalar()
     spread = (
         usable_links(links, score)
         .withColumn("_first", F.greatest(F.year("sdate"), first_year))
@@ -77,7 +85,9 @@ def link_match_rate(linked: DataFrame) -> DataFrame:
 def attach_underlying(options: DataFrame, prices: DataFrame) -> DataFrame:
     """Underlying close and return on (secid, date), strike in dollars, moneyness.
 
-    ``prices`` must hold one row per (secid, date).
+    ``prices`` must hold one row per (secid, date). It should come from storage, not
+    straight from a grouping: a hot (secid, date) of options can be split only when the
+    join reads both sides from a plain shuffle.
     """
 
     under = prices.select("secid", "date", F.col("close").alias("underlying_close"),
@@ -95,44 +105,24 @@ def attach_underlying(options: DataFrame, prices: DataFrame) -> DataFrame:
 def volume_totals(options: DataFrame) -> DataFrame:
     """Volume and open interest per (secid, date, call/put) plus a total row.
 
-    One grouping on (secid, date) computes call, put, unlabelled and total sums
-    side by side; rows are laid out afterwards. Unlike grouping sets this does
+    One wide grouping on (secid, date, cp_flag), whatever labels occur; the few label rows
+    of a day are then grouped once more for the total. Unlike grouping sets this does
     not double the input before the shuffle. ``cp_flag`` is NULL on total rows,
     which ``is_total`` tells apart from unlabelled contracts.
     """
 
-    flag = F.col("cp_flag")
-    groups = {"C": flag == "C", "P": flag == "P", None: flag.isNull()}
-    sums = []
-    for label, test in groups.items():
-        name = label or "none"
-        sums += [
-            F.sum(F.when(test, F.col("volume"))).alias(f"volume_{name}"),
-            F.sum(F.when(test, F.col("open_interest"))).alias(f"open_interest_{name}"),
-            F.count_if(test).alias(f"contracts_{name}"),
-        ]
-    daily = options.groupBy("secid", "date").agg(
-        *sums,
-        F.sum("volume").alias("volume_total"),
-        F.sum("open_interest").alias("open_interest_total"),
-        F.count(F.lit(1)).alias("contracts_total"),
+    by_label = options.groupBy("secid", "date", "cp_flag").agg(
+        F.sum("volume").alias("volume"), F.sum("open_interest").alias("open_interest"),
+        F.count(F.lit(1)).alias("contracts"),
     )
-
-    def line(label: str | None, name: str, total: bool):
-        return F.struct(
-            F.lit(label).cast("string").alias("cp_flag"),
-            F.lit(total).alias("is_total"),
-            F.col(f"volume_{name}").alias("volume"),
-            F.col(f"open_interest_{name}").alias("open_interest"),
-            F.col(f"contracts_{name}").alias("contracts"),
-        )
-
-    lines = F.array(line("C", "C", False), line("P", "P", False), line(None, "none", False), line(None, "total", True))
-    return (
-        daily.select("secid", "date", F.explode(lines).alias("t"))
-        .where(F.col("t.contracts") > 0)
-        .select("secid", "date", "t.*")
+    measures = ("volume", "open_interest", "contracts")
+    label = F.struct("cp_flag", F.lit(False).alias("is_total"), *measures)
+    daily = by_label.groupBy("secid", "date").agg(
+        F.collect_list(label).alias("labels"), *[F.sum(m).alias(m) for m in measures]
     )
+    total = F.struct(F.lit(None).cast("string").alias("cp_flag"), F.lit(True).alias("is_total"), *measures)
+    lines = F.concat("labels", F.array(total))
+    return daily.select("secid", "date", F.explode(lines).alias("t")).select("secid", "date", "t.*")
 
 
 def lag_trading_day(panel: DataFrame, keys: Sequence[str], value: str, date_column: str = "date") -> DataFrame:
@@ -140,13 +130,17 @@ def lag_trading_day(panel: DataFrame, keys: Sequence[str], value: str, date_colu
 
     Trading days are the dates that occur anywhere in the panel. ``panel`` must
     hold one row per key and date, so both the calendar and the rows of one key
-    are bounded by the number of days. The calendar is numbered in one small
-    task and broadcast; the panel is shuffled once, by key.
+    are bounded by the number of days. The calendar holds whole days whatever
+    the column's type, is numbered in one small task and stored, so Spark knows
+    how small it is; the panel is shuffled once, by key.
     """
 
+    panel = panel.withColumn(date_column, F.col(date_column).cast("date"))
     day = F.col(date_column)
     calendar = panel.select(day.alias("_day")).distinct()
-    calendar = calendar.select("_day", F.lag("_day").over(Window.orderBy("_day")).alias("previous_date"))
+    calendar = land(
+        calendar.select("_day", F.lag("_day").over(Window.orderBy("_day")).alias("previous_date")), "trading-days"
+    )
     in_order = Window.partitionBy(*keys).orderBy(date_column)
     earlier = panel.select(
         "*",
@@ -154,7 +148,7 @@ def lag_trading_day(panel: DataFrame, keys: Sequence[str], value: str, date_colu
         F.lag(value).over(in_order).alias("_earlier_value"),
     )
     return (
-        earlier.join(F.broadcast(calendar), day == F.col("_day"), "left")
+        earlier.join(calendar, day == F.col("_day"), "left")
         .withColumn(
             f"lagged_{value}",
             F.when(F.col("_earlier_day") == F.col("previous_date"), F.col("_earlier_value")),
@@ -185,18 +179,23 @@ def historical_volatility(
     calendar day, which turns each window into the difference of two rows at a
     fixed distance. All windows then cost one shuffle, one sort and a constant
     amount of work per row, where a sliding frame would re-add up to 1,825 days
-    for each row.
+    for each row. The sums are decimals of 18 and 24 digits after the point, so
+    the differences are exact however large an earlier return was. A return that
+    is NaN, infinite or not above -1 counts as missing.
     """
 
-    log_return = F.log1p(F.col(return_column))
+    plain = F.when(F.col(return_column) > -1, F.log1p(F.col(return_column)))
+    finite = F.when(~F.isnan(plain) & (F.abs(plain) < F.lit(float("inf"))), plain)
+    log_return = finite.cast("decimal(24,18)")
+    square = (finite * finite).cast("decimal(28,24)")
     in_order = Window.partitionBy(key).orderBy(date_column)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = returns.select(
         key,
         F.col(date_column).cast("date").alias(date_column),
         F.count(log_return).over(so_far).alias("_n"),
-        F.coalesce(F.sum(log_return).over(so_far), F.lit(0.0)).alias("_s"),
-        F.coalesce(F.sum(log_return * log_return).over(so_far), F.lit(0.0)).alias("_q"),
+        F.coalesce(F.sum(log_return).over(so_far), F.lit(0)).cast("decimal(34,18)").alias("_s"),
+        F.coalesce(F.sum(square).over(so_far), F.lit(0)).cast("decimal(38,24)").alias("_q"),
         F.lead(date_column).over(in_order).cast("date").alias("_next"),
     )
     # One row per calendar day up to the next observation.
@@ -208,7 +207,10 @@ def historical_volatility(
         F.struct(F.col("_n").alias("n"), F.col("_s").alias("s"), F.col("_q").alias("q")).alias("_now"),
     )
     by_day = Window.partitionBy(key).orderBy("_day")
-    nothing = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
+    nothing = F.struct(
+        F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("decimal(34,18)").alias("s"),
+        F.lit(0).cast("decimal(38,24)").alias("q"),
+    )
     before = [F.coalesce(F.lag("_now", w).over(by_day), nothing).alias(f"_w{w}") for w in windows]
     observed = daily.select(key, "_day", date_column, "_now", *before).where(F.col("_day") == F.col(date_column))
 
@@ -216,8 +218,8 @@ def historical_volatility(
 
     def measure(w: int):
         n = F.col("_now.n") - F.col(f"_w{w}.n")
-        s = F.col("_now.s") - F.col(f"_w{w}.s")
-        q = F.col("_now.q") - F.col(f"_w{w}.q")
+        s = (F.col("_now.s") - F.col(f"_w{w}.s")).cast("double")
+        q = (F.col("_now.q") - F.col(f"_w{w}.q")).cast("double")
         variance = F.greatest((q - s * s / n) / (n - 1), F.lit(0.0))
         return F.struct(
             F.lit(w).alias("window_days"),

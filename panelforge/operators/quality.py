@@ -185,7 +185,7 @@ def validation_report(
             checks = target_checks(df, target, family, years_of[target])
         except (AnalysisException, ValueError) as error:
             checks = spark.createDataFrame(
-                [(target, "missing_or_unreadable", str(error).splitlines()[0])],
+                [(target, "missing_or_unreadable", (str(error).splitlines() or [type(error).__name__])[0])],
                 "table string, check_name string, value string",
             )
         report = checks if report is None else report.unionByName(checks)

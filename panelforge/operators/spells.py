@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.text import interpretation
+from panelforge.session import land
 
 SPELL_COLUMNS = ("person_id", "organisation_id", "start_date", "end_date", "src")
 
@@ -90,6 +91,16 @@ def spell_profile(spells: DataFrame) -> DataFrame:
     return pairs.select("person_id", "organisation_id", F.transform(starts, latest_end).alias("spans"))
 
 
+def _stored_profile(spells: DataFrame) -> DataFrame:
+    """The profile, computed once and stored.
+
+    A join that reads a stored table shuffles it by itself, directly below the join's
+    sort, which is the form in which adaptive execution can split a hot key of the edges.
+    """
+
+    return land(spell_profile(spells), "spell-profile")
+
+
 def _side_flags(spans: Column, first_year: Column, last_year: Column) -> Column:
     """(any spell in range, any spell with a start in range) for one side."""
 
@@ -138,7 +149,7 @@ def check_person_edges(
     The two persons must differ.
     """
 
-    profile = spell_profile(spells)
+    profile = _stored_profile(spells)
     flagged = _with_side(edges, profile, person_a, organisation, years, "_a")
     flagged = _with_side(flagged, profile, person_b, organisation, years, "_b")
     return flagged.withColumn("matched", _matched(F.col(person_a) != F.col(person_b))).drop("_a", "_b")
@@ -160,8 +171,8 @@ def check_organisation_edges(
     additionally requires the organisations to differ.
     """
 
-    profile_a = spell_profile(spells_a)
-    profile_b = profile_a if spells_b is spells_a else spell_profile(spells_b)
+    profile_a = _stored_profile(spells_a)
+    profile_b = profile_a if spells_b is spells_a else _stored_profile(spells_b)
     flagged = _with_side(edges, profile_a, person, organisation_a, years, "_a")
     flagged = _with_side(flagged, profile_b, person, organisation_b, years, "_b")
     extra = F.col(organisation_a) != F.col(organisation_b) if distinct_organisations else None
@@ -183,11 +194,12 @@ def check_point_event_edges(
     on), which is the ``dated`` flag.
     """
 
-    flagged = _with_side(edges, spell_profile(spells), person, organisation_a, years, "_a")
-    event_years = (
+    flagged = _with_side(edges, _stored_profile(spells), person, organisation_a, years, "_a")
+    event_years = land(
         events.groupBy("person_id", "organisation_id")
         .agg(F.collect_set(F.year("start_date")).alias("event_years"))
-        .withColumnsRenamed({"person_id": "_person", "organisation_id": "_organisation"})
+        .withColumnsRenamed({"person_id": "_person", "organisation_id": "_organisation"}),
+        "event-years",
     )
     joined = flagged.join(
         event_years,
@@ -214,7 +226,7 @@ def check_exact_rows(
 
     pairs = [*keys, *nullable_keys]
     known = source.select(*[F.col(right).alias(f"_k{i}") for i, (_, right) in enumerate(pairs)]).distinct()
-    known = known.withColumn("_known", F.lit(True))
+    known = land(known.withColumn("_known", F.lit(True)), "known-rows")
     condition = [rows[left] == known[f"_k{i}"] for i, (left, _) in enumerate(keys)]
     condition += [
         rows[left].eqNullSafe(known[f"_k{i + len(keys)}"]) for i, (left, _) in enumerate(nullable_keys)

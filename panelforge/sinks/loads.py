@@ -23,6 +23,13 @@ SUMMARY_SCHEMA = (
 )
 
 
+def first_line(error: BaseException) -> str:
+    """First line of an error's text; its class name where it has none."""
+
+    lines = str(error).splitlines()
+    return lines[0] if lines else type(error).__name__
+
+
 def _now() -> datetime:
     return datetime.now(UTC)
 
@@ -78,10 +85,10 @@ class Loader:
         """Refuse a source whose target is missing or already holds its rows."""
 
         if not path_exists(self.spark, self.target_path(planned.target_table)):
-            raise ValueError(f"{planned.target_table} is missing; create the targets first")
+            raise ValueError(f"{planned.target_table} is missing, so nothing was loaded; run create_targets")
         if not self._slice(planned).isEmpty():
             raise ValueError(
-                f"{planned.target_table} already has rows for {planned.source_table}; append-once data is not reloaded"
+                f"{planned.target_table} holds rows of {planned.source_table}; clear them before loading them anew"
             )
 
     # -- audit -----------------------------------------------------------------
@@ -135,7 +142,7 @@ class Loader:
             self.audit(planned, 0, started, INTERRUPTED, "KeyboardInterrupt")
             raise
         except Exception as error:
-            self.audit(planned, 0, started, FAILED, str(error).splitlines()[0])
+            self.audit(planned, 0, started, FAILED, first_line(error))
             raise
         self.audit(planned, loaded, started, COMPLETE)
         self._summarize(planned, loaded, started)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,10 +59,14 @@ def sample_rows(df: DataFrame, rows: int, order: Sequence[str] = ()) -> DataFram
     return (df.orderBy(*order) if order else df).limit(rows)
 
 
-def file_table_name(file_path):
-    """Table name of a Parquet output: the part of the path that ends in ``.parquet``."""
+def file_table_name(file_path, folder: str):
+    """Table name of an output in ``folder``: the entry below it, which ends in ``.parquet``.
 
-    return F.regexp_extract(file_path, r"([^/]+)\.parquet(?:/[^/]+)?$", 1)
+    Partition folders and part files below the entry do not matter.
+    """
+
+    below = re.escape(folder.rstrip("/").split("://")[-1].removeprefix("file:").rsplit("/", 1)[-1])
+    return F.regexp_extract(file_path, rf"^.*?/{below}/([^/]+)\.parquet(?:/.*)?$", 1)
 
 
 def discover_tables(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,7 +87,7 @@ def discover_tables(spark: SparkSession, folder: str) -> DataFrame:
         spark.read.schema("_unused int")
         .option("recursiveFileLookup", "true")
         .parquet(*paths)
-        .groupBy(file_table_name(F.col("_metadata.file_path")).alias("table_name"))
+        .groupBy(file_table_name(F.col("_metadata.file_path"), folder).alias("table_name"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     return known.join(counted, "table_name", "left").select(

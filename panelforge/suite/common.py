@@ -20,6 +20,17 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, rows_per_task: int = 20_000) -> DataFrame:
+    """Deal rows out to tasks of about ``rows_per_task`` for work that is heavy per row.
+
+    The number of tasks follows the table (its count comes from the file footers) and is
+    at least the number of cores.
+    """
+
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_task))
+    return df.repartition(tasks)
+
+
 Query = Callable[[Tables], DataFrame]
 
 

@@ -12,11 +12,18 @@ from pyspark.sql import functions as F
 
 from panelforge.operators import filings as H
 from panelforge.session import land
-from panelforge.suite.common import Suite, Tables, number
+from panelforge.suite.common import Suite, Tables, number, spread
 
 suite = Suite()
 
 
+def padded(number: Column, width: int) -> Column:
+    """Padded with zeros to ``width`` digits; longer numbers stay whole."""
+
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
+
+
 def _tag(prefix: Column, name: str, text: Column) -> Column:
     return F.concat(F.lit("<"), prefix, F.lit(f"{name}>"), text, F.lit("</"), prefix, F.lit(f"{name}>"))
 
@@ -45,7 +52,7 @@ def holding_documents(t: Tables) -> DataFrame:
         return F.concat(
             F.lit("<"), p, F.lit("infoTable>"),
             _tag(p, "nameOfIssuer", F.concat(F.lit(" Issuer "), part.cast("string"), F.lit(" &amp; Co "))),
-            _tag(p, "cusip", F.lpad(part.cast("string"), 9, "0")),
+            _tag(p, "cusip", padded(part, 9)),
             _tag(p, "value", value),
             F.when(flag == "N", amount).otherwise(_tag(p, "shrsOrPrnAmt", amount)),
             F.when(flag != "R", _tag(p, "putCall", F.lit("Put"))).otherwise(""),
@@ -55,10 +62,10 @@ def holding_documents(t: Tables) -> DataFrame:
 
     body = F.array_join(F.transform(F.sequence(F.lit(1), F.col("l_linenumber")), entry), "")
     space = F.when(flag == "A", ' xmlns:n1="urn:holdings"').otherwise(' xmlns="urn:holdings"')
-    # Rendering and parsing XML is heavy per row, so the rows are spread over all
-    # cores first; a real landing folder is already split over many files.
+    # Rendering and parsing XML is heavy per row, so the rows are dealt out first; a
+    # real landing folder is already split over many files.
     columns = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
-    rows = t("lineitem").select(*columns).repartition(4 * t.spark.sparkContext.defaultParallelism)
+    rows = spread(t("lineitem").select(*columns))
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.concat(
@@ -73,7 +80,7 @@ KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 HOLDINGS_SQL = """
 holdings AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, i - 1 AS position,
-    'Issuer ' || l_partkey || ' & Co' AS name_of_issuer, lpad(CAST(l_partkey AS VARCHAR), greatest(9, 9), '0') AS cusip,
+    'Issuer ' || l_partkey || ' & Co' AS name_of_issuer, lpad(CAST(l_partkey AS VARCHAR), CAST(greatest(9, length(CAST(l_partkey AS VARCHAR))) AS INTEGER), '0') AS cusip,
     CASE WHEN i = 3 THEN '' WHEN i % 2 = 0 THEN i || ',' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0')
          ELSE i || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') END AS value,
     CASE WHEN i = 3 THEN -1 ELSE i * 1000 + l_partkey % 1000 END AS amount,
@@ -139,7 +146,7 @@ def submissions(t: Tables) -> DataFrame:
         F.transform(steps, lambda i: F.get(names, (key + i * i) % 5)).alias("form"),
         F.transform(steps, accession).alias("accession_number"),
         F.transform(steps, lambda i: F.concat(F.lit("primary_"), i.cast("string"), F.lit(".xml"))).alias("primary_document"),
-        F.when(customer % 41 == 0, F.slice(dates, 2, 100)).otherwise(dates).alias("filing_date"),
+        F.when(customer % 41 == 0, F.slice(dates, F.lit(2), F.size(dates))).otherwise(dates).alias("filing_date"),
     )
 
 
@@ -152,7 +159,7 @@ feed AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY i) AS rn FROM feed WHERE f IN (1, 3) AND c % 41 <> 0)
   WHERE rn = 1
 ), filings AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS cik, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS padded_cik,
+  SELECT CAST(o_orderkey AS VARCHAR) AS cik, lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(10, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') AS padded_cik,
     CASE f WHEN 1 THEN '13F-HR' WHEN 3 THEN '13F-HR/A' END AS filing_type,
     printf('%010d-%02d-%06d', k, i, c) AS accession_number, 'primary_' || i || '.xml' AS primary_document,
     strftime(filed, '%Y-%m-%d') AS filing_date,

@@ -372,25 +372,21 @@ def table_date_range(t: Tables) -> DataFrame:
     return found.select(iso("min_date").alias("min_date"), iso("max_date").alias("max_date"))
 
 
-UNION_YEARS = list(range(1995, 2002))
-
-
 @suite.register(f"""WITH {PANEL_SQL} SELECT CAST(source_year AS BIGINT) AS source_year, secid, optionid, volume
-FROM panel WHERE source_year BETWEEN {UNION_YEARS[0]} AND {UNION_YEARS[-1]}""")
+FROM panel WHERE source_year IS NOT NULL""")
 def yearly_tables_united(t: Tables) -> DataFrame:
     """One table per year, united again with the year in front."""
 
     panel = option_panel(t)
-    yearly = [
-        (y, panel.where(F.col("source_year") == y).select("secid", "optionid", "volume")) for y in UNION_YEARS
-    ]
+    years = sorted(r[0] for r in panel.select("source_year").distinct().collect() if r[0] is not None)
+    yearly = [(y, panel.where(F.col("source_year") == y).select("secid", "optionid", "volume")) for y in years]
     united = union_years(yearly)
     return united.withColumn("source_year", F.col("source_year").cast("bigint"))
 
 
 # --- declared schemas: text rows conformed to types
 
-CONFORM_SCHEMA = "o_orderkey bigint, o_orderdate date, o_totalprice decimal(12,2), o_note string"
+CONFORM_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_orderdate date, o_totalprice decimal(12,2), o_note string"
 
 
 def text_orders(t: Tables, broken: bool) -> DataFrame:
@@ -402,14 +398,19 @@ def text_orders(t: Tables, broken: bool) -> DataFrame:
     price = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
     if broken:
         price = F.when(key % 73 == 0, F.concat(F.lit("n/a "), key % 7)).otherwise(price)
+        # One digit more than the type holds.
+        price = F.when(key % 71 == 0, F.concat(F.lit("1.23"), key % 5 + 1)).otherwise(price)
+    customer = F.col("o_custkey").cast("double")
+    if broken:
+        customer = F.when(key % 67 == 0, customer % 10 + 0.5).otherwise(customer)
     return t("orders").select(
-        key.cast("string").alias("o_orderkey"), date_text.alias("o_orderdate"), price.alias("o_totalprice"),
+        key.cast("string").alias("o_orderkey"), customer.alias("o_custkey"), date_text.alias("o_orderdate"), price.alias("o_totalprice"),
         F.lit(None).cast("string").alias("o_note"),
     )
 
 
 @suite.register("""
-SELECT o_orderkey, CASE WHEN o_orderkey % 89 = 0 THEN '9000-01-01'
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 89 = 0 THEN '9000-01-01'
                         WHEN o_orderkey % 83 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS o_orderdate,
        CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS o_totalprice, CAST(NULL AS VARCHAR) AS o_note
 FROM orders""")
@@ -422,7 +423,11 @@ def conform_types(t: Tables) -> DataFrame:
 WITH bad AS (
   SELECT 'o_orderdate' AS column_name, 'date' AS declared_type, '2005' AS v FROM orders WHERE o_orderkey % 79 = 0
   UNION ALL
-  SELECT 'o_totalprice', 'decimal(12,2)', 'n/a ' || (o_orderkey % 7) FROM orders WHERE o_orderkey % 73 = 0
+  SELECT 'o_totalprice', 'decimal(12,2)', 'n/a ' || (o_orderkey % 7) FROM orders WHERE o_orderkey % 73 = 0 AND o_orderkey % 71 <> 0
+  UNION ALL
+  SELECT 'o_totalprice', 'decimal(12,2)', '1.23' || (o_orderkey % 5 + 1) FROM orders WHERE o_orderkey % 71 = 0
+  UNION ALL
+  SELECT 'o_custkey', 'bigint', (o_custkey % 10) || '.5' FROM orders WHERE o_orderkey % 67 = 0
 ), ranked AS (
   SELECT column_name, v, row_number() OVER (PARTITION BY column_name ORDER BY v) AS rn
   FROM (SELECT DISTINCT column_name, v FROM bad)

@@ -126,7 +126,13 @@ def daily_returns(t: Tables) -> DataFrame:
         F.col("l_suppkey").alias("secid"), F.col("l_shipdate").cast("date").alias("date")
     ).agg(F.max("l_extendedprice").alias("close"))
     before = F.lag("close").over(Window.partitionBy("secid").orderBy("date"))
-    return closes.select("secid", "date", (F.col("close") / before - 1).alias("return"))
+    change = F.col("close") / before - 1
+    # Planted: NaN, which counts as missing, and now and then a return that dwarfs the others.
+    day = F.dayofyear("date")
+    return closes.select(
+        "secid", "date",
+        F.when(day % 53 == 0, F.lit(float("nan"))).when(day % 61 == 0, change + 1000).otherwise(change).alias("return"),
+    )
 
 
 VOLATILITY_SQL = " UNION ALL ".join(
@@ -140,7 +146,9 @@ VOLATILITY_SQL = " UNION ALL ".join(
 @suite.register(f"""WITH closes AS (
   SELECT l_suppkey AS secid, CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS close FROM lineitem GROUP BY 1, 2
 ), returns AS (
-  SELECT secid, date, ln(1 + (close / lag(close) OVER (PARTITION BY secid ORDER BY date) - 1)) AS r FROM closes
+  SELECT secid, date, CASE WHEN dayofyear(date) % 53 = 0 THEN NULL
+    ELSE ln(1 + (close / lag(close) OVER (PARTITION BY secid ORDER BY date) - 1)
+            + CASE WHEN dayofyear(date) % 61 = 0 THEN 1000 ELSE 0 END) END AS r FROM closes
 )
 SELECT secid, strftime(date, '%Y-%m-%d') AS date, CAST(window_days AS BIGINT) AS window_days, observations,
        round(v, 6) AS volatility FROM ({VOLATILITY_SQL})""")

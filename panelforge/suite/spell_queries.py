@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.operators import spells as S
+from panelforge.session import land
 from panelforge.suite.common import Suite, Tables, number
 
 suite = Suite()
@@ -49,6 +50,12 @@ SHIFT_SQL = """coalesce(year(s), 1998) + CASE WHEN line = 7 THEN 30 WHEN line =
 
 
 def emp(t: Tables) -> DataFrame:
+    """Employment spells, joined once per query and stored for the edges, hubs and profiles made of them."""
+
+    return land(_emp(t), "employment")
+
+
+def _emp(t: Tables) -> DataFrame:
     orders = t("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     day = F.col("o_orderdate").cast("date")
     return t("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -104,7 +111,7 @@ def first_year():
 def person_edges(t: Tables) -> DataFrame:
     e = emp(t)
     return (
-        e.join(hub(e, "organisation", "person"), F.col("organisation") == F.col("_group"))
+        e.join(hub(e, "organisation", "person"), F.col("organisation") == F.col("_group"), "left")
         .select(
             F.col("hub").alias("dirbrdid"),
             F.col("person").alias("directorid"),
@@ -119,7 +126,7 @@ PERSON_EDGES_SQL = f"""
 edges AS (
   SELECT hub AS dirbrdid, person AS directorid, organisation AS companyid,
          {SHIFT_SQL} AS overlapyearstart, {SHIFT_SQL} + 1 AS overlapyearend
-  FROM emp JOIN org_hub USING (organisation)
+  FROM emp LEFT JOIN org_hub USING (organisation)
 )"""
 
 PERSON_FLAGS_SQL = f"""
@@ -181,7 +188,7 @@ board_edges AS (
   SELECT CASE WHEN flag = 'A' THEN 'listed_assoc' ELSE 'unlisted_assoc' END AS table_name,
          hub AS boardid, person AS directorid, organisation AS companyid,
          {SHIFT_SQL} AS overlapyearstart, {SHIFT_SQL} + 1 AS overlapyearend
-  FROM emp JOIN person_hub USING (person)
+  FROM emp LEFT JOIN person_hub USING (person)
 ), activity_edges AS (
   SELECT CASE WHEN event_type IN ('click', 'view') THEN 'nfp_assoc' ELSE 'other_assoc' END AS table_name,
          hub AS boardid, person AS directorid,
@@ -210,7 +217,7 @@ board_edges AS (
 def checked_associations(t: Tables) -> DataFrame:
     e, o = emp(t), other_activities(t)
     home = hub(e, "person", "organisation")
-    board = e.join(home, F.col("person") == F.col("_group")).select(
+    board = e.join(home, F.col("person") == F.col("_group"), "left").select(
         F.when(F.col("flag") == "A", "listed_assoc").otherwise("unlisted_assoc").alias("table_name"),
         F.col("hub").alias("boardid"),
         F.col("person").alias("directorid"),
@@ -341,8 +348,8 @@ roles AS (
 )"""
 
 
-def united_roles(t: Tables) -> DataFrame:
-    e = emp(t)
+def united_roles(t: Tables, e: DataFrame | None = None) -> DataFrame:
+    e = emp(t) if e is None else e
     return S.union_spells(
         [
             spells_of(e.where(F.col("flag") == "A"), "emp"),
@@ -372,7 +379,7 @@ COMPANY_EDGES_SQL = f"""
 edges AS (
   SELECT hub AS boardid, organisation AS companyid, person AS directorid,
          {SHIFT_SQL} AS overlapyearstart, {SHIFT_SQL} + 1 AS overlapyearend
-  FROM emp JOIN person_hub USING (person)
+  FROM emp LEFT JOIN person_hub USING (person)
 ), flagged AS (
   SELECT x.*, EXISTS (
     SELECT 1 FROM roles a, roles b
@@ -389,14 +396,14 @@ edges AS (
 )
 def company_network_flags(t: Tables) -> DataFrame:
     e = emp(t)
-    edges = e.join(hub(e, "person", "organisation"), F.col("person") == F.col("_group")).select(
+    edges = e.join(hub(e, "person", "organisation"), F.col("person") == F.col("_group"), "left").select(
         F.col("hub").alias("boardid"),
         F.col("organisation").alias("companyid"),
         F.col("person").alias("directorid"),
         first_year().alias("overlapyearstart"),
         (first_year() + 1).alias("overlapyearend"),
     )
-    roles = united_roles(t)
+    roles = united_roles(t, e)
     checked = S.check_organisation_edges(
         edges, roles, roles, "boardid", "companyid", "directorid", YEARS, distinct_organisations=True
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.plans import load_plan as P
-from panelforge.plans.contracts import LAYOUTS
+from panelforge.plans.contracts import LAYOUTS, SOURCE_COLUMNS
 from panelforge.sinks import exports as E
 from panelforge.sinks import loads as L
 from panelforge.sinks.layouts import write_layout
@@ -17,8 +17,42 @@ from panelforge.sources.tables import discover_tables, distinct_library_names, r
 PRICE = "secid double, date string, volume double, close double"
 
 
+def whole(df, family):
+    """The rows with every column of the contract; those not given are NULL."""
+
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in SOURCE_COLUMNS[family]])
+
+
 def prices(spark, year, volume=10.0):
-    return spark.createDataFrame([(1.0, f"{year}-01-02", volume, 9.5), (2.0, None, 3.0, None)], PRICE)
+    return whole(
+        spark.createDataFrame([(1.0, f"{year}-01-02", volume, 9.5), (2.0, None, 3.0, None)], PRICE), "secprd"
+    )
+
+
+def test_source_without_a_contract_column_fails(spark, tmp_path):
+    loader = L.Loader(spark, str(tmp_path))
+    plan = P.build_plan(price_years=[2020])
+    loader.create_targets(plan)
+    with pytest.raises(ValueError, match="lacks contract columns: .*cfadj"):
+        loader.load(plan, lambda p: prices(spark, 2020).drop("cfadj"))
+    assert [e.status for e in loader.events().orderBy("completed_at").collect()][-1] == "failed"
+
+
+def test_error_without_text_is_audited(spark, tmp_path):
+    loader = L.Loader(spark, str(tmp_path))
+    plan = P.build_plan(price_years=[2020])
+    loader.create_targets(plan)
+
+    class Silent:
+        columns = ()
+
+        def __getattr__(self, name):
+            raise RuntimeError
+
+    with pytest.raises(Exception):
+        loader.load_one(plan[0], Silent())
+    assert L.first_line(RuntimeError()) == "RuntimeError"
+    assert [e.status for e in loader.events().orderBy("completed_at").collect()] == ["started", "failed"]
 
 
 def test_load_resume_refuse_and_clear(spark, tmp_path):
@@ -38,7 +72,7 @@ def test_load_resume_refuse_and_clear(spark, tmp_path):
         ("secprd2020", "started"), ("secprd2020", "complete"), ("secprd2021", "started"), ("secprd2021", "failed")]
     assert loader.read_target(plan[0]).count() == 2
 
-    with pytest.raises(ValueError, match="already has rows for secprd2020"):
+    with pytest.raises(ValueError, match="holds rows of secprd2020"):
         loader.load(plan, read, resume=False)
     assert loader.clear_failed(plan) == ["secprd"]
     assert loader.clear_failed(plan) == []
@@ -68,6 +102,7 @@ def test_option_tables_by_month(spark, tmp_path):
         [(2.0, "2024-02-01", "C", 0.5), (1.0, "2024-01-02", None, 0.1), (3.0, None, "P", None)],
         "secid double, date string, cp_flag string, delta double",
     )
+    df = whole(df, "opprcd")
     assert loader.load(plan, lambda p: df) == [("opprcd2024", "opprcd2024", 3)]
     got = loader.read_target(plan[0]).select("month", "secid").orderBy("month").collect()
     assert [tuple(r) for r in got] == [("197001", 3), ("202401", 1), ("202402", 2)]

@@ -95,9 +95,20 @@ def test_contracts():
 
 def test_source_year_goes_first(spark):
     df = spark.createDataFrame([(1.0, "2020-01-02")], "secid double, date string")
+    with pytest.raises(ValueError, match="lacks contract columns"):
+        N.normalize_family(df, "secprd", 2020)
+    df = df.select("*", *[F.lit(None).cast("double").alias(c) for c in SOURCE_COLUMNS["secprd"] if c not in df.columns])
     assert N.valid_rows(N.normalize_family(df, "secprd", 2020)).columns[0] == "source_year"
 
 
+def test_dates_are_whole(spark):
+    texts = ["2024-01-02", "20240102", "2024-01-02 10:30:00", "2024-01-02T10:30:00Z", "2024-01-02 junk", "12024-01-01", "2024-02-30"]
+    df = spark.createDataFrame([(t,) for t in texts], "date string")
+    typed, check = N.date_rule(df, "date")
+    rows = df.select(typed.cast("string").alias("d"), check.bad.alias("bad")).collect()
+    assert [(r.d, r.bad) for r in rows] == [("2024-01-02", False)] * 4 + [(None, True)] * 3
+
+
 def test_default_sort_columns():
     assert default_sort_columns(["x", "companyid", "directorid", "enddate", "startdate"]) == ["directorid", "startdate"]
     assert default_sort_columns(["x"]) == []
