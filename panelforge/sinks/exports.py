@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.operators.conform import conform
-from panelforge.sources.tables import path_exists
+from panelforge.sources.tables import delete_path, entry_names, path_exists, rename_path
 
 
 def output_path(folder: str, library: str, table: str) -> str:
@@ -17,9 +18,45 @@ def output_path(folder: str, library: str, table: str) -> str:
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
-    """A finished output: Spark's success marker is written last."""
-
-    return path_exists(spark, f"{path}/_SUCCESS")
+    """A finished output: the success marker is there and every file has a readable footer."""
+
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        return False
+    try:
+        # No column is read; the count comes from the footers of all files.
+        spark.read.schema("_unused int").option("ignoreCorruptFiles", False).parquet(path).count()
+    except Exception:
+        return False
+    return True
+
+
+def promote(spark: SparkSession, written: str, path: str) -> None:
+    """Put a finished folder in the place of ``path``; the old one goes only when the new one stands."""
+
+    old = f"{path}.replaced-{uuid.uuid4().hex}"
+    there = path_exists(spark, path)
+    if there:
+        rename_path(spark, path, old)
+    try:
+        rename_path(spark, written, path)
+    except Exception:
+        if there:
+            rename_path(spark, old, path)
+        raise
+    if there:
+        delete_path(spark, old)
+
+
+def completed_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """(library, table_name) of the finished outputs of an export folder."""
+
+    done = []
+    if path_exists(spark, folder):
+        for name in entry_names(spark, folder):
+            library, mark, table = name.removesuffix(".parquet").partition("__")
+            if mark and name.endswith(".parquet") and is_complete(spark, f"{folder.rstrip('/')}/{name}"):
+                done.append((library, table))
+    return spark.createDataFrame(done, "library string, table_name string")
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -46,8 +83,10 @@ def export_table(
     """Write one table as zstd Parquet and return the number of rows written.
 
     With ``resume`` a finished output is left alone (0 rows). An unfinished or
-    unreadable one is rewritten. The row count is observed during the write,
-    and an empty table still leaves files that carry the schema.
+    unreadable one is rewritten. Rows go to a folder beside the output, which takes the
+    output's place when it is complete, so a failing rewrite keeps the old one. The
+    row count is observed during the write, and an empty table still leaves files that
+    carry the schema.
     """
 
     spark = df.sparkSession
@@ -56,10 +95,16 @@ def export_table(
         return 0
     rows = conform(df, schema) if schema is not None else df
     seen = Observation()
-    (
-        rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite").option("compression", "zstd").parquet(path)
-    )
+    written = f"{folder.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+    try:
+        (
+            rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+            .write.option("compression", "zstd").parquet(written)
+        )
+        promote(spark, written, path)
+    except Exception:
+        delete_path(spark, written)
+        raise
     if preview_rows > 0:
         write_csv(spark.read.parquet(path).limit(preview_rows), f"{folder.rstrip('/')}/{library}__{table}__sample.csv")
     return int(seen.get["rows"])

@@ -216,16 +216,15 @@ def load_file_tables(
     results = []
     for name, df in plan:
         path = f"{root.rstrip('/')}/{name}"
-        exists = path_exists(spark, path)
-        source_rows = df.count()
-        if exists and not replace:
+        if path_exists(spark, path) and not replace:
             current = spark.read.schema(df.schema).parquet(path).count()
-            if resume and current == source_rows:
-                results.append((name, source_rows, current, "skipped"))
+            if resume and current == df.count():
+                results.append((name, current, current, "skipped"))
                 continue
             if current != 0:
-                raise ValueError(f"{name} already exists with {current} rows; replace it to rebuild")
-        write_layout(df, path, layout_for(name, df.columns), mode="overwrite")
+                raise ValueError(f"{name} holds {current} rows and stays as it is; ask for replace to rebuild it")
+        # The source runs once: its rows are counted on their way into the files.
+        source_rows = write_layout(df, path, layout_for(name, df.columns), mode="overwrite")
         target_rows = spark.read.schema(df.schema).parquet(path).count()
         results.append(
             (name, source_rows, target_rows, "loaded" if target_rows == source_rows else "row-count-mismatch")
@@ -246,7 +245,7 @@ def create_empty_tables(
         if path_exists(spark, path) and not replace:
             current = spark.read.schema(df.schema).parquet(path).limit(1).count()
             if current != 0:
-                raise ValueError(f"{name} already exists with rows; replace it to rebuild")
+                raise ValueError(f"{name} holds rows and stays as it is; ask for replace to empty it")
             results.append((name, "already-empty"))
             continue
         spark.createDataFrame([], df.schema).write.mode("overwrite").option("compression", "zstd").parquet(path)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from panelforge.operators import bars as B
 from panelforge.plans.contracts import LAYOUTS
 from panelforge.session import work_dir
+from panelforge.sinks.bar_loads import check_folder, load_bars
 from panelforge.sinks.layouts import write_layout
+from panelforge.sources.tables import entry_names, rename_path
 from panelforge.suite.common import Suite, Tables
 
 suite = Suite()
@@ -165,3 +167,79 @@ def bars_layout_written(t: Tables) -> DataFrame:
     return stored.groupBy("month", "symbol").agg(
         F.count(F.lit(1)).alias("bars"), F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss").alias("first_ts")
     )
+
+
+# --- a folder of bar files from end to end: text files, load, rejects, report
+
+LINES_PER_FILE = 2000
+
+FOLDER_SQL = f"""{BARS_SQL.strip()}, placed AS (
+  SELECT b.*, event_type || (b.event_id // {LINES_PER_FILE}) || '_full_1min_adj.txt' AS file,
+    upper(event_type) || (b.event_id // {LINES_PER_FILE}) AS part,
+    row_number() OVER (PARTITION BY event_type, b.event_id // {LINES_PER_FILE} ORDER BY b.event_id) AS nth
+  FROM bars b JOIN (SELECT event_id, event_type FROM events) e USING (event_id)
+), utc AS (SELECT *, {UTC_SQL.replace("symbol = 'CLICK'", "FALSE")} AS ts FROM placed)"""
+
+
+def bar_folder(t: Tables) -> str:
+    """The bar lines as text files of a new folder, in the order of their events."""
+
+    event = t("events").select("event_id", "event_type")
+    named = (
+        supported(t).join(event, F.col("line_number") == F.col("event_id") + 1)
+        .withColumn("file", F.concat("event_type", F.floor(F.col("event_id") / LINES_PER_FILE), F.lit("_full_1min_adj.txt")))
+        .select("file", "event_id", "line")
+    )
+    staged, folder = work_dir(t.spark, "bar-files-staged"), work_dir(t.spark, "bar-files")
+    # All lines of a file are in one task, so each file folder holds one part.
+    by_file = named.repartition("file").sortWithinPartitions("file", "event_id")
+    by_file.select("file", "line").write.partitionBy("file").text(staged)
+    for entry in entry_names(t.spark, staged):
+        if entry.startswith("file="):
+            part = next(n for n in entry_names(t.spark, f"{staged}/{entry}") if n.startswith("part-"))
+            rename_path(t.spark, f"{staged}/{entry}/{part}", f"{folder}/{entry.removeprefix('file=')}")
+    return folder
+
+
+@suite.register(f"""WITH {FOLDER_SQL}
+SELECT part AS symbol, strftime(ts, '%Y%m') AS month, count(*) AS bars, CAST(sum(event_id) AS DOUBLE) AS volume,
+       strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts
+FROM utc WHERE defect NOT IN {BAD_SQL} GROUP BY 1, 2""")
+def bars_folder_loaded(t: Tables) -> DataFrame:
+    """Files of a folder read, parsed, converted to UTC, written by month and read back."""
+
+    target = work_dir(t.spark, "bars-target")
+    load_bars(t.spark, bar_folder(t), target, work_dir(t.spark, "bars-rejects"), ZONE)
+    stored = t.spark.read.schema("symbol string, ts timestamp_ntz, volume double, month string").parquet(target)
+    return stored.groupBy("symbol", "month").agg(
+        F.count(F.lit(1)).alias("bars"), F.sum("volume").alias("volume"),
+        F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss").alias("first_ts"),
+    )
+
+
+@suite.register(f"""WITH {FOLDER_SQL}
+SELECT file AS file_name, nth AS line_number, file || ':' || nth || CASE defect
+    WHEN 'few' THEN ' expected 6 columns, got 5'
+    WHEN 'empty_ts' THEN ' timestamp does not match YYYY-mm-dd HH:MM:SS: '
+    WHEN 'bad_ts' THEN ' timestamp does not match YYYY-mm-dd HH:MM:SS: 2024-13-45 00:00:00'
+    WHEN 'word' THEN ' open must be a numeric value, got abc'
+    WHEN 'quoted' THEN ' low must be a numeric value, got 1,5'
+    WHEN 'inf_volume' THEN ' volume must be a finite numeric value, got inf' END AS error
+FROM placed WHERE defect IN {BAD_SQL} AND defect <> 'blank'""")
+def bars_folder_rejects(t: Tables) -> DataFrame:
+    """Rejected lines of a folder load with their line numbers, read back from the reject log."""
+
+    rejects = work_dir(t.spark, "bars-rejects")
+    load_bars(t.spark, bar_folder(t), work_dir(t.spark, "bars-target"), rejects, ZONE, clean_start=True)
+    return t.spark.read.schema("file_name string, line_number bigint, error string").json(rejects)
+
+
+@suite.register(f"""WITH {FOLDER_SQL}
+SELECT file AS file_name, issue_count, CASE WHEN issue_count = 0 THEN 'OK' ELSE 'issues found' END AS status FROM (
+  SELECT file, count(*) FILTER (WHERE defect NOT IN ('none', 'blank', 'underscore')
+    AND NOT (defect = 'negative' AND value = 0)) AS issue_count FROM placed GROUP BY file)""")
+def bars_folder_report(t: Tables) -> DataFrame:
+    """Issues per raw file of a folder; files without any appear too."""
+
+    report, _ = check_folder(t.spark, bar_folder(t))
+    return report

@@ -11,7 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.operators import filings as H
-from panelforge.session import land
+from panelforge.session import land, work_dir
+from panelforge.sinks.exports import write_holdings_csv
+from panelforge.sources.documents import read_documents, read_submissions
+from panelforge.sources.tables import entry_names, read_csv, rename_path
 from panelforge.suite.common import Suite, Tables, number, spread
 
 suite = Suite()
@@ -235,3 +238,75 @@ def filing_metadata(t: Tables) -> DataFrame:
     return H.filing_metadata(
         H.latest_filing(submissions(t)), H.holdings_document(listings(t), ["cik"]), holdings, names
     )
+
+
+# --- landed files: documents of a filer in one file each, feeds as JSON
+
+def landed(t: Tables, rows: DataFrame, name: str, text: str) -> str:
+    """Write ``text`` of every row to a file called ``name`` in a new folder; names are unique."""
+
+    staged, folder = work_dir(t.spark, "landing"), work_dir(t.spark, "landed")
+    rows.repartition(name).select(name, text).write.partitionBy(name).text(staged)
+    for entry in entry_names(t.spark, staged):
+        if entry.startswith(f"{name}="):
+            part = next(n for n in entry_names(t.spark, f"{staged}/{entry}") if n.startswith("part-"))
+            rename_path(t.spark, f"{staged}/{entry}/{part}", f"{folder}/{entry.partition('=')[2]}")
+    return folder
+
+
+@suite.register("""
+SELECT 'supplier_' || s_suppkey || '.xml' AS file_name, CAST(i - 1 AS BIGINT) AS position,
+       s_name AS name_of_issuer, CAST((s_nationkey % 5) * 1000 + i AS VARCHAR) AS value
+FROM supplier, LATERAL (SELECT unnest(range(1, (s_nationkey % 5) + 2)) AS i)""")
+def landed_documents_read(t: Tables) -> DataFrame:
+    """Holdings documents written as XML files, read as whole documents and flattened."""
+
+    entry = F.transform(
+        F.sequence(F.lit(1).cast("bigint"), (F.col("s_nationkey") % 5) + 1),
+        lambda i: F.concat(
+            F.lit("<infoTable><nameOfIssuer>"), F.col("s_name"), F.lit("</nameOfIssuer><value>"),
+            ((F.col("s_nationkey") % 5) * 1000 + i).cast("string"), F.lit("</value></infoTable>"),
+        ),
+    )
+    documents = t("supplier").select(
+        F.concat(F.lit("supplier_"), "s_suppkey", F.lit(".xml")).alias("name"),
+        F.concat(F.lit('<?xml version="1.0"?><informationTable>'), F.array_join(entry, ""), F.lit("</informationTable>")).alias("xml"),
+    )
+    read = read_documents(t.spark, landed(t, documents, "name", "xml"))
+    flat = H.flatten_holdings(read, ["file_name"])
+    return flat.select("file_name", number("position").alias("position"), "name_of_issuer", "value")
+
+
+@suite.register("""
+SELECT CAST(s_suppkey AS VARCHAR) AS cik, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS padded_cik,
+  CASE WHEN s_nationkey % 5 > 0 THEN '13F-HR' END AS filing_type, CASE WHEN s_nationkey % 5 > 0 THEN s_suppkey || '-24-2' END AS accession_number,
+  CASE WHEN s_nationkey % 5 = 0 THEN 'No public 13F filing found for CIK ' || s_suppkey END AS error
+FROM supplier""")
+def landed_feeds_read(t: Tables) -> DataFrame:
+    """Submission feeds written as JSON files, read with a declared schema; the first report of each filer."""
+
+    key = F.col("s_suppkey").cast("string")
+    forms = F.when((F.col("s_nationkey") % 5) > 0, F.array(F.lit("10-K"), F.lit("13F-HR"))).otherwise(F.array(F.lit("10-K"), F.lit("8-K")))
+    recent = F.struct(
+        forms.alias("form"), F.array(F.concat(key, F.lit("-24-1")), F.concat(key, F.lit("-24-2"))).alias("accessionNumber"),
+        F.array(F.lit("a.xml"), F.lit("b.xml")).alias("primaryDocument"),
+        F.array(F.lit("2024-01-01"), F.lit("2024-02-01")).alias("filingDate"),
+    )
+    feeds = t("supplier").select(
+        F.concat(F.lit("CIK"), key, F.lit(".json")).alias("name"),
+        F.to_json(F.struct(key.alias("cik"), F.struct(recent.alias("recent")).alias("filings"))).alias("feed"),
+    )
+    found = H.latest_filing(read_submissions(t.spark, landed(t, feeds, "name", "feed")))
+    return found.select("cik", "padded_cik", "filing_type", "accession_number", "error")
+
+
+@suite.register(f"""WITH {HOLDINGS_SQL}
+SELECT l_orderkey, CAST(position AS BIGINT) AS position, cusip, value FROM holdings""")
+def holdings_csv_round_trip(t: Tables) -> DataFrame:
+    """Flattened holdings written as CSV and read back; empty fields stay empty text."""
+
+    path = work_dir(t.spark, "holdings-csv")
+    flat = H.flatten_holdings(holding_documents(t), ["l_orderkey"]).select("l_orderkey", "position", "cusip", "value")
+    write_holdings_csv(flat, path)
+    back = read_csv(t.spark, path, "l_orderkey bigint, position bigint, cusip string, value string")
+    return back.withColumn("value", F.coalesce("value", F.lit("")))

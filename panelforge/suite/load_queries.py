@@ -11,9 +11,9 @@ from panelforge.plans.contracts import LAYOUTS, SOURCE_COLUMNS
 from panelforge.session import land, work_dir
 from panelforge.sinks import exports as E
 from panelforge.sinks import loads as L
-from panelforge.sinks.layouts import write_layout
+from panelforge.sinks.layouts import layout_for, write_layout
 from panelforge.sources.audit_log import latest_status
-from panelforge.sources.tables import discover_tables, scan
+from panelforge.sources.tables import delete_path, discover_tables, entry_names, read_csv, rename_path, scan
 from panelforge.suite.common import Suite, Tables, iso, number, spread
 from panelforge.suite.load_check_queries import ANY_BAD, LINKS_SQL, PANEL_SQL, links, option_panel, raw_options
 
@@ -302,11 +302,108 @@ def replace_and_resume(t: Tables) -> DataFrame:
     return L.load_file_tables(t.spark, [("orders", t("orders")), ("customer", t("customer"))], root, resume=True)
 
 
-@suite.register("SELECT 'p' || p_partkey AS table_name, 'tpch' AS library FROM part WHERE p_size % 3 <> 0")
+@suite.register("""
+SELECT 'orders' AS table_name, count(*) AS source_rows, count(*) AS target_rows, 'loaded' AS status FROM orders
+UNION ALL SELECT 'nation', count(*), count(*), 'loaded' FROM nation WHERE n_nationkey % 2 = 0""")
+def replaced_tables(t: Tables) -> DataFrame:
+    """Targets that hold other rows, rebuilt under replace; the counts are those of the new rows."""
+
+    root = work_dir(t.spark, "tables")
+    half = t("nation").where(F.col("n_nationkey") % 2 == 0)
+    L.load_file_tables(t.spark, [("orders", t("orders").where(F.col("o_orderkey") % 3 == 0)), ("nation", t("nation"))], root)
+    return L.load_file_tables(t.spark, [("orders", t("orders")), ("nation", half)], root, replace=True, resume=True)
+
+
+@suite.register(
+    " UNION ALL ".join(f"SELECT 'tpch' AS library, '{n}' AS table_name" for n in ("lineitem", "supplier", "nation", "region"))
+)
 def export_worklist(t: Tables) -> DataFrame:
-    tables = t("part").select(F.lit("tpch").alias("library"), F.concat(F.lit("p"), "p_partkey").alias("table_name"), "p_size")
-    done = tables.where(F.col("p_size") % 3 == 0).select("library", "table_name")
-    return E.export_worklist(tables.select("library", "table_name"), done)
+    """Selected tables less the finished outputs; an output with a broken part file is not finished."""
+
+    folder = work_dir(t.spark, "export")
+    for name in (*EXPORTED, "nation"):
+        E.export_table(t(name), folder, "tpch", name)
+    broken = E.output_path(folder, "tpch", "nation")
+    for part in entry_names(t.spark, broken):
+        if part.startswith("part-"):
+            delete_path(t.spark, f"{broken}/{part}")
+    # Text under the name of a part file.
+    staged = work_dir(t.spark, "not-parquet")
+    t("nation").select("n_name").coalesce(1).write.text(staged)
+    text = next(n for n in entry_names(t.spark, staged) if n.startswith("part-"))
+    rename_path(t.spark, f"{staged}/{text}", f"{broken}/part-00000.parquet")
+    names = ("lineitem", "supplier", "nation", "region", *EXPORTED)
+    selected = t.spark.createDataFrame([("tpch", n) for n in names], "library string, table_name string")
+    return E.export_worklist(selected, E.completed_outputs(t.spark, folder))
+
+
+@suite.register("SELECT 'part' AS table_name, count(*) AS row_count FROM part UNION ALL SELECT 'lines', count(*) FROM lineitem")
+def partitioned_outputs_counted(t: Tables) -> DataFrame:
+    """Outputs with partition folders are found by their own names, with all their rows."""
+
+    folder = work_dir(t.spark, "outputs")
+    t("part").write.partitionBy("p_size").parquet(f"{folder}/part.parquet")
+    flags = ("l_returnflag", "l_linestatus")
+    t("lineitem").select("l_orderkey", *flags).write.partitionBy(*flags).parquet(f"{folder}/lines.parquet")
+    return discover_tables(t.spark, folder)
+
+
+@suite.register("""
+SELECT 'sample' AS origin, n_nationkey AS k, n_name AS name FROM nation
+UNION ALL SELECT 'preview', r_regionkey, r_name FROM region
+UNION ALL SELECT 'catalog', p_partkey, p_name FROM part""")
+def csv_round_trip(t: Tables) -> DataFrame:
+    """Sample files, an export's preview and a catalog file, written as CSV and read back with a declared schema."""
+
+    folder = work_dir(t.spark, "csv")
+    tables = [("tpch", "nation", t("nation").select("n_nationkey", "n_name"))]
+    sample = E.export_samples(t.spark, tables, folder, rows=100)[0]
+    regions = t("region").select("r_regionkey", "r_name")
+    E.export_table(regions, folder, "tpch", "region", preview_rows=100)
+    E.write_csv(t("part").select("p_partkey", "p_name"), f"{folder}/catalog.csv")
+    found = [
+        ("sample", read_csv(t.spark, sample, "n_nationkey bigint, n_name string")),
+        ("preview", read_csv(t.spark, f"{folder}/tpch__region__sample.csv", "r_regionkey bigint, r_name string")),
+        ("catalog", read_csv(t.spark, f"{folder}/catalog.csv", "p_partkey bigint, p_name string")),
+    ]
+    parts = [df.toDF("k", "name").select(F.lit(origin).alias("origin"), "k", "name") for origin, df in found]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@suite.register("""
+SELECT 'roles' AS table_name, count(*) AS "rows", CAST(0 AS BIGINT) AS unsorted FROM orders
+UNION ALL SELECT 'opprcd', count(*), 0 FROM orders UNION ALL SELECT 'distrd', count(*), 0 FROM orders""")
+def sort_keys_kept_in_files(t: Tables) -> DataFrame:
+    """Neighbours within a file that are out of order by the full sort key: none in any layout.
+
+    ``roles`` has no layout of its own; its id and date columns are found by their names.
+    """
+
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    tables = {
+        "roles": t("orders").select(key.alias("note"), day.alias("startdate"), F.col("o_custkey").alias("companyid")),
+        "opprcd": t("orders").select(
+            F.col("o_custkey").alias("secid"), day.alias("date"), F.date_add(day, 30).alias("exdate"),
+            F.left("o_orderpriority", F.lit(1)).alias("cp_flag"), F.col("o_totalprice").alias("strike_price"), key.alias("optionid"),
+        ),
+        "distrd": t("orders").select(F.col("o_custkey").alias("secid"), day.alias("record_date"), key.alias("seq_num")),
+    }
+    found = None
+    for name, df in tables.items():
+        path, layout = work_dir(t.spark, name), layout_for(name, df.columns)
+        write_layout(df, path, layout)
+        stored = t.spark.read.schema(df.schema).parquet(path)
+        order = F.struct(*layout.sort_keys)
+        place = F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place")
+        # Neighbours meet by their number, so no file has to be one group.
+        rows = land(stored.select(order.alias("key"), *place), f"placed-{name}")
+        after = rows.select((F.col("place") - 1).alias("place"), F.col("file").alias("next_file"), F.col("key").alias("next_key"))
+        counted = rows.join(after, "place", "left").agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"),
+            F.count_if((F.col("file") == F.col("next_file")) & (F.col("next_key") < F.col("key"))).alias("unsorted"),
+        ).select("table_name", "rows", "unsorted")
+        found = counted if found is None else found.unionByName(counted)
+    return found
 
 
 @suite.register("SELECT l_orderkey, l_partkey, l_shipdate FROM lineitem")

@@ -60,3 +60,14 @@ def test_bad_value_fails_with_context(spark):
         C.conform(df, schema).collect()
     row = C.conform_problems(df, schema).first()
     assert (row.column_name, row.bad_values, row.sample_values) == ("d", 1, "2005")
+
+
+def test_cut_and_rounded_values_fail(spark):
+    schema = T.StructType.fromDDL("a int, b bigint, c decimal(12,2)")
+    good = spark.createDataFrame([(3.0, 300.0, "1.23"), (None, None, None)], "a double, b double, c string")
+    assert [tuple(map(str, r)) for r in C.conform(good, schema).collect()] == [("3", "300", "1.23"), ("None",) * 3]
+    bad = spark.createDataFrame([(3.7, 300.5, "1.239")], "a double, b double, c string")
+    found = {r.column_name: r.sample_values for r in C.conform_problems(bad, schema).collect()}
+    assert found == {"a": "3.7", "b": "300.5", "c": "1.239"}
+    with pytest.raises(Exception, match="does not fit"):
+        C.conform(bad, schema).collect()

@@ -78,3 +78,10 @@ def test_whole_documents_and_empty_csv(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 2
     with pytest.raises(ValueError, match="no rows to write"):
         write_holdings_csv(flat.where("false"), str(tmp_path / "none"))
+
+
+def test_long_ids_stay_whole(spark):
+    from panelforge.functions.text import padded_cik
+
+    df = spark.createDataFrame([("12345678901",), ("7",)], "cik string")
+    assert [r[0] for r in df.select(padded_cik(df.cik)).collect()] == ["12345678901", "0000000007"]

@@ -137,11 +137,11 @@ def test_replace_resume_refuse(spark, tmp_path):
     root, two = str(tmp_path), spark.range(2)
     assert L.load_file_tables(spark, [("t", two)], root).first().status == "loaded"
     assert L.load_file_tables(spark, [("t", two)], root, resume=True).first().status == "skipped"
-    with pytest.raises(ValueError, match="already exists with 2 rows"):
+    with pytest.raises(ValueError, match="holds 2 rows"):
         L.load_file_tables(spark, [("t", spark.range(3))], root, resume=True)
     replaced = L.load_file_tables(spark, [("t", spark.range(3))], root, replace=True, resume=True).first()
     assert (replaced.status, replaced.target_rows) == ("loaded", 3)
-    with pytest.raises(ValueError, match="already exists with rows"):
+    with pytest.raises(ValueError, match="holds rows"):
         L.create_empty_tables(spark, [("t", two)], root)
     assert L.create_empty_tables(spark, [("t", two)], root, replace=True).first().status == "created-empty"
     assert L.create_empty_tables(spark, [("t", two)], root).first().status == "already-empty"
@@ -199,3 +199,21 @@ def test_scan_sample_and_csv(spark, tmp_path):
     assert distinct_library_names([" a", "b", "a ", " "]) == ["a", "b"]
     with pytest.raises(ValueError):
         distinct_library_names([" "])
+
+
+def test_export_rewrites_broken_output_and_keeps_the_old_one_on_failure(spark, tmp_path):
+    folder = str(tmp_path)
+    assert E.export_table(spark.range(10), folder, "l", "t") == 10
+    path = E.output_path(folder, "l", "t")
+    assert E.export_table(spark.range(10), folder, "l", "t", resume=True) == 0
+    failing = spark.range(10).select(F.raise_error(F.lit("broken source")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="broken source"):
+        E.export_table(failing, folder, "l", "t")
+    assert spark.read.parquet(path).count() == 10
+    part = next((tmp_path / "l__t.parquet").glob("part-*.parquet"))
+    for crc in (tmp_path / "l__t.parquet").glob(".part-*.crc"):
+        crc.unlink()
+    part.write_bytes(b"garbage")
+    assert not E.is_complete(spark, path)
+    assert E.export_table(spark.range(10), folder, "l", "t", resume=True) == 10
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["l__t.parquet"]

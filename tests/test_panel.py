@@ -60,3 +60,32 @@ def test_volume_totals_rows(spark):
     got = sorted((r.secid, str(r.cp_flag), r.is_total, r.volume, r.open_interest, r.contracts) for r in out)
     assert got == [(1, "C", False, 5, 3, 2), (1, "None", False, 3, 4, 1), (1, "None", True, 8, 7, 3),
                    (2, "None", True, None, None, 1), (2, "P", False, None, None, 1)]
+
+
+def test_volatility_ignores_nan_and_survives_an_outlier(spark):
+    rng = random.Random(5)
+    first = date(2000, 1, 1)
+    rows = [("x", first + timedelta(i), rng.uniform(-1e-5, 1e-5)) for i in range(1200)]
+    rows[3] = ("x", rows[3][1], float("nan"))
+    rows[7] = ("x", rows[7][1], 1e5)
+    rows[9] = ("x", rows[9][1], float("inf"))
+    out = P.historical_volatility(spark.createDataFrame(rows, "secid string, date date, return double"), (5, 30)).collect()
+    for r in out:
+        inside = [math.log1p(x) for _, d, x in rows if math.isfinite(x) and 0 <= (r.date - d).days < r.window_days]
+        assert r.observations == len(inside)
+        if len(inside) >= 2:
+            assert math.isclose(r.volatility, stdev(inside), rel_tol=1e-7)
+
+
+def test_any_label_keeps_its_row(spark):
+    rows = [(1, "C", 5, 1), (1, "X", 2, 2), (1, "X", None, None)]
+    out = P.volume_totals(
+        spark.createDataFrame(rows, "secid int, cp_flag string, volume int, open_interest int").withColumn("date", F.lit(None).cast("date"))
+    ).collect()
+    assert sorted((str(r.cp_flag), r.volume, r.contracts) for r in out) == [("C", 5, 1), ("None", 7, 3), ("X", 2, 2)]
+
+
+def test_stated_years_save_the_scan(spark):
+    panel = spark.createDataFrame([(1, date(2000, 5, 1)), (1, date(2001, 5, 1))], "secid bigint, date date")
+    links = spark.createDataFrame([(1, date(1990, 1, 1), date(9000, 1, 1), 12, 2.0)], "secid bigint, sdate date, edate date, permno bigint, score double")
+    assert [r.permno for r in P.link_join(panel, links, years=(2000, 2001)).collect()] == [12, 12]

@@ -97,3 +97,32 @@ def test_interpretation(spark, matched, checked, ordered, start):
     df = spark.range(1).select(interpretation(F.lit(matched), F.lit(checked), ordered).alias("t"))
     text = df.first().t
     assert text.startswith(start) and text.endswith("different rows.") == (not ordered)
+
+
+def test_hot_edges_are_split(spark):
+    """With one (person, organisation) in most edges, the join's large partition is cut into several tasks."""
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.col("id") % 10 != 0
+        edges = spark.range(0, 60_000, 1, 16).select(
+            F.when(hot, 1).otherwise(F.col("id")).alias("a"), F.lit(2).alias("b"),
+            F.when(hot, 7).otherwise(F.col("id") % 50).alias("o"), F.lit(2000).alias("y1"), F.lit(2001).alias("y2"),
+        )
+        spells = spark.range(2000).select(
+            F.col("id").alias("person_id"), (F.col("id") % 50).alias("organisation_id"),
+            F.lit("1999-01-01").cast("date").alias("start_date"), F.lit("2005-01-01").cast("date").alias("end_date"), F.lit("s").alias("src"),
+        )
+        checked = S.check_person_edges(edges, spells, "a", "b", "o", ("y1", "y2"))
+        checked.collect()
+        assert "skew=true" in checked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
