@@ -21,6 +21,6 @@ def row_text(columns: Sequence[str]) -> Column:
 
 
 def row_digest(columns: Sequence[str]) -> Column:
-    """SHA-256 of the row text."""
+    """SHA-256 of the row text, 32 bytes."""
 
-    return F.sha2(row_text(columns), 256)
+    return F.unhex(F.sha2(row_text(columns), 256))

@@ -86,6 +86,7 @@ def parse_bars(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         .select("file_name", "line_number", "line", *keep, "fields", "v.*")
     )
 
+    # The wording of the errors is fixed output.
     error = F.when(
         F.size("fields") != len(FIELDS),
         F.concat(place, F.lit(" expected 6 columns, got "), F.size("fields").cast("string")),

@@ -90,6 +90,9 @@ def _rejects(df: DataFrame, name: str, accepted: Column) -> Column:
     return ~accepted
 
 
+# The problem texts of the rules below are fixed output: reports are compared by them.
+
+
 def integer_rule(df: DataFrame, name: str, minimum: int, maximum: int, stored: str) -> tuple[Column, Check]:
     """Whole number within a closed range."""
 

@@ -143,7 +143,7 @@ def manifest(
     """Count, time, schema fingerprint and ``size`` sampled row hashes of one table."""
 
     sampled = sample_positions(df.withColumn("_table", F.lit(table_name)), "_table", keys, size)
-    hashes = sampled.select("position", row_digest(df.columns).alias("h"))
+    hashes = sampled.select("position", F.lower(F.hex(row_digest(df.columns))).alias("h"))
     in_order = F.array_sort(F.collect_list(F.struct("position", "h")))  # at most ``size`` entries
     return hashes.agg(
         F.array_join(F.transform(in_order, lambda p: p["h"]), ",").alias("sample_row_hashes")

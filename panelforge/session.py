@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,14 +37,39 @@ def build_session(app_name: str = "panelforge", master: str | None = None, **ext
     return builder.getOrCreate()
 
 
+_owned: ContextVar[str | None] = ContextVar("owned_scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession, folder: str | None = None) -> Iterator[str]:
+    """Own the scratch folder of a block of work: everything landed inside goes below it.
+
+    ``folder`` defaults to a new one under the shared checkpoint folder. It is deleted
+    when the block ends, so results must be written or collected before.
+    """
+
+    path = folder or work_dir(spark, "scratch")
+    token = _owned.set(path)
+    try:
+        yield path
+    finally:
+        _owned.reset(token)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """Return a new folder path under the cluster's shared checkpoint folder.
 
     Executors must all see what one of them wrote, so the path comes from
     ``spark.checkpoint.dir``. Only a local-mode session may fall back to a
-    temporary folder of the machine.
+    temporary folder of the machine. Inside a :func:`scratch` block it is below the
+    block's folder, which goes with the block; elsewhere the folder stays.
     """
 
+    if _owned.get():
+        return f"{_owned.get()}/{label}-{uuid.uuid4().hex}"
+
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):

@@ -17,6 +17,7 @@ from panelforge.sources.audit_log import (
 )
 from panelforge.sources.tables import path_exists
 
+# The fields of a yearly summary.
 SUMMARY_SCHEMA = (
     "completed_at string, status string, source_library string, source_table string, target_table string, "
     "source_year int, rows_inserted bigint, target_row_count bigint, elapsed_seconds double, started_at string"

@@ -97,3 +97,12 @@ def test_sample_positions_are_bounded_and_stable(spark):
     first = sorted((r.t, r.position, r.id) for r in S.sample_positions(df, "t", ["id"], 5).collect())
     again = sorted((r.t, r.position, r.id) for r in S.sample_positions(df.repartition(7), "t", ["id"], 5).collect())
     assert first == again and len(first) == 15
+
+
+def test_scratch_folder_is_removed(spark, tmp_path):
+    from panelforge.session import land, scratch
+
+    with scratch(spark, str(tmp_path / "own")) as path:
+        assert land(spark.range(3), "three").count() == 3
+        assert (tmp_path / "own").exists() and path.endswith("own")
+    assert not (tmp_path / "own").exists()
