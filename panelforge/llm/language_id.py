@@ -40,8 +40,10 @@ def training_sample(df: DataFrame, id_column: str, text_column: str, lang_column
     )
     ids = df.sparkSession.createDataFrame(picked, labelled.select("id", "lang").schema).distinct()
     start = F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.lit(1), F.char_length("text") - EXTRACT)).cast("int")
-    rows = labelled.join(F.broadcast(ids), ["id", "lang"]).select(  # at most LANGUAGES * DOCUMENTS ids
-        "lang", F.lower(F.substring("text", start + 1, F.lit(EXTRACT))).alias("text")
+    rows = (
+        labelled.join(F.broadcast(ids), ["id", "lang"])  # at most LANGUAGES * DOCUMENTS ids
+        .select("id", "lang", F.lower(F.substring("text", start + 1, F.lit(EXTRACT))).alias("text"))
+        .groupBy("id", "lang").agg(F.min("text").alias("text"))  # one of the rows that share an id
     )
     return sorted((r["lang"], r["text"]) for r in rows.collect())
 

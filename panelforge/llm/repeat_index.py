@@ -23,7 +23,7 @@ def _power_table(base: int, count: int) -> tuple[np.ndarray, np.ndarray]:
 def prefix_sums(data: np.ndarray, base: np.uint64) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums for :func:`range_hashes` and the powers they need."""
 
-    up, down = _power_table(int(base), 1 << max(21, (len(data) + 1).bit_length()))
+    up, down = _power_table(int(base), 1 << max(17, (len(data) + 1).bit_length()))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(BYTE_VALUES[data] * down[: len(data)], out=sums[1:])
     return sums, up
