@@ -212,4 +212,5 @@ def keep_one_of_each(df: DataFrame, id_column: str = "doc_id", text_column: str
     row = free_name(df, "_row")
     kept = exact_groups(df, id_column, text_column).where("kept").select(F.col("row").alias(row))
     numbered = df.withColumn(row, F.monotonically_increasing_id())
-    return numbered.join(land(kept, "kept-rows"), row, "left_semi").drop(row)
+    # The kept rows grow with the table, so both sides are dealt by row at every size.
+    return numbered.join(land(kept, "kept-rows").hint("shuffle_hash"), row, "left_semi").drop(row)
