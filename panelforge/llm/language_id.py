@@ -14,6 +14,8 @@ from panelforge.llm.common import filter_rows, held_out, learnable, map_arrow, r
 
 #: Bounds of the training sample: languages, documents of each, characters of a document, windows of it, bytes in one.
 LANGUAGES, DOCUMENTS, EXTRACT, WINDOWS, STEPS = 64, 300, 1500, 6, 64
+#: Parts of a language that are searched for the smallest hashes side by side.
+PARTS = 64
 #: A document whose best language has a lower mean probability is rejected by the pipeline.
 REJECT_BELOW = 0.4
 
@@ -30,11 +32,16 @@ def training_sample(df: DataFrame, id_column: str, text_column: str, lang_column
     ).select(F.col(id_column).alias("id"), F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text"))
     names = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
     known = sorted(r["lang"] for r in names.collect())
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    # The smallest hashes of each of a few parts of a language, then of those the smallest: a
+    # frequent language is not gathered in one task.
+    place = F.xxhash64("id")
+    within = Window.partitionBy("lang", "part").orderBy("place", "id")
+    overall = Window.partitionBy("lang").orderBy("place", "id")
     picked = (
         labelled.where(F.col("lang").isin(known))
-        .select("id", "lang", F.row_number().over(first).alias("nth"))
-        .where(F.col("nth") <= DOCUMENTS)
+        .select("id", "lang", place.alias("place"), F.pmod(place, F.lit(PARTS)).alias("part"))
+        .withColumn("nth", F.row_number().over(within)).where(F.col("nth") <= DOCUMENTS)
+        .withColumn("nth", F.row_number().over(overall)).where(F.col("nth") <= DOCUMENTS)
         .select("id", "lang")
         .collect()
     )
