@@ -52,14 +52,11 @@ def encode_texts(
         for whole in batches:
             for low in range(0, whole.num_rows, STEP_ROWS):
                 batch = whole.slice(low, STEP_ROWS)
-                flat, bounds, same = [], [0], []
-                for text in batch.column(position).to_pylist():
-                    found = model.encode(text or "")
-                    same.append(model.decode(found) == (text or ""))
-                    flat.append(np.array(found, dtype=np.int32))
-                    bounds.append(bounds[-1] + len(found))
-                values = pa.array(np.concatenate(flat))
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)
+                texts = [text or "" for text in batch.column(position).to_pylist()]
+                flat, bounds = model.encode_all(texts)
+                places = bounds.tolist()
+                same = [model.decode(flat[a:b].tolist()) == t for t, a, b in zip(texts, places, places[1:])]
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, lists, pa.array(np.diff(bounds).astype(np.int32)), pa.array(same)],
                     names=[*batch.schema.names, ids, count, intact],
