@@ -7,6 +7,8 @@ from functools import lru_cache
 
 import numpy as np
 
+#: Symbols that one comparison takes.
+STRIDE = 7
 # Random odd multipliers and a random value per byte for two rolling hashes.
 BASES = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
@@ -70,48 +72,52 @@ def anchors(data: np.ndarray, least: int, gram: int) -> tuple[np.ndarray, np.nda
     return chosen, h[chosen]
 
 
-def suffix_order(symbols: np.ndarray, depth: int) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
-    """Ranks of all suffixes by their first 7, 14, ... symbols, until ``depth`` is reached.
+def packed_symbols(symbols: np.ndarray) -> np.ndarray:
+    """The seven symbols from each place on, as one integer that sorts as they do; symbols are below 512."""
 
-    ``symbols`` are below 512; ranks of equal prefixes are equal.
+    padded = np.concatenate([symbols, np.zeros(STRIDE - 1, np.int64)])
+    out = np.zeros(len(symbols), dtype=np.int64)
+    for j in range(STRIDE):
+        out = (out << 9) | padded[j : j + len(symbols)]
+    return out
+
+
+def sort_suffixes(packed: np.ndarray, start: np.ndarray, group: np.ndarray, offset: int, reach: int) -> np.ndarray:
+    """Order of the suffixes at ``start``: by group, then by their symbols from ``offset`` to ``reach``.
+
+    Seven symbols a round; a round sorts only what is still equal.
     """
 
-    size = len(symbols)
-    padded = np.concatenate([symbols.astype(np.int64), np.zeros(7, np.int64)])
-    key = np.zeros(size, dtype=np.int64)
-    for j in range(7):
-        key = (key << 9) | padded[j : j + size]
-    levels, width = [], 7
-    while True:
-        rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
-        levels.append((width, rank.astype(np.int32)))
-        if width >= depth:
-            return levels, rank
-        following = np.zeros(size, dtype=np.int64)
-        following[: max(0, size - width)] = rank[width:] + 1
-        key = rank * (size + 2) + following
-        width *= 2
-
-
-def common_prefixes(
-    symbols: np.ndarray, levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray, most: np.ndarray
-) -> np.ndarray:
+    number, count = np.unique(group, return_inverse=True, return_counts=True)[1:]
+    rank = (np.cumsum(count) - count)[number]  # how many sort before, as far as known
+    while offset < reach:
+        tied = np.flatnonzero(np.bincount(rank, minlength=len(rank))[rank] > 1)
+        if not len(tied):
+            break
+        key = packed[np.minimum(start[tied] + offset, len(packed) - 1)]
+        order = np.lexsort((key, rank[tied]))
+        r, k = rank[tied][order], key[order]
+        # Within its old rank a suffix moves up by those that sort before it.
+        head = np.append(True, r[1:] != r[:-1])
+        fresh = head | np.append(True, k[1:] != k[:-1])
+        at = np.arange(len(r))
+        rank[tied[order]] = r + np.maximum.accumulate(np.where(fresh, at, 0)) - np.maximum.accumulate(np.where(head, at, 0))
+        offset += STRIDE
+    return np.argsort(rank, kind="stable")
+
+
+def common_prefixes(packed: np.ndarray, symbols: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
     """Length of the common prefix of the suffixes at ``a`` and ``b``, at most ``most``."""
 
-    size, length = len(symbols), np.zeros(len(a), dtype=np.int64)
-    queue = list(levels)
-    while queue:
-        width, rank = queue[-1]
-        i, j = a + length, b + length
-        inside = (i < size) & (j < size) & (length < most)
-        same = inside & (rank[np.minimum(i, size - 1)] == rank[np.minimum(j, size - 1)])
-        length += np.where(same, width, 0)
-        if len(queue) < len(levels) or not same.any():  # the widest level is used as often as it fits
-            queue.pop()
-    for _ in range(6):
-        i, j = a + length, b + length
-        inside = (i < size) & (j < size)
-        length += inside & (symbols[np.minimum(i, size - 1)] == symbols[np.minimum(j, size - 1)])
+    length = np.zeros(len(a), dtype=np.int64)
+    for width, values in ((STRIDE, packed), (1, symbols)):
+        going = np.arange(len(a))
+        while len(going):
+            i, j = a[going] + length[going], b[going] + length[going]
+            same = (i < len(values)) & (j < len(values)) & (length[going] < most[going])
+            same &= values[np.minimum(i, len(values) - 1)] == values[np.minimum(j, len(values) - 1)]
+            going = going[same]
+            length[going] += width
     return np.minimum(length, most)
 
 
@@ -167,19 +173,31 @@ def maximal_repeats(texts: list[bytes], least: int, identity: list[tuple[int, in
     place = np.arange(len(symbols)) - bounds[owner]
     room = sizes[owner] - place
     start = np.flatnonzero(room >= least)
+    # Suffixes whose first ``least`` bytes occur once are in no repeat.
+    plain = np.zeros(len(symbols), dtype=np.uint8)
+    plain[body] = symbols[body] - 1
+    sums, up = prefix_sums(plain, BASES[0])
+    group, count = np.unique(range_hashes(sums, up, start, start + least), return_inverse=True, return_counts=True)[1:]
+    start, group = start[count[group] > 1], group[count[group] > 1]
     if identity is not None and len(start):
         rows = np.array([r for r, _ in identity])[owner[start]]
         absolute = np.array([s for _, s in identity])[owner[start]] + place[start]
         # Prefer the extract that shows most of what precedes and follows.
         order = np.lexsort((-np.minimum(place[start], room[start]), absolute, rows))
         fresh = np.append(True, (rows[order][1:] != rows[order][:-1]) | (absolute[order][1:] != absolute[order][:-1]))
-        start = np.sort(start[order[fresh]])
+        kept = np.sort(order[fresh])
+        start, group = start[kept], group[kept]
     if len(start) < 2:
         return
-    levels, rank = suffix_order(symbols, int(sizes.max()))
-    suffixes = start[np.argsort(rank[start], kind="stable")]
+    packed = packed_symbols(symbols)
+    suffixes = start[sort_suffixes(packed, start, group, least, int(room[start].max()))]
     a, b = suffixes[:-1], suffixes[1:]
-    common = common_prefixes(symbols, levels, a, b, np.minimum(room[a], room[b]))
+    common = common_prefixes(packed, symbols, a, b, np.minimum(room[a], room[b]))
+    together = np.sort(group)
+    if ((common < least) & (together[1:] == together[:-1])).any():  # two contents with one hash: sort in full
+        suffixes = start[sort_suffixes(packed, start, np.zeros(len(start), np.int64), 0, int(room[start].max()))]
+        a, b = suffixes[:-1], suffixes[1:]
+        common = common_prefixes(packed, symbols, a, b, np.minimum(room[a], room[b]))
     # A suffix whose predecessor is not in the array under the same extract counts as having none.
     held = np.zeros(len(symbols) + 1, dtype=bool)
     held[start + 1] = True
