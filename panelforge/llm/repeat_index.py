@@ -162,23 +162,30 @@ def maximal_repeats(texts: list[bytes], least: int, identity: list[tuple[int, in
     """
 
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    if not len(sizes):
-        return
+    plain = np.frombuffer(b"\0".join([*texts, b""]), dtype=np.uint8)  # a text ends in a zero, which no window covers
     bounds = np.concatenate([[0], np.cumsum(sizes + 1)])
-    symbols = np.zeros(bounds[-1], dtype=np.int64)  # 0 ends a text
+    # Suffixes whose first ``least`` bytes occur once are in no repeat.
+    windows = np.maximum(sizes - least + 1, 0)
+    if windows.sum() < 2:
+        return
+    start = np.arange(windows.sum()) + np.repeat(bounds[:-1] - (np.cumsum(windows) - windows), windows)
+    sums, up = prefix_sums(plain, BASES[0])
+    hashes = range_hashes(sums, up, start, start + least)
+    ordered = np.sort(hashes)
+    again = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(again):
+        return
+    likely = np.zeros(1 << 16, dtype=bool)
+    likely[again >> np.uint64(48)] = True
+    start, hashes = (v[likely[hashes >> np.uint64(48)]] for v in (start, hashes))
+    at = np.minimum(np.searchsorted(again, hashes), len(again) - 1)
+    repeated = again[at] == hashes
+    start, group = start[repeated], at[repeated]
+    symbols = plain.astype(np.int64) + 1
+    symbols[bounds[1:] - 1] = 0
     owner = np.repeat(np.arange(len(texts)), sizes + 1)
-    body = np.ones(len(symbols), dtype=bool)
-    body[bounds[1:] - 1] = False
-    symbols[body] = np.frombuffer(b"".join(texts), dtype=np.uint8).astype(np.int64) + 1
     place = np.arange(len(symbols)) - bounds[owner]
     room = sizes[owner] - place
-    start = np.flatnonzero(room >= least)
-    # Suffixes whose first ``least`` bytes occur once are in no repeat.
-    plain = np.zeros(len(symbols), dtype=np.uint8)
-    plain[body] = symbols[body] - 1
-    sums, up = prefix_sums(plain, BASES[0])
-    group, count = np.unique(range_hashes(sums, up, start, start + least), return_inverse=True, return_counts=True)[1:]
-    start, group = start[count[group] > 1], group[count[group] > 1]
     if identity is not None and len(start):
         rows = np.array([r for r, _ in identity])[owner[start]]
         absolute = np.array([s for _, s in identity])[owner[start]] + place[start]
@@ -205,7 +212,15 @@ def maximal_repeats(texts: list[bytes], least: int, identity: list[tuple[int, in
     # Only stretches of suffixes that share enough are scanned.
     long = np.concatenate([[False], common >= least, [False]])
     opens, closes = np.flatnonzero(~long[:-1] & long[1:]), np.flatnonzero(long[:-1] & ~long[1:])
-    for low, high in zip(opens, closes):
+    if not len(opens):
+        return
+    # A stretch whose suffixes all follow the same symbol has no left-diverse interval.
+    ends = np.stack([opens, closes + 1], axis=1).ravel()
+    padded = np.append(before, 0)
+    least_before = np.minimum.reduceat(padded, ends)[::2]
+    most_before = np.maximum.reduceat(padded, ends)[::2]
+    diverse = (least_before != most_before) | (least_before < 0)
+    for low, high in zip(opens[diverse].tolist(), closes[diverse].tolist()):
         for length, first, last in prefix_intervals(common[low:high].tolist(), before[low : high + 1].tolist(), least):
             members = suffixes[low + first : low + last + 1]
             yield length, list(zip(owner[members].tolist(), place[members].tolist()))

@@ -36,7 +36,7 @@ from panelforge.session import land
 #: Bytes of an anchor; contexts that one suffix array takes; bits of the set of wanted anchors (32 MB).
 GRAM, MOST_CONTEXTS, WANTED_BITS = 40, 4000, 28
 #: Bytes of contexts that are put into one suffix array, together with whole further anchors.
-ARRAY_BYTES = 1 << 20
+ARRAY_BYTES = 1 << 18
 #: Parts into which the offsets of a crowded anchor are cut.
 PARTS = 8
 
