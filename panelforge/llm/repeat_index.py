@@ -186,14 +186,23 @@ def maximal_repeats(texts: list[bytes], least: int, identity: list[tuple[int, in
     owner = np.repeat(np.arange(len(texts)), sizes + 1)
     place = np.arange(len(symbols)) - bounds[owner]
     room = sizes[owner] - place
-    if identity is not None and len(start):
-        rows = np.array([r for r, _ in identity])[owner[start]]
+    if identity is not None:
+        rows = np.unique([r for r, _ in identity], return_inverse=True)[1][owner[start]]
         absolute = np.array([s for _, s in identity])[owner[start]] + place[start]
-        # Prefer the extract that shows most of what precedes and follows.
-        order = np.lexsort((-np.minimum(place[start], room[start]), absolute, rows))
-        fresh = np.append(True, (rows[order][1:] != rows[order][:-1]) | (absolute[order][1:] != absolute[order][:-1]))
-        kept = np.sort(order[fresh])
+        spot = rows * (int(absolute.max()) + 1) + absolute
+        order = np.argsort(spot, kind="stable")
+        kept = np.sort(order[np.append(True, spot[order][1:] != spot[order][:-1])])
         start, group = start[kept], group[kept]
+    # A suffix whose predecessor is not in the array under the same extract counts as having none.
+    held = np.zeros(len(symbols) + 1, dtype=bool)
+    held[start + 1] = True
+    before = np.where((place[start] > 0) & held[start], symbols[np.maximum(start, 1) - 1], -1)
+    # Suffixes that share ``least`` bytes, and all follow one symbol, have no left-diverse interval among them.
+    some = np.zeros(len(again), dtype=np.int64)
+    some[group] = before
+    differ = np.bincount(group, weights=(before != some[group]) | (before < 0), minlength=len(again)) > 0
+    chosen = differ[group] & (np.bincount(group, minlength=len(again)) > 1)[group]
+    start, group = start[chosen], group[chosen]
     if len(start) < 2:
         return
     packed = packed_symbols(symbols)
@@ -205,22 +214,11 @@ def maximal_repeats(texts: list[bytes], least: int, identity: list[tuple[int, in
         suffixes = start[sort_suffixes(packed, start, np.zeros(len(start), np.int64), 0, int(room[start].max()))]
         a, b = suffixes[:-1], suffixes[1:]
         common = common_prefixes(packed, symbols, a, b, np.minimum(room[a], room[b]))
-    # A suffix whose predecessor is not in the array under the same extract counts as having none.
-    held = np.zeros(len(symbols) + 1, dtype=bool)
-    held[start + 1] = True
     before = np.where((place[suffixes] > 0) & held[suffixes], symbols[np.maximum(suffixes, 1) - 1], -1)
     # Only stretches of suffixes that share enough are scanned.
     long = np.concatenate([[False], common >= least, [False]])
     opens, closes = np.flatnonzero(~long[:-1] & long[1:]), np.flatnonzero(long[:-1] & ~long[1:])
-    if not len(opens):
-        return
-    # A stretch whose suffixes all follow the same symbol has no left-diverse interval.
-    ends = np.stack([opens, closes + 1], axis=1).ravel()
-    padded = np.append(before, 0)
-    least_before = np.minimum.reduceat(padded, ends)[::2]
-    most_before = np.maximum.reduceat(padded, ends)[::2]
-    diverse = (least_before != most_before) | (least_before < 0)
-    for low, high in zip(opens[diverse].tolist(), closes[diverse].tolist()):
+    for low, high in zip(opens.tolist(), closes.tolist()):
         for length, first, last in prefix_intervals(common[low:high].tolist(), before[low : high + 1].tolist(), least):
             members = suffixes[low + first : low + last + 1]
             yield length, list(zip(owner[members].tolist(), place[members].tolist()))
