@@ -56,6 +56,17 @@ def held_out(id_column: str | Column) -> Column:
     return F.coalesce(F.crc32(c.cast("string")) % 3 == 1, F.lit(False))
 
 
+def thinned(key: Column, rows: int, wanted: int) -> Column:
+    """True for about four times ``wanted`` of ``rows`` rows, those with a small hash of ``key``; for all if there are fewer.
+
+    Put before a top-k by hash, it keeps what the tasks send to the driver near the
+    size of the answer, however many tasks there are.
+    """
+
+    steps = 1 << 40
+    return F.pmod(F.xxhash64(key, F.lit(17)), F.lit(steps)) < int(steps * min(1.0, 4 * wanted / max(rows, 1)))
+
+
 def require(df: DataFrame, *names: str) -> None:
     """Fail early, with the names, when a column is missing."""
 

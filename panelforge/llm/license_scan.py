@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import map_arrow, require, slices, text_views
+from panelforge.llm.common import map_arrow, require, slices, text_views, thinned
 from panelforge.llm.license_texts import MENTIONS, TEMPLATES
 from panelforge.llm.simhash_near import xxh64_ranges
 
@@ -160,7 +160,7 @@ def ordinary_paragraphs(df: DataFrame, id_column: str, text_column: str) -> list
     """A bounded sample of paragraphs that match no template, by the smallest hashes of text."""
 
     rows = (
-        df.where(F.col(text_column).isNotNull())
+        df.where(F.col(text_column).isNotNull() & thinned(F.col(id_column).cast("string"), df.count(), DOCUMENTS))
         .select(F.xxhash64(F.col(id_column).cast("string")).alias("h"), F.col(text_column).alias("text"))
         .select("h", F.slice(F.split(F.substring("text", 1, 4000), "\n"), 1, PARAGRAPHS).alias("lines"))
         .orderBy("h", "lines")
@@ -226,7 +226,7 @@ def train(ordinary: list[str], seed: int = 5, rounds: int = 250) -> LicenseModel
 
 
 def _calibrate(model: LicenseModel, scores: np.ndarray, y: np.ndarray) -> None:
-    """Temperature of least log loss; the threshold that best parts licences from the unknown class."""
+    """Temperature of least log loss; the threshold, 0.5 or more, that best parts licences from the unknown class."""
 
     if not len(y):
         return
@@ -238,7 +238,7 @@ def _calibrate(model: LicenseModel, scores: np.ndarray, y: np.ndarray) -> None:
     model.temperature = best[1]
     licence = 1 - model.probabilities(scores)[:, -1]
     known = y < len(model.classes) - 1
-    options = [(float(((licence >= c) == known).mean()), -abs(c - 0.5), float(c)) for c in np.linspace(0.2, 0.9, 71)]
+    options = [(float(((licence >= c) == known).mean()), -abs(c - 0.5), float(c)) for c in np.linspace(0.5, 0.95, 46)]
     model.threshold = max(options)[2]
 
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import held_out, learnable, map_arrow, require
+from panelforge.llm.common import held_out, learnable, map_arrow, require, thinned
 from panelforge.session import land
 
 #: Bounds of the training sample (rows of each label) and of the token table.
@@ -142,10 +142,12 @@ def labelled_sample(
         .agg(F.max(F.col(label_column).cast("int")).alias("toxic"))
     )
     order = [F.xxhash64("id"), F.col("id")]
+    sizes = Counter({r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()})
     picked = [
         row
         for label, limit in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))
-        for row in known.where(F.col("toxic") == label).orderBy(*order).limit(limit).collect()
+        for row in known.where((F.col("toxic") == label) & thinned(F.col("id"), sizes[label], limit))
+        .orderBy(*order).limit(limit).collect()
     ]
     ids = docs.sparkSession.createDataFrame(picked, known.schema)
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")).join(
