@@ -299,17 +299,16 @@ def _spans_of(contexts: DataFrame, least: int) -> list[DataFrame]:
             cut.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "start")).alias("one")),
             "content-copies",
         )
-        counted = cut.join(copies, ["key", "content"])
+        shared = cut.join(copies.where("n > 1").select("key", "content"), ["key", "content"], "left_semi")
         end = F.col("start") + F.length("bytes")
         found.append(
             land(
-                counted.where((F.col("n") > 1) & (F.length("bytes") >= least)).select(
-                    "row", F.col("start").alias("begin"), end.alias("end")
-                ),
+                shared.where(F.length("bytes") >= least).select("row", F.col("start").alias("begin"), end.alias("end")),
                 "repeat-spans",
             )
         )
-        lone = counted.where((F.col("low") < F.col("high")) & (F.struct("row", "start") == F.col("one")))
+        one = copies.select("key", "content", "one.row", "one.start")
+        lone = cut.where("low < high").join(one, ["key", "content", "row", "start"], "left_semi")
         contexts = land(lone.select("key", "row", "start", "anchor", "low", "high", "bytes"), "repeat-contexts")
 
 
