@@ -70,18 +70,16 @@ def xxh64_ranges(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, seed
     return h
 
 
-def fingerprints(data: np.ndarray, bounds: np.ndarray, width: int = 3) -> np.ndarray:
-    """SimHash of each text ``data[bounds[i]:bounds[i+1]]`` over its word shingles.
+def shingle_hashes(data: np.ndarray, bounds: np.ndarray, width: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the word shingles of each text ``data[bounds[i]:bounds[i+1]]``, in order, and their number per text.
 
-    A bit is set if more than half of the shingle hashes have it. A text of fewer
-    than ``width`` words is one shingle; a text without words has fingerprint zero.
+    A text of fewer than ``width`` words is one shingle; a text without words has none.
     """
 
-    texts = len(bounds) - 1
-    out = np.zeros(texts, dtype=np.uint64)
+    nothing = np.zeros(0, dtype=np.uint64), np.zeros(len(bounds) - 1, dtype=np.int64)
     low, high = int(bounds[0]), int(bounds[-1])
     if low == high:
-        return out
+        return nothing
     folded = FOLD[data[low:high]]
     solid = folded != 32
     begins = solid.copy()
@@ -91,7 +89,7 @@ def fingerprints(data: np.ndarray, bounds: np.ndarray, width: int = 3) -> np.nda
     begins[inner] = solid[inner]  # a word never crosses a text border
     word_starts = np.flatnonzero(begins)
     if not len(word_starts):
-        return out
+        return nothing
     # Pack the words with one space after each.
     chars = np.flatnonzero(solid)
     word_of = np.cumsum(begins)[chars] - 1
@@ -109,7 +107,22 @@ def fingerprints(data: np.ndarray, bounds: np.ndarray, width: int = 3) -> np.nda
     owner = np.repeat(has, shingles[has])
     head = first_word[owner] + (np.arange(len(owner)) - offset[owner])
     tail = head + np.minimum(words[owner], width) - 1
-    hashes = xxh64_ranges(packed, place[head], ends[tail] - place[head])
+    return xxh64_ranges(packed, place[head], ends[tail] - place[head], seed), shingles
+
+
+def fingerprints(data: np.ndarray, bounds: np.ndarray, width: int = 3) -> np.ndarray:
+    """SimHash of each text ``data[bounds[i]:bounds[i+1]]`` over its word shingles.
+
+    A bit is set if more than half of the shingle hashes have it. A text of fewer
+    than ``width`` words is one shingle; a text without words has fingerprint zero.
+    """
+
+    out = np.zeros(len(bounds) - 1, dtype=np.uint64)
+    hashes, shingles = shingle_hashes(data, bounds, width)
+    if not len(hashes):
+        return out
+    has = np.flatnonzero(shingles)
+    offset = np.cumsum(shingles) - shingles
 
     # Count set bits in eight byte-wide lanes at a time, in runs of at most 255 hashes.
     runs = -(-shingles[has] // 255)
