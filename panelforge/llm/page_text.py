@@ -1,17 +1,19 @@
 """Main text of web pages by nearest-URL page differencing.
 
-Pages of a host are sorted by URL path and each is compared with its two
-neighbours: their text lines are aligned by a longest common subsequence, and
-lines that a page shares with a neighbour are template and go. What is left
-loses the regions that markup itself names as menu, footer, advert and the like.
+Pages of a host are sorted by URL path and the text lines of each are aligned with
+those of its two neighbours by a longest common subsequence; the first and the last
+page of a host, which have one neighbour, are aligned with the page next to that
+too. A line that a page shares with both is template and goes, wherever it stands.
+A line shared with one of them goes too, unless it stands in an explicit article
+element, which may quote or repeat another article. What is left loses the regions
+that markup itself names as menu, footer, advert and the like.
 
-Two things are not template though neighbours share them: the lines of an
-explicit article element, which may quote or repeat another article, and a page
-that is a copy of its neighbour, known by sharing most of its text.
+A page that is a copy of a neighbour keeps what it shares with it. A copy is known by
+its long lines: they outweigh what the page has of its own.
 
 Sorting is by range partitions, so a host with very many pages spreads over
-tasks. Only hashes of lines travel; pages on both sides of a partition border
-are compared through the summary rows of the partitions.
+tasks. Only hashes of lines travel; the pages at the ends of a partition are
+compared on the driver, from the few first and last pages of each.
 """
 
 from __future__ import annotations
@@ -29,8 +31,12 @@ from panelforge.llm.common import map_arrow, require
 from panelforge.llm.html_lines import Line, page_lines, shared_lines
 from panelforge.session import land
 
-#: A page that shares more of its own text than this with a neighbour is its copy.
-COPY_SHARE = 0.5
+#: Characters of a long line, which tells a copy; menus, labels and buttons are shorter.
+LONG_LINE = 80
+#: A page is a copy if its own text is less than this share of the long lines that it has in common.
+OWN_SHARE = 0.2
+#: Pages at each end of a partition that the driver sees, and those of them that it compares.
+EDGE, BORDER = 4, 2
 
 
 def host_and_path(url: str | None) -> tuple[str, str]:
@@ -47,13 +53,6 @@ def host_and_path(url: str | None) -> tuple[str, str]:
         return "", ""
 
 
-def _open_lines(lines: list[Line]) -> list[int]:
-    """Lines that differencing decides on: those outside an article, or all if there is none."""
-
-    article = any(line.main and not line.aside for line in lines)
-    return [i for i, line in enumerate(lines) if not (article and line.main)]
-
-
 def _index_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, paths, hashes = [], [], []
@@ -62,44 +61,102 @@ def _index_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lines = page_lines(html)
             hosts.append(host)
             paths.append(path)
-            hashes.append([xxhash.xxh64_intdigest(lines[i].text) >> 1 for i in _open_lines(lines)])
+            hashes.append([xxhash.xxh64_intdigest(line.text) >> 1 for line in lines])
         yield pa.RecordBatch.from_arrays(
             [batch.column("row"), pa.array(hosts), pa.array(paths), pa.array(hashes, pa.list_(pa.int64()))],
             names=["row", "host", "path", "lines"],
         )
 
 
+#: A page on its way: row, host, hashes of its lines. None marks a gap.
+Page = tuple[int, str, list[int]] | None
+
+
+class Comparer:
+    """Aligns the pages of a sorted run; each pair once while it is near."""
+
+    def __init__(self) -> None:
+        self.held: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
+
+    def pair(self, a: Page, b: Page) -> tuple[list[int], list[int]]:
+        key = (a[0], b[0])
+        if key not in self.held:
+            if len(self.held) >= 4:
+                del self.held[next(iter(self.held))]
+            self.held[key] = shared_lines(a[2], b[2])
+        return self.held[key]
+
+    def shared(self, run: list[Page], i: int) -> list[list[int]]:
+        """For each of the up to two references of page ``i``: its lines that are shared with it."""
+
+        def same(j: int) -> bool:
+            return 0 <= j < len(run) and run[j] is not None and run[j][1] == run[i][1]
+
+        back, ahead = same(i - 1), same(i + 1)
+        others = ([i - 1] if back else []) + ([i + 1] if ahead else [])
+        if back and not ahead and same(i - 2):
+            others.append(i - 2)
+        if ahead and not back and same(i + 2):
+            others.append(i + 2)
+        return [self.pair(run[j], run[i])[1] if j < i else self.pair(run[i], run[j])[0] for j in others]
+
+
 def _compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shared line positions per page and neighbour; the first and last page of the range also leave a summary."""
+    """Shared line positions per page and reference. The first and last pages of the range are handed on whole."""
 
-    part, previous, first = TaskContext.get().partitionId(), None, None
+    part, comparer = TaskContext.get().partitionId(), Comparer()
+    run: list[Page] = []  # the pages around the one that is compared
+    start, count = 0, 0  # place of run[0]; pages seen
+    head: list[Page] = []
     for batch in batches:
         found: list[tuple] = []
         for page in zip(*[batch.column(n).to_pylist() for n in ("row", "host", "lines")]):
-            if previous is not None and previous[1] == page[1]:
-                a, b = shared_lines(previous[2], page[2])
-                if a:
-                    found += [(previous[0], a, None, None, None), (page[0], b, None, None, None)]
-            first = first or page
-            previous = page
+            if len(head) < EDGE:
+                head.append(page)
+            run.append(page)
+            count += 1
+            at = count - 1 - BORDER  # has its two successors; the last two never come here
+            if at >= BORDER:
+                found.append((run[at - start][0], comparer.shared(run, at - start), None, None, None, None))
+            while len(run) > 2 * BORDER + 1:
+                run.pop(0)
+                start += 1
         yield _compared(found)
-    if previous is not None:
-        yield _compared([(first[0], first[2], part, 0, first[1]), (previous[0], previous[2], part, 1, previous[1])])
+    tail = run[-EDGE:]
+    ends = [(k, p) for k, p in enumerate(head)] + [(count - len(tail) + k, p) for k, p in enumerate(tail)]
+    yield _compared([(p[0], [p[2]], part, k, count, p[1]) for k, p in dict(ends).items()])
 
 
 def _compared(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.string())
-    columns = list(zip(*rows)) or [[]] * 5
+    kinds = (pa.int64(), pa.list_(pa.list_(pa.int64())), pa.int32(), pa.int64(), pa.int64(), pa.string())
+    columns = list(zip(*rows)) or [[]] * 6
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds)], names=["row", "lines", "part", "side", "host"]
+        [pa.array(c, k) for c, k in zip(columns, kinds)], names=["row", "lines", "part", "place", "pages", "host"]
     )
 
 
+def _compare_ends(ends: list) -> list[tuple[int, list[list[int]]]]:
+    """The pages next to partition borders, compared; ``ends`` are all handed-on pages in order."""
+
+    run: list[Page] = []
+    places: list[int] = []
+    before = None
+    for r in ends:
+        if before is not None and before[0] == r["part"] and before[1] + 1 < r["place"]:
+            run.append(None)  # pages in between were compared by their task
+        if r["place"] < BORDER or r["place"] >= r["pages"] - BORDER:
+            places.append(len(run))
+        run.append((r["row"], r["host"], r["lines"][0]))
+        before = (r["part"], r["place"])
+    comparer = Comparer()
+    return [(run[i][0], comparer.shared(run, i)) for i in places]
+
+
 def template_lines(pages: DataFrame, url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """``row`` (number of the scanned page) and ``shared``, the open lines it shares with a neighbour.
+    """``row`` (number of the scanned page) and ``shared``, for each page it was aligned with the lines it shares.
 
-    Open lines are numbered in page order. Pages that share none have no row. The driver
-    compares two pages per partition border, nothing else.
+    Lines are numbered in page order. Pages alone on their host have an empty list. The
+    driver compares four pages per partition, nothing else.
     """
 
     picked = pages.select(
@@ -114,20 +171,48 @@ def template_lines(pages: DataFrame, url_column: str = "url", html_column: str =
     compared = land(
         map_arrow(
             index.repartitionByRange(*order).sortWithinPartitions(*order), _compare_neighbours,
-            "row bigint, lines array<bigint>, part int, side int, host string",
+            "row bigint, lines array<array<bigint>>, part int, place bigint, pages bigint, host string",
         ),
         "compared-pages",
     )
-    borders = sorted(compared.where("part is not null").collect(), key=lambda r: (r["part"], r["side"]))
-    extra = []
-    for before, after in zip(borders[1::2], borders[2::2]):
-        if before["host"] == after["host"]:
-            a, b = shared_lines(before["lines"], after["lines"])
-            extra += [(before["row"], a), (after["row"], b)]
-    sides = compared.where("part is null").select("row", "lines")
+    ends = sorted(compared.where("part is not null").collect(), key=lambda r: (r["part"], r["place"]))
+    shared = compared.where("part is null").select("row", F.col("lines").alias("shared"))
+    extra = _compare_ends(ends)
     if extra:
-        sides = sides.unionByName(pages.sparkSession.createDataFrame(extra, "row bigint, lines array<bigint>"))
-    return sides.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("shared"))
+        shared = shared.unionByName(pages.sparkSession.createDataFrame(extra, "row bigint, shared array<array<bigint>>"))
+    return shared
+
+
+def template_of(lines: list[Line], shared: list[list[int]]) -> set[int]:
+    """The lines that go because pages nearby have them too."""
+
+    article = any(line.main and not line.aside for line in lines)
+    content = {i for i, line in enumerate(lines) if not line.aside and (line.main or not article)}
+    sides = [set(s) for s in shared]
+    every = set.intersection(*sides) if len(sides) > 1 else set()
+    once = set().union(*sides) - every
+    own = content - every - once
+
+    def size(some: set[int], least: int = 0) -> int:
+        return sum(n for n in (len(lines[i].text) for i in some & content) if n >= least)
+
+    # Lines that one page has too: kept from a copy, and in an article, which may quote another.
+    # On a host of two pages nothing else tells template from copy, so there own text weighs more.
+    share = 1.0 if len(sides) > 1 else OWN_SHARE
+    if article:
+        if len(sides) > 1:
+            once -= content
+        elif size(own) <= share * size(once, LONG_LINE):
+            once -= content
+    else:
+        for side in sides:
+            if size(own) <= share * size(side & once, LONG_LINE):
+                once -= side
+    # A copy of both neighbours has next to nothing but what all three share.
+    rest = content - every - once
+    if not size(rest) or size(rest) < OWN_SHARE * size(every, LONG_LINE):
+        every -= content
+    return every | once
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,16 +220,10 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, counts = [], []
         for html, shared in zip(batch.column("html").to_pylist(), batch.column("shared").to_pylist()):
             lines = page_lines(html)
-            opened = _open_lines(lines)
-            template = {opened[k] for k in shared or [] if k < len(opened)}
-            if len(opened) == len(lines):  # no article: content is what is neither named nor shared
-                content = [i for i, line in enumerate(lines) if not line.aside]
-                size = sum(len(lines[i].text) for i in content)
-                if sum(len(lines[i].text) for i in content if i in template) > COPY_SHARE * size:
-                    template = set()
-                kept = [i for i in content if i not in template]
-            else:
-                kept = [i for i, line in enumerate(lines) if line.main and not line.aside]
+            template = template_of(lines, shared or [])
+            article = any(line.main and not line.aside for line in lines)
+            content = [i for i, line in enumerate(lines) if not line.aside and (line.main or not article)]
+            kept = [i for i in content if i not in template]
             texts.append("\n".join(lines[i].text for i in kept))
             counts.append(len(template))
         yield pa.RecordBatch.from_arrays(
