@@ -1,12 +1,12 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-A benchmark item is cut into windows. A window of n characters that occurs in a
-text with at most k edits shares at least n + 1 - q(k + 1) of its q-grams with
-the text, all on at most k + 1 neighbouring diagonals (text position minus
-window position). So shared q-grams are counted in overlapping bands of
-diagonals, two such widths wide and one apart: every possible occurrence lies
-whole in some band. Bands that reach the bound are verified by an alignment
-inside the band, which is exact for them.
+A window of an item starts at each of its characters. A window of n characters that
+occurs in a text with at most k edits shares at least n + 1 - q(k + 1) of its q-grams
+with the text, all on at most k + 1 neighbouring diagonals (text position minus
+item position). So the q-grams that text and item share are counted in overlapping
+bands of diagonals, two such widths wide and one apart: every possible occurrence
+lies whole in some band. In bands that reach the bound, the windows that reach it by
+themselves are verified by an alignment inside the band, which is exact for them.
 
 The benchmark is the query set. It goes to the executors in blocks of bounded
 size, one pass over the texts per block, so neither table is shuffled.
@@ -26,8 +26,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from panelforge.llm.common import filter_rows, map_arrow, require
 
-#: Characters of a q-gram, of a window, between window starts; edits per character of a window.
-Q, WINDOW, STRIDE, EDIT_SHARE = 10, 100, 50, 0.08
+#: Characters of a q-gram, of a window (13 words are about 75); edits per character of a window.
+Q, WINDOW, EDIT_SHARE = 10, 75, 0.08
+#: Characters of the q-grams that sift windows before their alignment.
+SHORT_Q = 5
 #: Items of fewer normalised characters are too short to be evidence and never match.
 LEAST_CHARS = 24
 #: Characters of benchmark text in one block, and of corpus text in one vectorised step.
@@ -77,54 +79,74 @@ def _grams(codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """The windows of one block of items and the postings of their q-grams."""
+    """One block of items and the postings of their q-grams, one for each place."""
 
-    items: np.ndarray  # item number of a window
-    codes: list[np.ndarray]
-    edits: np.ndarray
-    bound: np.ndarray
+    numbers: np.ndarray  # item numbers of the texts
+    texts: np.ndarray  # characters of all texts
+    starts: np.ndarray  # bounds of the texts in it
+    k: np.ndarray  # edits that a window of the text may have
+    length: np.ndarray  # of a window of the text
     seen: np.ndarray  # quick filter on hash bits
     grams: np.ndarray
     first: np.ndarray
     count: np.ndarray
-    window: np.ndarray
+    text: np.ndarray
     place: np.ndarray
 
+    @property
+    def windows(self) -> np.ndarray:
+        """Number of the first window of each text, and of all windows."""
+
+        return np.concatenate([[0], np.cumsum(np.diff(self.starts) - self.length + 1)])
+
+    @property
+    def bound(self) -> np.ndarray:
+        return self.length + 1 - Q * (self.k + 1)
+
+    @property
+    def items(self) -> np.ndarray:
+        """Item number of each window."""
+
+        return np.repeat(self.numbers, np.diff(self.windows))
+
+    @property
+    def edits(self) -> np.ndarray:
+        return np.repeat(self.k, np.diff(self.windows))
+
+    @property
+    def codes(self) -> list[np.ndarray]:
+        bounds = zip(self.starts[:-1], np.diff(self.windows), self.length)
+        return [self.texts[a + s : a + s + n] for a, number, n in bounds for s in range(number)]
+
 
 def build_index(texts: list[str]) -> Index | None:
     """Index normalised item texts; None if no item is long enough."""
 
-    items, codes = [], []
-    for number, text in enumerate(texts):
-        if len(text) < LEAST_CHARS:
-            continue
-        whole = _codes(text)
-        last = max(0, len(whole) - WINDOW)
-        for start in sorted({*range(0, last, STRIDE), last}):
-            items.append(number)
-            codes.append(whole[start : start + WINDOW])
-    if not items:
+    numbers = np.array([i for i, t in enumerate(texts) if len(t) >= LEAST_CHARS], dtype=np.int64)
+    if not len(numbers):
         return None
-    sizes = np.array([len(c) for c in codes])
-    edits = np.minimum((EDIT_SHARE * sizes).astype(np.int64), sizes // Q - 1)
+    codes = [_codes(texts[i]) for i in numbers]
+    sizes = np.array([len(c) for c in codes], dtype=np.int64)
+    length = np.minimum(sizes, WINDOW)
+    edits = np.minimum((EDIT_SHARE * length).astype(np.int64), length // Q - 1)
     hashes = [_grams(c) for c in codes]
     grams = np.concatenate(hashes)
-    window = np.repeat(np.arange(len(codes)), [len(h) for h in hashes])
+    text = np.repeat(np.arange(len(codes)), [len(h) for h in hashes])
     place = np.concatenate([np.arange(len(h)) for h in hashes])
     order = np.argsort(grams, kind="stable")
     unique, first, count = np.unique(grams[order], return_index=True, return_counts=True)
     seen = np.zeros(1 << FILTER_BITS, dtype=bool)
     seen[unique >> np.uint64(64 - FILTER_BITS)] = True
     return Index(
-        np.array(items), codes, edits, sizes + 1 - Q * (edits + 1), seen, unique, first, count,
-        window[order], place[order],
+        numbers, np.concatenate(codes), np.concatenate([[0], np.cumsum(sizes)]), edits, length, seen, unique, first,
+        count, text[order], place[order],
     )
 
 
-def _bands(index: Index, codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, window, band) triples whose shared q-grams reach the window's bound."""
+def _bands(index: Index, codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, item text, window start, band) of the windows whose shared q-grams reach the bound."""
 
-    none = (np.zeros(0, np.int64),) * 3
+    none = (np.zeros(0, np.int64),) * 4
     grams = _grams(codes)
     at = np.flatnonzero(index.seen[grams >> np.uint64(64 - FILTER_BITS)])
     near = np.minimum(np.searchsorted(index.grams, grams[at]), len(index.grams) - 1)
@@ -135,70 +157,116 @@ def _bands(index: Index, codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndar
     at, near, text = at[whole], near[whole], text[whole]
     if not len(at):
         return none
-    windows = len(index.codes)
-    most_bands = int(np.diff(bounds).max() + WINDOW) + 2
-    keys, counts = [], []
-    cuts = np.searchsorted(np.cumsum(index.count[near]), np.arange(0, index.count[near].sum() + STEP_HITS, STEP_HITS))
-    for low, high in zip(cuts[:-1], np.append(cuts[1:-1], len(at))):
-        if low == high:
-            continue
+    longest = int(np.diff(index.starts).max())
+    items = len(index.numbers)
+    most_bands = int(np.diff(bounds).max() + longest) + 2
+    total = np.cumsum(index.count[near])
+    cuts = np.searchsorted(total, np.arange(0, total[-1] + STEP_HITS, STEP_HITS))
+    steps = [(low, high) for low, high in zip(cuts[:-1], np.append(cuts[1:-1], len(at))) if low < high]
+
+    def expand(low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """Key of (text, item, band) and item place of each hit, in both bands that hold its diagonal."""
+
         n = index.count[near[low:high]]
         hit = np.repeat(np.arange(low, high), n)
         nth = np.arange(len(hit)) - np.repeat(np.cumsum(n) - n, n)
         posting = index.first[near[hit]] + nth
-        w = index.window[posting]
-        diagonal = at[hit] - bounds[text[hit]] - index.place[posting] + WINDOW
-        band = diagonal // (index.edits[w] + 1)
-        key = (text[hit] * windows + w) * most_bands + band
-        found, number = np.unique(np.concatenate([key, key - 1]), return_counts=True)
-        keys.append(found)
-        counts.append(number)
-    found, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(inverse, weights=np.concatenate(counts))
-    w = found // most_bands % windows
-    enough = total >= index.bound[w]
-    found, w = found[enough], w[enough]
-    return found // most_bands // windows, w, found % most_bands
+        item, place = index.text[posting], index.place[posting]
+        band = (at[hit] - bounds[text[hit]] - place + longest) // (index.k[item] + 1)
+        key = (text[hit] * items + item) * most_bands + band
+        return np.concatenate([key, key - 1]), np.concatenate([place, place])
+
+    counted = [np.unique(expand(*step)[0], return_counts=True) for step in steps]
+    found, inverse = np.unique(np.concatenate([f for f, _ in counted]), return_inverse=True)
+    number = np.bincount(inverse, weights=np.concatenate([n for _, n in counted]))
+    found = found[number >= index.bound[found // most_bands % items]]
+    if not len(found):
+        return none
+    # The hits of the bands that are left, by place: a window needs enough of them inside.
+    keys, places = [], []
+    for step in steps:
+        key, place = expand(*step)
+        slot = np.minimum(np.searchsorted(found, key), len(found) - 1)
+        left = found[slot] == key
+        keys.append(slot[left])
+        places.append(place[left])
+    key, place = np.concatenate(keys), np.concatenate(places)
+    order = np.lexsort((place, key))
+    key, place = key[order], place[order]
+    item = found // most_bands % items
+    last = np.arange(len(key)) + index.bound[item[key]] - 1
+    inside = last < len(key)
+    first, last = np.flatnonzero(inside), last[inside]
+    k = key[first]
+    reach = index.length[item[k]] - Q
+    enough = (key[last] == k) & (place[last] - place[first] <= reach)
+    first, last, k, reach = first[enough], last[enough], k[enough], reach[enough]
+    # A window that starts at ``low``..``high`` holds these hits; each start is taken once.
+    low = np.maximum(place[last] - reach, 0)
+    high = np.minimum(place[first], (np.diff(index.starts) - index.length)[item[k]])
+    new = np.append(True, k[1:] != k[:-1])
+    low[1:] = np.where(new[1:], low[1:], np.maximum(low[1:], high[:-1] + 1))  # both bounds rise within a key
+    n = np.maximum(high - low + 1, 0)
+    k, start = np.repeat(k, n), np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return found[k] // most_bands // items, item[k], start, found[k] % most_bands
 
 
 def _align(
-    index: Index, codes: np.ndarray, bounds: np.ndarray, text: np.ndarray, w: np.ndarray, band: np.ndarray
+    index: Index, codes: np.ndarray, bounds: np.ndarray, text: np.ndarray, item: np.ndarray, begin: np.ndarray,
+    band: np.ndarray,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Least edits of each window inside its band, with begin and end of that occurrence.
+    """Least edits of each window inside its band, or any number above its bound, with begin and end of that occurrence.
 
     Distance and begin are packed into one integer, so a minimum takes the least
-    distance and, among those, the earliest begin.
+    distance and, among those, the earliest begin. Rows of the arrays are columns of
+    the band, so that each step works on all windows at once.
     """
 
-    best = np.zeros((3, len(w)), dtype=np.int64)
-    far, one = np.int64(1) << 60, np.int64(1) << 32
-    for edits in np.unique(index.edits[w]):
-        chosen = np.flatnonzero(index.edits[w] == edits)
+    best = np.zeros((3, len(item)), dtype=np.int64)
+    longest = int(np.diff(index.starts).max())
+    for size in np.unique(index.length[item]):
+        chosen = np.flatnonzero(index.length[item] == size)
+        edits = int(index.k[item[chosen[0]]])
+        width = 2 * (edits + 1)
+        one = np.int16(1 << width.bit_length())  # an edit; below it the begin, counted from the band's first column
+        far = np.int16(min(1 << 14, one * (size + width)))
         for rows in np.array_split(chosen, -(-len(chosen) // 4096)):
-            width = 2 * (edits + 1)
-            sizes = np.array([len(index.codes[v]) for v in w[rows]])
-            pattern = np.zeros((len(rows), sizes.max()), dtype=np.uint32)
-            for i, v in enumerate(w[rows]):
-                pattern[i, : sizes[i]] = index.codes[v]
-            start, length = bounds[text[rows]], bounds[text[rows] + 1] - bounds[text[rows]]
-            column = (band[rows] * (edits + 1) - WINDOW)[:, None] + np.arange(width)[None, :]
-            ramp = np.arange(width) * one
-            cell = np.where((column >= 0) & (column <= length[:, None]), column, far)
-            final = np.full((2, len(rows)), far)
-            for r in range(1, sizes.max() + 1):
-                column = column + 1
-                inside = (column >= 1) & (column <= length[:, None])
-                char = codes[np.where(inside, start[:, None] + column - 1, 0)]
-                step = np.where(inside, cell + np.where(char == pattern[:, r - 1 : r], 0, one), far)
-                step[:, :-1] = np.minimum(step[:, :-1], cell[:, 1:] + one)
-                step = np.where((column >= 0) & (column <= length[:, None]), step, far)
-                cell = np.minimum(np.minimum.accumulate(step - ramp, axis=1) + ramp, far)
-                done = np.flatnonzero(sizes == r)
-                if len(done):
-                    where = cell[done].argmin(axis=1)
-                    final[0, done] = cell[done, where]
-                    final[1, done] = column[done, where]
-            best[0, rows], best[1, rows], best[2, rows] = final[0] >> 32, final[0] & (one - 1), final[1]
+            pattern = index.texts[(index.starts[item[rows]] + begin[rows])[None, :] + np.arange(size)[:, None]]
+            length = bounds[text[rows] + 1] - bounds[text[rows]]
+            base = band[rows] * (edits + 1) - longest + begin[rows]
+            column = base[None, :] + np.arange(size + width)[:, None]
+            outside = np.where((column >= 0) & (column <= length), np.int16(0), far)
+            char = codes[np.clip(bounds[text[rows]] + column, 0, len(codes) - 1)]
+            # Verbatim windows need no alignment; the first of the band's diagonals begins earliest. Nor do
+            # windows that miss the lemma's bound for shorter q-grams, of which some diagonal must hold enough.
+            verbatim = np.full(len(rows), -1)
+            held = np.zeros((size + 1 - SHORT_Q, len(rows)), dtype=bool)
+            for j in range(width - 1, -1, -1):
+                same = char[j : j + size] == pattern
+                verbatim[(outside[j] == 0) & (outside[j + size] == 0) & same.all(axis=0)] = j
+                gram = same[: len(held)].copy()
+                for i in range(1, SHORT_Q):
+                    gram &= same[i : i + len(held)]
+                held |= gram
+            known = verbatim >= 0
+            done, first = rows[known], base[known] + verbatim[known]
+            best[1, done], best[2, done] = first, first + size
+            best[0, rows[~known]] = edits + 1  # unless the alignment finds fewer
+            left = ~known & (held.sum(axis=0) >= size + 1 - SHORT_Q * (edits + 1))
+            if not left.any():
+                continue
+            rows, base, pattern, char, outside = (v[..., left] for v in (rows, base, pattern, char, outside))
+            cell = np.maximum(np.arange(width, dtype=np.int16)[:, None], outside[:width])
+            for r in range(1, size + 1):
+                step = cell + (char[r - 1 : r - 1 + width] != pattern[r - 1]) * one
+                step[:-1] = np.minimum(step[:-1], cell[1:] + one)
+                step = np.maximum(step, outside[r : r + width])
+                for j in range(1, width):
+                    np.minimum(step[j], step[j - 1] + one, out=step[j])
+                cell = np.minimum(step, far)
+            where = cell.argmin(axis=0)
+            final = cell[where, np.arange(len(rows))].astype(np.int64)
+            best[0, rows], best[1, rows], best[2, rows] = final // one, base + final % one, base + where + size
     return best[0], best[1], best[2]
 
 
@@ -216,12 +284,12 @@ def matches(index: Index | None, texts: list[str | None]) -> dict[str, np.ndarra
             high += 1
         codes = _codes("".join(cleaned))
         bounds = np.concatenate([[0], np.cumsum([len(c) for c in cleaned])]).astype(np.int64)
-        text, w, band = _bands(index, codes, bounds)
-        if len(w):
-            edits, begin, end = _align(index, codes, bounds, text, w, band)
-            ok = edits <= index.edits[w]
-            rows = np.stack([text[ok] + low, index.items[w[ok]], w[ok], edits[ok], begin[ok], end[ok]])
-            parts.append(rows)
+        text, item, start, band = _bands(index, codes, bounds)
+        if len(text):
+            edits, begin, end = _align(index, codes, bounds, text, item, start, band)
+            ok = edits <= index.k[item]
+            w = index.windows[item[ok]] + start[ok]
+            parts.append(np.stack([text[ok] + low, index.numbers[item[ok]], w, edits[ok], begin[ok], end[ok]]))
         low = high
     if not parts or not sum(p.shape[1] for p in parts):
         return {n: np.zeros(0, np.int64) for n in names}
