@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelforge.session import land
+
 # Bytes of text that one vectorised step works on; larger single texts are taken whole.
 SLICE_BYTES = 1 << 20
 
@@ -84,6 +86,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered(df: DataFrame, row: str) -> DataFrame:
+    """``df`` stored with a number for each row in a column ``row``.
+
+    The cut of files into partitions, and with it a number made in a scan, may differ
+    from one scan to the next. Steps that match rows of two scans read this column.
+    """
+
+    return land(df.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
+
+
 def filter_rows(df: DataFrame, extra: dict[str, Column], decide) -> DataFrame:
     """Rows of ``df`` for which ``decide`` says so, decided in place without a shuffle.
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelforge.llm.common import free_name, map_arrow, require
+from panelforge.llm.common import free_name, map_arrow, numbered, require
 from panelforge.session import land
 
 #: Bytes in a block. Larger blocks need fewer rounds and larger samples for the range bounds.
@@ -125,10 +125,12 @@ def rank_by_sort(
     )
 
 
-def name_texts(df: DataFrame, id_column: str, text_column: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def name_texts(
+    df: DataFrame, id_column: str, text_column: str, block_bytes: int = BLOCK_BYTES, row: Column | None = None
+) -> DataFrame:
     """One row per input row: ``row``, ``id``, ``sha`` and the identity (``level``, ``name``).
 
-    ``row`` numbers the rows of the stored input. Texts are compared as UTF-8; null
+    ``row`` is the given number of a row, or numbers the rows of the one scan made here. Texts are compared as UTF-8; null
     counts as empty, and an empty text is one empty block.
     """
 
@@ -136,7 +138,7 @@ def name_texts(df: DataFrame, id_column: str, text_column: str, block_bytes: int
     size = F.col("n")
     blocks = (
         df.select(
-            F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"),
+            (F.monotonically_increasing_id() if row is None else row).alias("row"), F.col(id_column).alias("id"),
             F.unhex(F.sha2(text, 256)).alias("sha"), text.cast("binary").alias("bytes"),
         )
         .withColumn("n", F.greatest(F.lit(1), F.ceil(F.length("bytes") / block_bytes)).cast("int"))
@@ -177,7 +179,8 @@ def name_texts(df: DataFrame, id_column: str, text_column: str, block_bytes: int
 
 
 def exact_groups(
-    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", block_bytes: int = BLOCK_BYTES
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", block_bytes: int = BLOCK_BYTES,
+    row: Column | None = None,
 ) -> DataFrame:
     """Group equal texts; of each group the row with the largest id stays.
 
@@ -188,7 +191,7 @@ def exact_groups(
     """
 
     require(df, id_column, text_column)
-    named = name_texts(df, id_column, text_column, block_bytes)
+    named = name_texts(df, id_column, text_column, block_bytes, row)
     # Stored, so that its size is known and a join with a hot group can be split.
     groups = land(
         named.groupBy("level", "name").agg(
@@ -206,11 +209,11 @@ def exact_groups(
 def keep_one_of_each(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows that :func:`exact_groups` keeps, with all columns of ``df``.
 
-    The input must be a stored table: the row numbers of its scan link both reads.
+    The numbered rows are stored once; both reads use those numbers.
     """
 
     row = free_name(df, "_row")
-    kept = exact_groups(df, id_column, text_column).where("kept").select(F.col("row").alias(row))
-    numbered = df.withColumn(row, F.monotonically_increasing_id())
+    stored = numbered(df, row)
+    kept = exact_groups(stored, id_column, text_column, row=F.col(row)).where("kept").select(F.col("row").alias(row))
     # The kept rows grow with the table, so both sides are dealt by row at every size.
-    return numbered.join(land(kept, "kept-rows").hint("shuffle_hash"), row, "left_semi").drop(row)
+    return stored.join(land(kept, "kept-rows").hint("shuffle_hash"), row, "left_semi").drop(row)

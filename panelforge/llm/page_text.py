@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import map_arrow, require
+from panelforge.llm.common import map_arrow, numbered, require
 from panelforge.llm.html_lines import Line, page_lines, shared_lines
 from panelforge.session import land
 
@@ -152,17 +152,14 @@ def _compare_ends(ends: list) -> list[tuple[int, list[list[int]]]]:
     return [(run[i][0], comparer.shared(run, i)) for i in places]
 
 
-def template_lines(pages: DataFrame, url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """``row`` (number of the scanned page) and ``shared``, for each page it was aligned with the lines it shares.
+def template_lines(pages: DataFrame) -> DataFrame:
+    """For a stored table of ``row``, ``url`` and ``html``: ``row`` and ``shared``, for each page it was aligned with the lines it shares.
 
     Lines are numbered in page order. Pages alone on their host have an empty list. The
     driver compares four pages per partition, nothing else.
     """
 
-    picked = pages.select(
-        F.monotonically_increasing_id().alias("row"), F.col(url_column).cast("string").alias("url"),
-        F.col(html_column).cast("string").alias("html"),
-    )
+    picked = pages.select("row", F.col("url").cast("string").alias("url"), "html")
     # Stored, so that the range bounds are sampled without parsing every page once more.
     index = land(
         map_arrow(picked, _index_pages, "row bigint, host string, path string, lines array<bigint>"), "page-index"
@@ -243,16 +240,18 @@ def extract_text(
     Blocks keep the page's order, joined by a line feed; white space in a block is one
     space. Null and empty pages give an empty text; null URLs are one host of their own;
     pages with equal URLs are neighbours; repeated rows each get a row; an empty table gives
-    an empty result. The input must be a stored table, whose scan numbers its rows.
+    an empty result. The numbered pages are stored once; both reads use those numbers.
     """
 
     require(pages, id_column, url_column, html_column)
-    shared = land(template_lines(pages, url_column, html_column), "template-lines")
     kind, url_kind = (pages.schema[c].dataType.simpleString() for c in (id_column, url_column))
-    picked = pages.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(url_column).alias("url"),
-        F.col(html_column).cast("string").alias("html"),
+    picked = numbered(
+        pages.select(
+            F.col(id_column).alias("id"), F.col(url_column).alias("url"), F.col(html_column).cast("string").alias("html")
+        ),
+        "row",
     )
+    shared = land(template_lines(picked), "template-lines")
     joined = picked.join(shared, "row", "left").select("id", "url", "html", "shared")
     found = map_arrow(joined, _assemble, f"id {kind}, url {url_kind}, text string, n_chars bigint, n_shared int")
     return found.withColumnRenamed("id", id_column).withColumnRenamed("url", url_column)

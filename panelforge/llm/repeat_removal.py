@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import map_arrow, require, text_views
+from panelforge.llm.common import map_arrow, numbered, require, text_views
 from panelforge.llm.repeat_index import BASES, anchors, maximal_repeats, prefix_sums, range_hashes
 from panelforge.session import land
 
@@ -45,11 +45,6 @@ CONTEXTS = "key bigint, row bigint, start bigint, anchor int, low int, high int,
 SPANS = "row bigint, begin bigint, end bigint"
 
 
-def _numbered(df: DataFrame, text_column: str) -> DataFrame:
-    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    return df.select(F.monotonically_increasing_id().alias("row"), text.alias("text"))
-
-
 def _places_of(data: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
     """Anchor places of one text with their two hashes and the reach of their contexts."""
 
@@ -312,10 +307,12 @@ def _spans_of(contexts: DataFrame, least: int) -> list[DataFrame]:
         contexts = land(lone.select("key", "row", "start", "anchor", "low", "high", "bytes"), "repeat-contexts")
 
 
-def repeated_spans(df: DataFrame, text_column: str = "text", least: int = 200) -> DataFrame:
-    """Spans (``row``, ``begin``, ``end``) that together cover exactly the repeated bytes; they may overlap."""
+def repeated_spans(docs: DataFrame, least: int = 200) -> DataFrame:
+    """Spans (``row``, ``begin``, ``end``) that together cover exactly the repeated bytes; they may overlap.
+
+    ``docs`` is a stored table of ``row``, which names each row once, and ``text``.
+    """
 
-    docs = _numbered(df, text_column)
     order = ["gram", "context", "row", "at"]
     places = map_arrow(docs, _find_places(least), PLACES)
     judged = land(
@@ -364,20 +361,20 @@ def remove_repeats(
     Every byte that lies in a string of ``least`` bytes which also starts elsewhere, in the
     same or another text, is removed; strings are judged on the input. Texts are UTF-8; null
     counts as empty; texts shorter than ``least`` stay whole; repeated rows repeat each
-    other. An empty table gives an empty result. The input must be a stored table: scans
-    number its rows alike. Other columns are ignored.
+    other. An empty table gives an empty result. The numbered rows are stored once; all
+    scans use those numbers. Other columns are ignored.
     """
 
     require(df, id_column, text_column)
     if least <= GRAM:
         raise ValueError(f"least must exceed {GRAM}")
+    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    docs = numbered(df.select(F.col(id_column).alias("id"), text.alias("text")), "row")
     spans = (
-        repeated_spans(df, text_column, least)
+        repeated_spans(docs.select("row", "text"), least)
         .groupBy("row")
         .agg(F.collect_set(F.struct("begin", "end")).alias("spans"))  # those of one text
     )
-    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    docs = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), text.alias("text"))
     kind = df.schema[id_column].dataType.simpleString()
     joined = docs.join(land(spans, "text-spans"), "row", "left").select("id", "text", "spans")
     return map_arrow(

@@ -15,10 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import free_name, map_arrow, require, slices, text_views
+from panelforge.llm.common import free_name, map_arrow, numbered, require, slices, text_views
 from panelforge.llm.components import connected_components
 from panelforge.session import land
 
@@ -141,7 +141,9 @@ def fingerprints(data: np.ndarray, bounds: np.ndarray, width: int = 3) -> np.nda
     return out
 
 
-def with_fingerprints(df: DataFrame, id_column: str, text_column: str, width: int = 3) -> DataFrame:
+def with_fingerprints(
+    df: DataFrame, id_column: str, text_column: str, width: int = 3, row: Column | None = None
+) -> DataFrame:
     """``row``, ``id`` and ``fp`` of each input row; ``fp`` is the fingerprint as a signed 64-bit integer."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +157,7 @@ def with_fingerprints(df: DataFrame, id_column: str, text_column: str, width: in
 
     kind = df.schema[id_column].dataType.simpleString()
     picked = df.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"),
+        (F.monotonically_increasing_id() if row is None else row).alias("row"), F.col(id_column).alias("id"),
         F.col(text_column).cast("string").alias("text"),
     )
     return map_arrow(picked, compute, f"row bigint, id {kind}, fp bigint")
@@ -182,7 +184,9 @@ def ball_links(fps: DataFrame) -> DataFrame:
     )
 
 
-def simhash_groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 3) -> DataFrame:
+def simhash_groups(
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 3, row: Column | None = None
+) -> DataFrame:
     """One row per input row: the id, ``fingerprint`` (16 hex digits) and ``component_id``.
 
     ``component_id`` is the smallest id reachable over links of at most two differing
@@ -192,7 +196,7 @@ def simhash_groups(df: DataFrame, id_column: str = "doc_id", text_column: str =
     """
 
     require(df, id_column, text_column)
-    docs = land(with_fingerprints(df, id_column, text_column, width), "fingerprints")
+    docs = land(with_fingerprints(df, id_column, text_column, width, row), "fingerprints")
     # The row that stands for a group: the smallest id, nulls last, and of repeated rows the first.
     least = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("least")
     distinct = land(docs.groupBy("fp").agg(least), "distinct-fingerprints")
@@ -213,11 +217,11 @@ def simhash_groups(df: DataFrame, id_column: str = "doc_id", text_column: str =
 def keep_one_per_component(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row of each component, the one named by ``component_id``, with all columns of ``df``.
 
-    The input must be a stored table: the row numbers of its scan link both reads.
+    The numbered rows are stored once; both reads use those numbers.
     """
 
     row = free_name(df, "_row")
-    kept = simhash_groups(df, id_column, text_column).where("kept").select(F.col("row").alias(row))
-    numbered = df.withColumn(row, F.monotonically_increasing_id())
+    stored = numbered(df, row)
+    kept = simhash_groups(stored, id_column, text_column, row=F.col(row)).where("kept").select(F.col("row").alias(row))
     # The kept rows grow with the table, so both sides are dealt by row at every size.
-    return numbered.join(land(kept, "kept-rows").hint("shuffle_hash"), row, "left_semi").drop(row)
+    return stored.join(land(kept, "kept-rows").hint("shuffle_hash"), row, "left_semi").drop(row)
