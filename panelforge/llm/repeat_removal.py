@@ -88,7 +88,7 @@ def _judge_places(least: int):
     """Spans of repeated contexts, and requests for the bytes of contexts that differ around one anchor.
 
     Gets one range of anchors sorted by (gram, context, row, at). At its two borders a
-    neighbour may hold the same anchor, so what lies there is requested in any case.
+    neighbour may hold the same anchor, so there one of each context is requested in any case.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,7 +106,7 @@ def _judge_places(least: int):
         contexts = np.bincount(gram_of)[gram_of]
         single = np.bincount(gram_of, weights=copies == 1)[gram_of] > 0
         wanted = (contexts >= 2) & single
-        wanted[[0, -1]] = True
+        wanted |= (gram_of == gram_of[0]) | (gram_of == gram_of[-1])
         wanted = first[wanted]
         covered = np.flatnonzero(whole)
         kind = np.concatenate([np.zeros(len(covered), bool), np.ones(len(wanted), bool)])
