@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from panelforge.llm import exact_dedup, page_text, repeat_removal, shingle_near, simhash_near
+from panelforge.llm import exact_dedup, page_text, repeat_removal, simhash_near
 
 CUT = "spark.sql.files.maxPartitionBytes"
 
@@ -28,7 +28,7 @@ def shifting(spark, monkeypatch):
     from panelforge import session
     from panelforge.llm import common
 
-    for module in (exact_dedup, page_text, repeat_removal, shingle_near, simhash_near, common):
+    for module in (exact_dedup, page_text, repeat_removal, simhash_near, common):
         if hasattr(module, "land"):
             monkeypatch.setattr(module, "land", wrap(session.land))
     before, cost = spark.conf.get(CUT), spark.conf.get("spark.sql.files.openCostInBytes")
@@ -50,7 +50,7 @@ def words(k, n=60):
 
 @pytest.mark.parametrize(
     "keep, best",
-    [(exact_dedup.keep_one_of_each, max), (simhash_near.keep_one_per_component, min), (shingle_near.keep_one_per_similar, min)],
+    [(exact_dedup.keep_one_of_each, max), (simhash_near.keep_one_per_component, min)],
 )
 def test_one_row_of_each_text_stays(spark, tmp_path, shifting, keep, best):
     docs = stored(spark, tmp_path / "d", [(i, words(i % 25)) for i in range(60)], "doc_id long, text string")
