@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import decontaminate, exact_dedup, language_id, sentencepiece_codec, shingle_near
+from panelforge.llm import decontaminate, exact_dedup, language_id, sentencepiece_codec, simhash_near
 from panelforge.session import land
 
 
@@ -21,9 +21,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Keep, of texts linked by a similarity of 0.8 or more on five-word shingles, the row with the smallest doc_id."""
+    """Keep, of texts linked by SimHash fingerprints within two bits on three-word shingles, the row with the smallest doc_id."""
 
-    return shingle_near.keep_one_per_similar(docs)
+    return simhash_near.keep_one_per_component(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -42,7 +42,7 @@ def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 STAGES = [
     ("language id", keep_known_languages),
     ("exact dedup", drop_exact_copies),
-    ("shingle near-dedup", drop_near_copies),
+    ("simhash near-dedup", drop_near_copies),
     ("benchmark decontamination", drop_contaminated),
     ("sentencepiece encoding", encode),
 ]
