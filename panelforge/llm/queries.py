@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.llm import (
-    decontaminate, exact_dedup, language_id, license_scan, page_text, repeat_removal, sentencepiece_codec, simhash_near,
+    decontaminate, exact_dedup, language_id, license_scan, page_text, prefix_trie, repeat_removal, sentencepiece_codec, simhash_near,
     token_files, toxicity,
 )
 
@@ -76,6 +76,12 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_near.simhash_groups(_table(spark, folder, "documents")).drop("row", "kept")
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+
+    return prefix_trie.conversation_trie(_table(spark, folder, "conversations"))
+
+
 OP5_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -94,5 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
 }
 SQL = {"op5_exact_dedup": OP5_SQL}
