@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.llm import (
-    decontaminate, exact_dedup, language_id, license_scan, page_text, prefix_trie, repeat_removal, sentencepiece_codec, simhash_near,
-    token_files, toxicity,
+    decontaminate, exact_dedup, interval_repair, language_id, license_scan, page_text, prefix_trie, repeat_removal,
+    sentencepiece_codec, simhash_near, token_files, toxicity,
 )
 
 
@@ -82,6 +82,12 @@ def op11_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame
     return prefix_trie.conversation_trie(_table(spark, folder, "conversations"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, least cost, audit and repaired hash of every damaged conversation."""
+
+    return interval_repair.damaged_and_repaired(_table(spark, folder, "conversations"))
+
+
 OP5_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -101,5 +107,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 SQL = {"op5_exact_dedup": OP5_SQL}
