@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.llm import (
     decontaminate, exact_dedup, interval_repair, language_id, license_scan, page_text, prefix_trie, repeat_removal,
-    sentencepiece_codec, simhash_near, token_files, toxicity,
+    sentencepiece_codec, simhash_near, token_files, toxicity, window_removal,
 )
 
 
@@ -88,6 +88,12 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return interval_repair.damaged_and_repaired(_table(spark, folder, "conversations"))
 
 
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the words of 35-word windows that occur elsewhere too."""
+
+    return window_removal.remove_repeated_windows(_table(spark, folder, "documents"))
+
+
 OP5_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -95,6 +101,25 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+OP13_SQL = """
+WITH words AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT r, i, list_slice(w, i, i + 34) AS said FROM words, unnest(range(1, greatest(len(w) - 33, 1))) AS t(i)
+), repeated AS (
+    SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY said) AS n FROM windows) WHERE n > 1
+), removed AS (
+    SELECT DISTINCT r, i + k AS i FROM repeated, unnest(range(0, 35)) AS t(k)
+), split AS (
+    SELECT r, i, w[i] AS word FROM words, unnest(range(1, len(w) + 1)) AS t(i)
+), per_text AS (
+    SELECT split.r, count(removed.r) AS n_removed, string_agg(word, ' ' ORDER BY split.i) FILTER (removed.r IS NULL) AS kept
+    FROM split LEFT JOIN removed ON removed.r = split.r AND removed.i = split.i GROUP BY split.r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN per_text USING (r)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -108,5 +133,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_substring_dedup": op13_substring_dedup,
 }
-SQL = {"op5_exact_dedup": OP5_SQL}
+SQL = {"op5_exact_dedup": OP5_SQL, "op13_substring_dedup": OP13_SQL}
