@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelforge.operators.sliding import window_deviations
 from panelforge.session import land
 
 # Fixed value: open interest is published with a one-day lag after this date.
@@ -175,58 +176,20 @@ def historical_volatility(
     Output: key, date, window_days, observations, volatility. ``returns`` holds
     one row per key and date, so a key is bounded by the calendar.
 
-    Running sums of the log return and its square are carried over every
-    calendar day, which turns each window into the difference of two rows at a
-    fixed distance. All windows then cost one shuffle, one sort and a constant
-    amount of work per row, where a sliding frame would re-add up to 1,825 days
-    for each row. The sums are decimals of 18 and 24 digits after the point, so
-    the differences are exact however large an earlier return was. A return that
-    is NaN, infinite or not above -1 counts as missing.
+    Rows are shuffled once, by key, and sorted; :func:`sliding.window_deviations` then merges
+    moments of blocks of rows, so neither every calendar day nor a sum over the whole history
+    is formed, and an outlier leaves a window without a trace. A return that is NaN, infinite
+    or not above -1 counts as missing. Rows without a date have no window and are left out.
     """
 
     plain = F.when(F.col(return_column) > -1, F.log1p(F.col(return_column)))
     finite = F.when(~F.isnan(plain) & (F.abs(plain) < F.lit(float("inf"))), plain)
-    log_return = finite.cast("decimal(24,18)")
-    square = (finite * finite).cast("decimal(28,24)")
-    in_order = Window.partitionBy(key).orderBy(date_column)
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = returns.select(
-        key,
-        F.col(date_column).cast("date").alias(date_column),
-        F.count(log_return).over(so_far).alias("_n"),
-        F.coalesce(F.sum(log_return).over(so_far), F.lit(0)).cast("decimal(34,18)").alias("_s"),
-        F.coalesce(F.sum(square).over(so_far), F.lit(0)).cast("decimal(38,24)").alias("_q"),
-        F.lead(date_column).over(in_order).cast("date").alias("_next"),
-    )
-    # One row per calendar day up to the next observation.
-    until = F.coalesce(F.date_sub("_next", 1), F.col(date_column))
-    daily = running.select(
-        key,
-        F.explode(F.sequence(F.col(date_column), until)).alias("_day"),
-        date_column,
-        F.struct(F.col("_n").alias("n"), F.col("_s").alias("s"), F.col("_q").alias("q")).alias("_now"),
-    )
-    by_day = Window.partitionBy(key).orderBy("_day")
-    nothing = F.struct(
-        F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("decimal(34,18)").alias("s"),
-        F.lit(0).cast("decimal(38,24)").alias("q"),
-    )
-    before = [F.coalesce(F.lag("_now", w).over(by_day), nothing).alias(f"_w{w}") for w in windows]
-    observed = daily.select(key, "_day", date_column, "_now", *before).where(F.col("_day") == F.col(date_column))
-
-    scale = F.lit(1.0 if annualize is None else float(annualize) ** 0.5)
-
-    def measure(w: int):
-        n = F.col("_now.n") - F.col(f"_w{w}.n")
-        s = (F.col("_now.s") - F.col(f"_w{w}.s")).cast("double")
-        q = (F.col("_now.q") - F.col(f"_w{w}.q")).cast("double")
-        variance = F.greatest((q - s * s / n) / (n - 1), F.lit(0.0))
-        return F.struct(
-            F.lit(w).alias("window_days"),
-            n.alias("observations"),
-            F.when(n >= max(min_observations, 2), F.sqrt(variance) * scale).alias("volatility"),
+    light = returns.select(key, F.col(date_column).cast("date").alias(date_column), finite.alias("log_return"))
+    kind = light.schema[key].dataType.simpleString()
+    measure = window_deviations(tuple(windows), min_observations, 1.0 if annualize is None else float(annualize) ** 0.5)
+    return (
+        light.where(F.col(date_column).isNotNull()).repartition(key).sortWithinPartitions(key, date_column)
+        .mapInArrow(
+            measure, f"`{key}` {kind}, `{date_column}` date, window_days int, observations bigint, volatility double"
         )
-
-    return observed.select(key, date_column, F.explode(F.array(*[measure(w) for w in windows])).alias("m")).select(
-        key, date_column, "m.*"
     )

@@ -89,3 +89,28 @@ def test_stated_years_save_the_scan(spark):
     panel = spark.createDataFrame([(1, date(2000, 5, 1)), (1, date(2001, 5, 1))], "secid bigint, date date")
     links = spark.createDataFrame([(1, date(1990, 1, 1), date(9000, 1, 1), 12, 2.0)], "secid bigint, sdate date, edate date, permno bigint, score double")
     assert [r.permno for r in P.link_join(panel, links, years=(2000, 2001)).collect()] == [12, 12]
+
+
+def test_volatility_is_exact_beside_outliers(spark):
+    """Returns of 1e-4 next to one of a million, two keys side by side, gaps in days, rows without a value."""
+
+    rng = random.Random(8)
+    rows = []
+    for key in ("a", None, "b"):
+        day = date(1990, 1, 1)
+        for i in range(1500):
+            day += timedelta(days=rng.choice([1, 1, 1, 2, 3, 200 if i % 400 == 0 else 1]))
+            value = 1e6 if i in (300, 900) else None if i % 37 == 0 else float("nan") if i % 41 == 0 else rng.gauss(0, 1e-4)
+            rows.append((key, day, value))
+    table = spark.createDataFrame(rows, "secid string, date date, return double")
+    got = {(r.secid, r.date, r.window_days): r for r in P.historical_volatility(table).collect()}
+    assert len(got) == len(rows) * len(P.VOLATILITY_WINDOWS)
+    for key, day, _ in rng.sample(rows, 150):
+        for w in P.VOLATILITY_WINDOWS:
+            inside = [math.log1p(x) for k, d, x in rows if k == key and x is not None and x == x and 0 <= (day - d).days < w]
+            r = got[key, day, w]
+            assert r.observations == len(inside)
+            if len(inside) < 2:
+                assert r.volatility is None
+            else:
+                assert math.isclose(r.volatility, stdev(inside), rel_tol=1e-9)
