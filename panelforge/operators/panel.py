@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.operators.sliding import window_deviations
@@ -16,6 +16,9 @@ OPEN_INTEREST_LAG_DATE = "2000-11-28"
 # Calendar-day windows of the historical volatility table.
 VOLATILITY_WINDOWS = (10, 14, 30, 60, 91, 122, 152, 182, 273, 365, 547, 730, 1825)
 
+# The documented labels of calls and puts.
+CALL_PUT = ("C", "P")
+
 # Fixed value: strike prices are stored as dollars times this factor.
 STRIKE_SCALE = 1000
 
@@ -103,27 +106,37 @@ def attach_underlying(options: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
-def volume_totals(options: DataFrame) -> DataFrame:
+def volume_totals(options: DataFrame, labels: Sequence[str] = CALL_PUT) -> DataFrame:
     """Volume and open interest per (secid, date, call/put) plus a total row.
 
-    One wide grouping on (secid, date, cp_flag), whatever labels occur; the few label rows
-    of a day are then grouped once more for the total. Unlike grouping sets this does
-    not double the input before the shuffle. ``cp_flag`` is NULL on total rows,
-    which ``is_total`` tells apart from unlabelled contracts.
+    One grouping on (secid, date) sums the documented ``labels``, unlabelled contracts and
+    the total side by side, with partial sums before its one shuffle. Contracts of any other
+    label, of which a clean table has none, are grouped by themselves; the scan for them is
+    pruned by file statistics. ``cp_flag`` is NULL on total rows, which ``is_total`` tells
+    apart from unlabelled contracts.
     """
 
-    by_label = options.groupBy("secid", "date", "cp_flag").agg(
-        F.sum("volume").alias("volume"), F.sum("open_interest").alias("open_interest"),
-        F.count(F.lit(1)).alias("contracts"),
+    label = F.col("cp_flag")
+    lines = [(F.lit(x), F.lit(False), label == x) for x in labels]
+    lines += [(F.lit(None).cast("string"), F.lit(False), label.isNull()), (F.lit(None).cast("string"), F.lit(True), F.lit(True))]
+
+    def measures(test: Column) -> list[Column]:
+        return [F.sum(F.when(test, F.col(m))) for m in ("volume", "open_interest")] + [F.count_if(test)]
+
+    names = ("volume", "open_interest", "contracts")
+    sums = [m.alias(f"{name}_{i}") for i, (_, _, test) in enumerate(lines) for name, m in zip(names, measures(test))]
+    daily = options.groupBy("secid", "date").agg(*sums)
+    stacked = F.array(
+        *[
+            F.struct(flag.alias("cp_flag"), total.alias("is_total"), *[F.col(f"{n}_{i}").alias(n) for n in names])
+            for i, (flag, total, _) in enumerate(lines)
+        ]
     )
-    measures = ("volume", "open_interest", "contracts")
-    label = F.struct("cp_flag", F.lit(False).alias("is_total"), *measures)
-    daily = by_label.groupBy("secid", "date").agg(
-        F.collect_list(label).alias("labels"), *[F.sum(m).alias(m) for m in measures]
+    known = daily.select("secid", "date", F.explode(stacked).alias("t")).select("secid", "date", "t.*").where("contracts > 0")
+    other = options.where(label.isNotNull() & ~label.isin(*labels)).groupBy("secid", "date", "cp_flag").agg(
+        *[m.alias(n) for n, m in zip(names, measures(F.lit(True)))]
     )
-    total = F.struct(F.lit(None).cast("string").alias("cp_flag"), F.lit(True).alias("is_total"), *measures)
-    lines = F.concat("labels", F.array(total))
-    return daily.select("secid", "date", F.explode(lines).alias("t")).select("secid", "date", "t.*")
+    return known.unionByName(other.withColumn("is_total", F.lit(False)))
 
 
 def lag_trading_day(panel: DataFrame, keys: Sequence[str], value: str, date_column: str = "date") -> DataFrame:
