@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.plans.contracts import LAYOUTS, Layout, default_sort_columns
+from panelforge.session import land
 
 EPOCH = "1970-01-01"
-# One reader task's worth of rows per file keeps files splittable and bounded.
-MAX_RECORDS_PER_FILE = 20_000_000
+# About one reader task's worth of rows per file keeps files splittable and bounded.
+FILE_ROWS = 20_000_000
+# Steps of a partition value's quantiles, and so the most ranges it is cut into.
+QUANTILES = 1000
 
 
 def month_of(column: str) -> Column:
@@ -30,27 +33,91 @@ def sort_value(df: DataFrame, column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(0).cast(kind))
 
 
-def laid_out(df: DataFrame, layout: Layout) -> DataFrame:
-    """Rows arranged for the write: gathered by partition value, sorted by the layout's key.
+def order_number(df: DataFrame, column: str) -> Column:
+    """A number that grows with the sort key; texts that share their first seven bytes share it."""
 
-    The rebalance brings the rows of a month or year together, so files are not
-    scattered over partitions, and adaptive execution then cuts a partition
-    value that is too large into several writers and merges small ones. Unlike
-    a range split it does not run the input twice to sample it. Every file is
-    sorted, so readers skip row groups and pages by their statistics. Tables
-    without partitions are only sorted where they are, with no shuffle.
+    kind, value = df.schema[column].dataType, sort_value(df, column)
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.substring(F.hex(F.encode(value, "UTF-8")), 1, 14), 14, "0"), 16, 10).cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("bigint")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(value.cast("timestamp"))
+    return value if isinstance(kind, T.NumericType) else F.lit(0)
+
+
+def _cut(quantiles: list, rows: int, file_rows: int) -> tuple[list, list]:
+    """Bounds of the ranges of one partition value, and (value, files) for values that fill several files."""
+
+    files = min(max(1, -(-rows // file_rows)), QUANTILES)
+    picked = [quantiles[i * QUANTILES // files - 1] for i in range(1, files)]
+    bounds = sorted(set(picked))
+    return bounds, [(b, picked.count(b)) for b in bounds if picked.count(b) > 1]
+
+
+def ranged(df: DataFrame, layout: Layout, file_rows: int = FILE_ROWS) -> DataFrame:
+    """Rows arranged for the write: one task per partition value and range of the leading key, sorted by the whole key.
+
+    A first pass over the two columns (partition value, leading key) counts the rows of each
+    value and sketches its quantiles; partial sketches merge, so one row per value, of which
+    the calendar has few, reaches the driver. Values of more than ``file_rows`` rows are cut
+    into ranges at the quantiles, and one shuffle brings each (value, range) to a task of its
+    own. Files of a month therefore have disjoint key ranges, and a reader that looks for an id
+    opens one. A key so frequent that it fills several files gets files of its own, its
+    rows dealt by the rest of the sort key; other keys never share them.
+    """
+
+    value = F.col(layout.partition)
+    present = [c for c in layout.sort_keys if c in df.columns]
+    lead = order_number(df, present[0]) if present else F.lit(0)
+    shares = [i / QUANTILES for i in range(1, QUANTILES)]
+    counted = df.select(value.alias("value"), lead.alias("lead")).groupBy("value").agg(
+        F.count(F.lit(1)).alias("rows"), F.percentile_approx("lead", shares, 10 * QUANTILES).alias("quantiles")
+    )
+    ranges, slots = [], 0
+    for row in counted.collect():
+        bounds, frequent = _cut(row["quantiles"], row["rows"], file_rows)
+        first, slots = slots, slots + len(bounds) + 1
+        own = []
+        for _, files in frequent:
+            own.append(slots)
+            slots += files
+        ranges.append((row["value"], first, bounds, [v for v, _ in frequent], own, [n for _, n in frequent]))
+    kind, number = df.schema[layout.partition].dataType.simpleString(), counted.schema["quantiles"].dataType.elementType.simpleString()
+    table = df.sparkSession.createDataFrame(
+        ranges, f"_value {kind}, _first int, _bounds array<{number}>, _frequent array<{number}>, _own array<int>, _files array<int>"
+    )
+    rest = [F.col(c) for c in present[1:]] or [F.lit(0)]
+    at = F.array_position("_frequent", F.col("_lead")).cast("int")
+    slot = F.when(at > 0, F.get("_own", at - 1) + F.pmod(F.hash(*rest), F.get("_files", at - 1))).otherwise(
+        F.col("_first") + F.size(F.filter("_bounds", lambda b: b <= F.col("_lead")))
+    )
+    placed = (
+        df.withColumn("_lead", lead).join(table, value.eqNullSafe(F.col("_value")), "left")
+        .withColumn("_slot", F.coalesce(slot, F.lit(0)))
+        .repartitionById(max(slots, 1), "_slot")
+    )
+    keys = [value, *[sort_value(df, c) for c in present]]
+    return placed.sortWithinPartitions(*keys).select(*df.columns)
+
+
+def laid_out(df: DataFrame, layout: Layout, file_rows: int = FILE_ROWS) -> DataFrame:
+    """Rows arranged for the write.
+
+    Partitioned tables go by :func:`ranged`. Tables without partitions are only sorted where
+    they are, with no shuffle. Every file is sorted, so readers skip row groups and pages by
+    their statistics.
     """
 
     if layout.partition == "month":
         df = df.withColumn("month", month_of(layout.month_of))
-    keys = [sort_value(df, c) for c in layout.sort_keys if c in df.columns]
+    keys = [c for c in layout.sort_keys if c in df.columns]
     if layout.partition:
-        df = df.hint("rebalance", layout.partition)
-        keys = [F.col(layout.partition), *keys]
-    return df.sortWithinPartitions(*keys) if keys else df
+        return ranged(df, layout, file_rows)
+    return df.sortWithinPartitions(*[sort_value(df, c) for c in keys]) if keys else df
 
 
-def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "errorifexists") -> int:
+def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "errorifexists", file_rows: int = FILE_ROWS) -> int:
     """zstd Parquet in a layout; returns the rows written.
 
     Spark's commit makes the write all-or-nothing. Rows are counted on their
@@ -59,8 +126,8 @@ def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "errorife
 
     seen = Observation()
     writer = (
-        laid_out(df, layout).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).option("compression", "zstd")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        laid_out(df, layout, file_rows).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+        .option("compression", "zstd").option("maxRecordsPerFile", 2 * file_rows)
         # A replaced table must lose its old partitions too.
         .option("partitionOverwriteMode", "static")
     )
@@ -70,6 +137,33 @@ def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "errorife
     return int(seen.get["rows"])
 
 
+def file_report(stored: DataFrame, layout: Layout) -> DataFrame:
+    """Per file of a stored table: ``value``, ``file``, ``rows``, ``first``, ``last``, ``unsorted``, ``overlaps``.
+
+    ``first`` and ``last`` are the least and greatest leading key. ``unsorted`` counts
+    neighbours that are out of order by the full sort key; they meet by their number, so no
+    file has to be one group. ``overlaps`` tells that the file begins before an earlier one
+    of its partition value ends; files of one single key may follow each other.
+    """
+
+    lead, *rest = [c for c in layout.sort_keys if c in stored.columns]
+    value = F.col(layout.partition) if layout.partition else F.lit(None).cast("string")
+    rows = land(
+        stored.select(
+            value.alias("value"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"),
+            sort_value(stored, lead).alias("lead"), F.struct(*[sort_value(stored, c) for c in (lead, *rest)]).alias("key"),
+        ),
+        "placed-rows",
+    )
+    after = rows.select((F.col("place") - 1).alias("place"), F.col("file").alias("next_file"), F.col("key").alias("next_key"))
+    wrong = (F.col("file") == F.col("next_file")) & (F.col("next_key") < F.col("key"))
+    files = rows.join(after, "place", "left").groupBy("value", "file").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("lead").alias("first"), F.max("lead").alias("last"), F.count_if(wrong).alias("unsorted")
+    )
+    earlier = Window.partitionBy("value").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
+    return files.withColumn("overlaps", F.coalesce(F.max("last").over(earlier) > F.col("first"), F.lit(False)))
+
+
 def layout_for(family: str, columns: list[str]) -> Layout:
     """The family's layout, or a sort by the usual id and date columns."""
 

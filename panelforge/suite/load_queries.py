@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.operators import normalize as N
 from panelforge.plans import load_plan as P
-from panelforge.plans.contracts import LAYOUTS, SOURCE_COLUMNS
+from panelforge.plans.contracts import LAYOUTS, SOURCE_COLUMNS, Layout
 from panelforge.session import land, work_dir
 from panelforge.sinks import exports as E
 from panelforge.sinks import loads as L
-from panelforge.sinks.layouts import layout_for, write_layout
+from panelforge.sinks.layouts import FILE_ROWS, file_report, layout_for, write_layout
 from panelforge.sources.audit_log import latest_status
 from panelforge.sources.tables import delete_path, discover_tables, entry_names, read_csv, rename_path, scan
 from panelforge.suite.common import Suite, Tables, iso, number, spread
@@ -113,15 +113,10 @@ def link_layout_written(t: Tables) -> DataFrame:
     path = work_dir(t.spark, "links")
     write_layout(links(t), path, LAYOUTS["opcrsphist"])
     stored = t.spark.read.schema("secid bigint, sdate date, edate date, permno bigint, score double").parquet(path)
-    # A file holds a narrow key range, so one window per file stays small.
-    placed = stored.select(
-        "*", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("place")
-    )
-    before = F.lag("secid").over(Window.partitionBy("file").orderBy("place"))
-    return placed.withColumn("before", before).agg(
-        F.count(F.lit(1)).alias("rows"), F.count("permno").alias("permnos"), F.sum("secid").alias("secids"),
-        F.count_if(F.col("before") > F.col("secid")).alias("unsorted"),
-    )
+    unsorted = file_report(stored, LAYOUTS["opcrsphist"]).agg(F.sum("unsorted").alias("unsorted"))
+    return stored.agg(
+        F.count(F.lit(1)).alias("rows"), F.count("permno").alias("permnos"), F.sum("secid").alias("secids")
+    ).select("*", unsorted.scalar().alias("unsorted"))
 
 
 @suite.register(f"""
@@ -370,38 +365,88 @@ def csv_round_trip(t: Tables) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@suite.register("""
-SELECT 'roles' AS table_name, count(*) AS "rows", CAST(0 AS BIGINT) AS unsorted FROM orders
-UNION ALL SELECT 'opprcd', count(*), 0 FROM orders UNION ALL SELECT 'distrd', count(*), 0 FROM orders""")
-def sort_keys_kept_in_files(t: Tables) -> DataFrame:
-    """Neighbours within a file that are out of order by the full sort key: none in any layout.
-
-    ``roles`` has no layout of its own; its id and date columns are found by their names.
-    """
+def layout_tables(t: Tables) -> dict[str, DataFrame]:
+    """Rows for every layout; ``roles`` has none of its own, its id and date columns are found by their names."""
 
-    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    key, day, ship = F.col("o_orderkey"), F.col("o_orderdate").cast("date"), F.col("l_shipdate").cast("date")
     tables = {
         "roles": t("orders").select(key.alias("note"), day.alias("startdate"), F.col("o_custkey").alias("companyid")),
         "opprcd": t("orders").select(
             F.col("o_custkey").alias("secid"), day.alias("date"), F.date_add(day, 30).alias("exdate"),
             F.left("o_orderpriority", F.lit(1)).alias("cp_flag"), F.col("o_totalprice").alias("strike_price"), key.alias("optionid"),
         ),
-        "distrd": t("orders").select(F.col("o_custkey").alias("secid"), day.alias("record_date"), key.alias("seq_num")),
+        "secprd": t("lineitem").select(
+            F.col("l_partkey").alias("secid"), ship.alias("date"), F.col("l_extendedprice").alias("close"), F.year(ship).alias("source_year"),
+        ),
+        "bars": t("lineitem").select(
+            F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"), ship.cast("timestamp_ntz").alias("ts"),
+            F.col("l_quantity").alias("volume"),
+        ),
     }
+    for name in ("securd", "secnmd", "exchgd", "distrd", "opinfd", "opcrsphist"):
+        raw = reference_source(t, name)
+        tables[name] = raw.select(
+            *[F.col(c).cast("date") if c.endswith("date") else F.col(c).cast("bigint") if c == "secid" else F.col(c) for c in raw.columns]
+        )
+    return tables
+
+
+def stored_layout(t: Tables, name: str, df: DataFrame, file_rows: int) -> tuple[DataFrame, Layout]:
+    path, layout = work_dir(t.spark, name), layout_for(name, df.columns)
+    write_layout(df, path, layout, file_rows=file_rows)
+    schema = df.schema.add("month", "string") if layout.partition == "month" else df.schema
+    return t.spark.read.schema(schema).parquet(path), layout
+
+
+@suite.register(f"""WITH {LINKS_SQL}
+SELECT 'roles' AS table_name, count(*) AS "rows", CAST(0 AS BIGINT) AS unsorted FROM orders
+UNION ALL SELECT 'opprcd', count(*), 0 FROM orders UNION ALL SELECT 'secprd', count(*), 0 FROM lineitem
+UNION ALL SELECT 'bars', count(*), 0 FROM lineitem UNION ALL SELECT 'securd', count(*), 0 FROM supplier
+UNION ALL SELECT 'secnmd', count(*), 0 FROM part UNION ALL SELECT 'exchgd', count(*), 0 FROM nation
+UNION ALL SELECT 'distrd', count(*), 0 FROM orders UNION ALL SELECT 'opinfd', count(*), 0 FROM customer
+UNION ALL SELECT 'opcrsphist', count(*), 0 FROM links""")
+def sort_keys_kept_in_files(t: Tables) -> DataFrame:
+    """Neighbours within a file that are out of order by the full sort key: none in any layout."""
+
     found = None
-    for name, df in tables.items():
-        path, layout = work_dir(t.spark, name), layout_for(name, df.columns)
-        write_layout(df, path, layout)
-        stored = t.spark.read.schema(df.schema).parquet(path)
-        order = F.struct(*layout.sort_keys)
-        place = F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place")
-        # Neighbours meet by their number, so no file has to be one group.
-        rows = land(stored.select(order.alias("key"), *place), f"placed-{name}")
-        after = rows.select((F.col("place") - 1).alias("place"), F.col("file").alias("next_file"), F.col("key").alias("next_key"))
-        counted = rows.join(after, "place", "left").agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"),
-            F.count_if((F.col("file") == F.col("next_file")) & (F.col("next_key") < F.col("key"))).alias("unsorted"),
-        ).select("table_name", "rows", "unsorted")
+    for name, df in layout_tables(t).items():
+        report = file_report(*stored_layout(t, name, df, FILE_ROWS))
+        counted = report.agg(F.lit(name).alias("table_name"), F.sum("rows").alias("rows"), F.sum("unsorted").alias("unsorted"))
+        counted = counted.select("table_name", "rows", "unsorted")
+        found = counted if found is None else found.unionByName(counted)
+    return found
+
+
+@suite.register("""
+SELECT 'opprcd' AS table_name, coalesce(strftime(CAST(o_orderdate AS DATE), '%Y%m'), '197001') AS value, count(*) AS "rows",
+  min(o_custkey) AS first, max(o_custkey) AS last, true AS files_as_planned, CAST(0 AS BIGINT) AS overlapping, CAST(0 AS BIGINT) AS unsorted
+FROM orders GROUP BY 2
+UNION ALL
+SELECT 'secprd', CAST(year(l_shipdate) AS VARCHAR), count(*), min(l_partkey), max(l_partkey), true, 0, 0 FROM lineitem GROUP BY 2
+UNION ALL
+SELECT 'bars', coalesce(strftime(l_shipdate, '%Y%m'), '197001'), count(*), min(l_suppkey), max(l_suppkey), true, 0, 0
+FROM lineitem GROUP BY 2""")
+def key_ranges_disjoint(t: Tables) -> DataFrame:
+    """Files of a month or year, cut small: how many there are, their key ranges, overlaps, neighbours out of order."""
+
+    found = None
+    for name in ("opprcd", "secprd", "bars"):
+        df = layout_tables(t)[name]
+        rows = max(4, -(-df.count() // 150))  # about 150 files beside the last one of each month
+        stored, layout = stored_layout(t, name, df, rows)
+        number = F.substring("lead", 2, 20).cast("bigint") if name == "bars" else F.col("lead")
+        keys = stored.select(F.col(layout.partition).cast("string").alias("value"), F.col(layout.sort_keys[0]).alias("lead"))
+        span = keys.groupBy("value").agg(F.min(number).alias("first"), F.max(number).alias("last"))
+        files = file_report(stored, layout).groupBy(F.col("value").cast("string").alias("value")).agg(
+            F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"), F.count_if("overlaps").alias("overlapping"),
+            F.sum("unsorted").alias("unsorted"),
+        )
+        planned = F.ceil(F.col("rows") / rows)  # quantiles are approximate, equal keys stay together
+        as_planned = (F.col("files") >= F.floor(planned / 2)) & (F.col("files") <= 2 * planned)
+        counted = files.join(span, "value").select(
+            F.lit(name).alias("table_name"), "value", "rows", "first", "last",
+            as_planned.alias("files_as_planned"), "overlapping", "unsorted",
+        )
         found = counted if found is None else found.unionByName(counted)
     return found
 
