@@ -12,6 +12,8 @@ from panelforge.session import land
 EPOCH = "1970-01-01"
 # About one reader task's worth of rows per file keeps files splittable and bounded.
 FILE_ROWS = 20_000_000
+# Bytes that a row takes at the least in Spark's statistics of a plan.
+SMALL_ROW = 16
 # Steps of a partition value's quantiles, and so the most ranges it is cut into.
 QUANTILES = 1000
 
@@ -56,33 +58,47 @@ def _cut(quantiles: list, rows: int, file_rows: int) -> tuple[list, list]:
 
 
 def ranged(df: DataFrame, layout: Layout, file_rows: int = FILE_ROWS) -> DataFrame:
-    """Rows arranged for the write: one task per partition value and range of the leading key, sorted by the whole key.
+    """Rows arranged for the write: whole (partition value, range of the leading key) per task, sorted by the whole key.
 
     A first pass over the two columns (partition value, leading key) counts the rows of each
     value and sketches its quantiles; partial sketches merge, so one row per value, of which
     the calendar has few, reaches the driver. Values of more than ``file_rows`` rows are cut
-    into ranges at the quantiles, and one shuffle brings each (value, range) to a task of its
-    own. Files of a month therefore have disjoint key ranges, and a reader that looks for an id
-    opens one. A key so frequent that it fills several files gets files of its own, its
-    rows dealt by the rest of the sort key; other keys never share them.
+    into ranges at the quantiles, small ones share a task, and one shuffle by task number
+    brings them there. Files of a month therefore have disjoint key ranges, and a reader that
+    looks for an id opens one. A key so frequent that it fills several files gets files of its
+    own, its rows dealt by the rest of the sort key; other keys never share them.
+
+    Rows that Spark's statistics put below ``file_rows * SMALL_ROW`` bytes are dealt by value
+    alone, without the first pass: a value stays in one task, so its files are disjoint too.
     """
 
     value = F.col(layout.partition)
     present = [c for c in layout.sort_keys if c in df.columns]
+    keys = [value, *[sort_value(df, c) for c in present]]
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= file_rows * SMALL_ROW:
+        return df.repartition(layout.partition).sortWithinPartitions(*keys)
+
     lead = order_number(df, present[0]) if present else F.lit(0)
     shares = [i / QUANTILES for i in range(1, QUANTILES)]
     counted = df.select(value.alias("value"), lead.alias("lead")).groupBy("value").agg(
         F.count(F.lit(1)).alias("rows"), F.percentile_approx("lead", shares, 10 * QUANTILES).alias("quantiles")
     )
-    ranges, slots = [], 0
-    for row in counted.collect():
+    found = counted.collect()
+    # Tasks of a file's rows, or of fewer where that would leave cores idle.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    task_rows = min(file_rows, -(-sum(r["rows"] for r in found) // (2 * cores)))
+    ranges, task, room = [], 0, task_rows
+    for row in sorted(found, key=lambda r: (r["value"] is not None, r["value"])):
         bounds, frequent = _cut(row["quantiles"], row["rows"], file_rows)
-        first, slots = slots, slots + len(bounds) + 1
+        if bounds or row["rows"] > room:
+            task, room = task + (room < task_rows), task_rows
+        first, last = task, task + len(bounds)
         own = []
         for _, files in frequent:
-            own.append(slots)
-            slots += files
+            own.append(last + 1)
+            last += files
         ranges.append((row["value"], first, bounds, [v for v, _ in frequent], own, [n for _, n in frequent]))
+        task, room = (last + 1, task_rows) if bounds else (task, room - row["rows"])
     kind, number = df.schema[layout.partition].dataType.simpleString(), counted.schema["quantiles"].dataType.elementType.simpleString()
     table = df.sparkSession.createDataFrame(
         ranges, f"_value {kind}, _first int, _bounds array<{number}>, _frequent array<{number}>, _own array<int>, _files array<int>"
@@ -94,10 +110,9 @@ def ranged(df: DataFrame, layout: Layout, file_rows: int = FILE_ROWS) -> DataFra
     )
     placed = (
         df.withColumn("_lead", lead).join(table, value.eqNullSafe(F.col("_value")), "left")
-        .withColumn("_slot", F.coalesce(slot, F.lit(0)))
-        .repartitionById(max(slots, 1), "_slot")
+        .withColumn("_task", F.coalesce(slot, F.lit(0)))
+        .repartitionById(task + 1, "_task")
     )
-    keys = [value, *[sort_value(df, c) for c in present]]
     return placed.sortWithinPartitions(*keys).select(*df.columns)
 
 
