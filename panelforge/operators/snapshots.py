@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.functions.digests import row_digest
+from panelforge.functions.digests import row_digest, rows_fingerprint
 from panelforge.session import land
 
 # Fixed value: sampled rows per table in an audit.
@@ -140,7 +140,11 @@ def schema_fingerprint(df: DataFrame) -> str:
 def manifest(
     df: DataFrame, table_name: str, keys: Sequence[str], written_at: str, size: int = SAMPLE_SIZE
 ) -> DataFrame:
-    """Count, time, schema fingerprint and ``size`` sampled row hashes of one table."""
+    """Count, time, fingerprints of schema and rows, and ``size`` sampled row hashes of one table.
+
+    ``rows_fingerprint`` is that of :func:`panelforge.functions.digests.rows_fingerprint`, which a
+    load records too, so a manifest tells whether a target still holds what was written.
+    """
 
     sampled = sample_positions(df.withColumn("_table", F.lit(table_name)), "_table", keys, size)
     hashes = sampled.select("position", F.lower(F.hex(row_digest(df.columns))).alias("h"))
@@ -152,5 +156,6 @@ def manifest(
         df.agg(F.count(F.lit(1))).scalar().alias("row_count"),
         F.lit(written_at).cast("timestamp_ntz").alias("written_at"),
         F.lit(schema_fingerprint(df)).alias("schema_fingerprint"),
+        df.agg(rows_fingerprint(df.columns)).scalar().alias("rows_fingerprint"),
         "sample_row_hashes",
     )

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.operators.conform import conform
-from panelforge.sources.tables import delete_path, entry_names, path_exists, rename_path
+from panelforge.sources.tables import delete_path, entry_names, file_table_name, path_exists, rename_path
+
+# Bytes that a Parquet file without rows, which is all footer, takes at the most.
+EMPTY_FILE = 1 << 20
 
 
 def output_path(folder: str, library: str, table: str) -> str:
@@ -47,16 +50,55 @@ def promote(spark: SparkSession, written: str, path: str) -> None:
         delete_path(spark, old)
 
 
+def _unreadable_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``file`` of every file below ``paths`` without a readable footer, whatever their number, in one pass each over footers.
+
+    A file whose footer is read counts its rows; broken ones are skipped there and give none.
+    A file without rows is all footer, so of the silent ones only the small can be sound, and
+    their bytes are looked at.
+    """
+
+    def files() -> DataFrame:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+
+    counted = (
+        spark.read.option("recursiveFileLookup", "true").schema("_unused int").option("ignoreCorruptFiles", "true").parquet(*paths)
+        .groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    )
+    silent = files().select(F.col("_metadata.file_path").alias("file")).join(counted, "file", "left_anti")
+    # Format constants: the mark at both ends, and before the last one the footer's length, low byte first.
+    mark, low_first = F.lit(b"PAR1"), F.expr("hex(substring(content, length(content) - 7, 4))")
+    footer = F.conv(F.concat(*[F.substring(low_first, i, 2) for i in (7, 5, 3, 1)]), 16, 10).cast("bigint")
+    whole = (
+        (F.expr("substring(content, 1, 4)") == mark) & (F.expr("substring(content, length(content) - 3, 4)") == mark)
+        & (footer + 12 == F.col("length"))
+    )
+    sound = (
+        files().where(F.col("length").between(12, EMPTY_FILE))
+        .select(F.col("_metadata.file_path").alias("file"), whole.alias("whole")).where("whole").select("file")
+    )
+    return silent.join(sound, "file", "left_anti")
+
+
 def completed_outputs(spark: SparkSession, folder: str) -> DataFrame:
-    """(library, table_name) of the finished outputs of an export folder."""
+    """(library, table_name) of the finished outputs of an export folder.
+
+    The folder is listed; the footers of all marked outputs are then checked together, so the
+    number of Spark jobs does not grow with the number of outputs.
+    """
 
-    done = []
+    marked = []
     if path_exists(spark, folder):
         for name in entry_names(spark, folder):
             library, mark, table = name.removesuffix(".parquet").partition("__")
-            if mark and name.endswith(".parquet") and is_complete(spark, f"{folder.rstrip('/')}/{name}"):
-                done.append((library, table))
-    return spark.createDataFrame(done, "library string, table_name string")
+            if mark and name.endswith(".parquet") and path_exists(spark, f"{folder.rstrip('/')}/{name}/_SUCCESS"):
+                marked.append((library, table, name.removesuffix(".parquet")))
+    known = spark.createDataFrame(marked, "library string, table_name string, output string")
+    if not marked:
+        return known.drop("output")
+    broken = _unreadable_files(spark, [f"{folder.rstrip('/')}/{name}.parquet" for *_, name in marked])
+    outputs = broken.select(file_table_name(F.col("file"), folder).alias("output"))
+    return known.join(outputs, "output", "left_anti").drop("output")
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

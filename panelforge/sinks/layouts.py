@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelforge.functions.digests import rows_fingerprint
 from panelforge.plans.contracts import LAYOUTS, Layout, default_sort_columns
 from panelforge.session import land
 
@@ -139,9 +140,23 @@ def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "errorife
     way into the files, behind the shuffle, where each passes once.
     """
 
+    return int(_written(df, path, layout, mode, file_rows, {})["rows"])
+
+
+def write_fingerprinted(
+    df: DataFrame, path: str, layout: Layout, mode: str = "errorifexists", file_rows: int = FILE_ROWS
+) -> tuple[int, str]:
+    """As :func:`write_layout`; also returns the fingerprint of the rows, taken in the same pass."""
+
+    seen = _written(df, path, layout, mode, file_rows, {"fingerprint": rows_fingerprint(df.columns)})
+    return int(seen["rows"]), seen["fingerprint"]
+
+
+def _written(df: DataFrame, path: str, layout: Layout, mode: str, file_rows: int, also: dict[str, Column]) -> dict:
     seen = Observation()
+    watched = [F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in also.items()]]
     writer = (
-        laid_out(df, layout, file_rows).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+        laid_out(df, layout, file_rows).observe(seen, *watched).write.mode(mode)
         .option("compression", "zstd").option("maxRecordsPerFile", 2 * file_rows)
         # A replaced table must lose its old partitions too.
         .option("partitionOverwriteMode", "static")
@@ -149,7 +164,7 @@ def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "errorife
     if layout.partition:
         writer = writer.partitionBy(layout.partition)
     writer.parquet(path)
-    return int(seen.get["rows"])
+    return seen.get
 
 
 def file_report(stored: DataFrame, layout: Layout) -> DataFrame:

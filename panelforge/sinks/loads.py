@@ -8,10 +8,11 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelforge.functions.digests import rows_fingerprint
 from panelforge.operators.normalize import normalize_family, strict_rows
 from panelforge.plans.contracts import LAYOUTS, target_ddl
 from panelforge.plans.load_plan import PlannedTable, clearable_sources, pending_sources, plan_frame
-from panelforge.sinks.layouts import layout_for, write_layout
+from panelforge.sinks.layouts import layout_for, write_fingerprinted, write_layout
 from panelforge.sources.audit_log import (
     AUDIT_SCHEMA, CLEARED, COMPLETE, FAILED, INTERRUPTED, STARTED, read_audit,
 )
@@ -200,6 +201,28 @@ class Loader:
                 fs.delete(status.getPath(), True)
 
 
+# The fields of a record of what a target holds.
+FINGERPRINT_SCHEMA = "table_name string, row_count bigint, fingerprint string, schema string, written_at string"
+
+
+def _record(spark: SparkSession, root: str, name: str, df: DataFrame, rows: int, fingerprint: str) -> None:
+    row = (name, rows, fingerprint, df.schema.simpleString(), _now().isoformat())
+    spark.createDataFrame([row], FINGERPRINT_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/_fingerprints")
+
+
+def recorded_fingerprints(spark: SparkSession, root: str) -> DataFrame:
+    """The latest record of each target below ``root``: rows, fingerprint and schema as they were written."""
+
+    path = f"{root.rstrip('/')}/_fingerprints"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], FINGERPRINT_SCHEMA)
+    return (
+        spark.read.schema(FINGERPRINT_SCHEMA).json(path).groupBy("table_name")
+        .agg(F.max_by(F.struct("row_count", "fingerprint", "schema", "written_at"), "written_at").alias("r"))
+        .select("table_name", "r.*")
+    )
+
+
 def load_file_tables(
     spark: SparkSession,
     plan: Iterable[tuple[str, DataFrame]],
@@ -209,27 +232,42 @@ def load_file_tables(
 ) -> DataFrame:
     """Load (table name, rows) pairs as whole tables and compare the counts.
 
-    ``resume`` skips a target whose count already matches; ``replace`` rebuilds
-    it (and turns ``resume`` off); otherwise a target with rows is refused.
+    Every write leaves a record of the rows' fingerprint, taken in the pass that writes.
+    ``resume`` skips a target that holds as many rows as its source and was written from the
+    same ones, by fingerprint and schema; one of equal count but other content is
+    ``reloaded``. A target without a record is fingerprinted itself. ``replace`` rebuilds
+    targets (and turns ``resume`` off); otherwise a target with rows is refused.
     Result: table_name, source_rows, target_rows, status.
     """
 
+    root = root.rstrip("/")
+    known = {r["table_name"]: r for r in recorded_fingerprints(spark, root).collect()} if resume and not replace else {}
     results = []
     for name, df in plan:
-        path = f"{root.rstrip('/')}/{name}"
+        path, done = f"{root}/{name}", "loaded"
         if path_exists(spark, path) and not replace:
-            current = spark.read.schema(df.schema).parquet(path).count()
-            if resume and current == df.count():
-                results.append((name, current, current, "skipped"))
-                continue
-            if current != 0:
+            target = spark.read.schema(df.schema).parquet(path)
+            current = target.count()
+            if resume:
+                both = F.count(F.lit(1)).alias("rows"), rows_fingerprint(df.columns).alias("fingerprint")
+                source = df.agg(*both).first()
+                if current == source["rows"]:
+                    record = known.get(name)
+                    if record is not None and record["row_count"] == current:
+                        same = (record["fingerprint"], record["schema"]) == (source["fingerprint"], df.schema.simpleString())
+                    else:
+                        same = target.agg(*both).first()["fingerprint"] == source["fingerprint"]
+                    if same:
+                        results.append((name, current, current, "skipped"))
+                        continue
+                    done = "reloaded"
+            if current != 0 and done == "loaded":
                 raise ValueError(f"{name} holds {current} rows and stays as it is; ask for replace to rebuild it")
         # The source runs once: its rows are counted on their way into the files.
-        source_rows = write_layout(df, path, layout_for(name, df.columns), mode="overwrite")
+        source_rows, fingerprint = write_fingerprinted(df, path, layout_for(name, df.columns), mode="overwrite")
+        _record(spark, root, name, df, source_rows, fingerprint)
         target_rows = spark.read.schema(df.schema).parquet(path).count()
-        results.append(
-            (name, source_rows, target_rows, "loaded" if target_rows == source_rows else "row-count-mismatch")
-        )
+        results.append((name, source_rows, target_rows, done if target_rows == source_rows else "row-count-mismatch"))
     return spark.createDataFrame(
         results, "table_name string, source_rows bigint, target_rows bigint, status string"
     )

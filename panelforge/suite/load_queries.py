@@ -297,6 +297,30 @@ def replace_and_resume(t: Tables) -> DataFrame:
     return L.load_file_tables(t.spark, [("orders", t("orders")), ("customer", t("customer"))], root, resume=True)
 
 
+@suite.register("""
+SELECT 'orders' AS table_name, count(*) AS source_rows, count(*) AS target_rows, 'reloaded' AS status,
+  CAST(sum(o_custkey + CASE WHEN o_orderkey % 1000 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS content FROM orders
+UNION ALL SELECT 'customer', count(*), count(*), 'skipped', CAST(sum(c_custkey) AS BIGINT) FROM customer
+UNION ALL SELECT 'part', count(*), count(*), 'skipped', CAST(sum(p_partkey) AS BIGINT) FROM part""")
+def changed_source_reloaded(t: Tables) -> DataFrame:
+    """Sources of unchanged size under resume: one changed in a few values, one in other order, one as it was."""
+
+    root = work_dir(t.spark, "tables")
+    orders = t("orders")
+    bumped = F.col("o_custkey") + (F.col("o_orderkey") % 1000 == 0).cast("bigint")
+    changed = orders.withColumn("o_custkey", bumped.cast(orders.schema["o_custkey"].dataType))
+    L.load_file_tables(t.spark, [("orders", orders), ("customer", t("customer")), ("part", t("part"))], root)
+    shuffled = t("customer").repartition(3, "c_nationkey")
+    plan = [("orders", changed), ("customer", shuffled), ("part", t("part"))]
+    results = L.load_file_tables(t.spark, plan, root, resume=True)
+    sums = None
+    for (name, df), column in zip(plan, ("o_custkey", "c_custkey", "p_partkey")):
+        one = t.spark.read.schema(df.schema).parquet(f"{root}/{name}").agg(F.sum(column).cast("bigint").alias("content"))
+        one = one.select(F.lit(name).alias("table_name"), "content")
+        sums = one if sums is None else sums.unionByName(one)
+    return results.join(sums, "table_name")
+
+
 @suite.register("""
 SELECT 'orders' AS table_name, count(*) AS source_rows, count(*) AS target_rows, 'loaded' AS status FROM orders
 UNION ALL SELECT 'nation', count(*), count(*), 'loaded' FROM nation WHERE n_nationkey % 2 = 0""")
@@ -309,11 +333,14 @@ def replaced_tables(t: Tables) -> DataFrame:
     return L.load_file_tables(t.spark, [("orders", t("orders")), ("nation", half)], root, replace=True, resume=True)
 
 
+LISTED = ("lineitem", "supplier", "nation", "region")
+
+
 @suite.register(
-    " UNION ALL ".join(f"SELECT 'tpch' AS library, '{n}' AS table_name" for n in ("lineitem", "supplier", "nation", "region"))
+    " UNION ALL ".join(f"SELECT 'tpch' AS library, '{n}' AS table_name, count(*) AS row_count FROM {n} HAVING count(*) > 0" for n in LISTED)
 )
 def export_worklist(t: Tables) -> DataFrame:
-    """Selected tables less the finished outputs; an output with a broken part file is not finished."""
+    """Selected tables that hold rows, less the finished outputs; an output with a broken part file is not finished."""
 
     folder = work_dir(t.spark, "export")
     for name in (*EXPORTED, "nation"):
@@ -327,8 +354,11 @@ def export_worklist(t: Tables) -> DataFrame:
     t("nation").select("n_name").coalesce(1).write.text(staged)
     text = next(n for n in entry_names(t.spark, staged) if n.startswith("part-"))
     rename_path(t.spark, f"{staged}/{text}", f"{broken}/part-00000.parquet")
-    names = ("lineitem", "supplier", "nation", "region", *EXPORTED)
-    selected = t.spark.createDataFrame([("tpch", n) for n in names], "library string, table_name string")
+    selected = None
+    for name in (*LISTED, *EXPORTED):
+        one = t(name).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 0")
+        one = one.select(F.lit("tpch").alias("library"), F.lit(name).alias("table_name"), "row_count")
+        selected = one if selected is None else selected.unionByName(one)
     return E.export_worklist(selected, E.completed_outputs(t.spark, folder))
 
 

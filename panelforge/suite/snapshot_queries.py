@@ -102,12 +102,17 @@ FIELD_SQL = " || '|' || ".join(
     f"length(CAST({c} AS VARCHAR)) || ':' || {c}" for c in ("doc_id", "lang", "source", "n_chars", "text")
 )
 
+FINGERPRINT_SQL = " || ':' || ".join(
+    f"CAST(coalesce(sum(CAST('0x' || substr(h, {1 + 8 * i}, 8) AS BIGINT)), 0) AS VARCHAR)" for i in range(4)
+)
+
 
 @suite.register(f"""
 WITH s AS (
   SELECT *, row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) AS position FROM documents)
 SELECT 'documents' AS table_name, (SELECT count(*) FROM documents) AS row_count,
   sha256('doc_id:bigint,lang:string,source:string,n_chars:bigint,text:string') AS schema_fingerprint,
+  (SELECT {FINGERPRINT_SQL} FROM (SELECT md5({FIELD_SQL}) AS h FROM documents)) AS rows_fingerprint,
   string_agg(sha256({FIELD_SQL}), ',' ORDER BY position) AS sample_row_hashes
 FROM s WHERE position <= 25""")
 def manifest(t: Tables) -> DataFrame:

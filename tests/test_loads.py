@@ -217,3 +217,53 @@ def test_export_rewrites_broken_output_and_keeps_the_old_one_on_failure(spark, t
     assert not E.is_complete(spark, path)
     assert E.export_table(spark.range(10), folder, "l", "t", resume=True) == 10
     assert sorted(p.name for p in tmp_path.iterdir()) == ["l__t.parquet"]
+
+
+def test_resume_notices_other_content(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    rows = [(1, "a", None), (2, None, 1.5), (2, None, 1.5)]
+    schema = "k long, s string, x double"
+    table = spark.createDataFrame(rows, schema)
+    L.load_file_tables(spark, [("t", table)], root)
+    again = lambda r: L.load_file_tables(spark, [("t", spark.createDataFrame(r, schema))], root, resume=True).first().status
+    assert again(rows[::-1]) == "skipped"  # order does not matter
+    assert again([(1, None, 1.5), (2, None, 1.5), (2, "a", None)]) == "reloaded"
+    assert sorted(r.k for r in spark.read.parquet(f"{root}/t").collect()) == [1, 2, 2]
+    assert again([(1, None, 1.5), (1, None, 1.5), (2, "a", None)]) == "reloaded"  # copies count
+    assert again([(1, None, 1.5), (1, None, 1.5), (2, "a", None)]) == "skipped"
+
+
+def test_a_target_without_a_record_is_read(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    spark.range(5).write.parquet(f"{root}/t")
+    assert L.load_file_tables(spark, [("t", spark.range(5))], root, resume=True).first().status == "skipped"
+    assert L.load_file_tables(spark, [("t", spark.range(1, 6))], root, resume=True).first().status == "reloaded"
+
+
+def test_outputs_are_checked_together(spark, tmp_path):
+    def jobs(folder):
+        group = f"jobs-{folder}"
+        spark.sparkContext.setJobGroup(group, group)
+        found = {r.table_name for r in E.completed_outputs(spark, folder).collect()}
+        count = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found, count
+
+    few, many = str(tmp_path / "few"), str(tmp_path / "many")
+    for folder, n in ((few, 3), (many, 12)):
+        for i in range(n):
+            E.export_table(spark.range(20 if i else 0).repartition(2), folder, "lib", f"t{i}")
+    sound, count = jobs(few)
+    assert sound == {"t0", "t1", "t2"}  # t0 has no rows
+    # Cut one file short, put text in place of another, take a marker away.
+    parts = lambda t: sorted((tmp_path / "many" / f"lib__{t}.parquet").glob("part-*"))
+    for file in (tmp_path / "many").rglob(".*.crc"):
+        file.unlink()
+    parts("t3")[0].write_bytes(parts("t3")[0].read_bytes()[:-9])
+    parts("t4")[0].write_text("n" * 5000)
+    parts("t0")[0].write_bytes(b"PAR1" + b"x" * 40 + b"PAR1")
+    (tmp_path / "many" / "lib__t5.parquet" / "_SUCCESS").unlink()
+    found, more = jobs(many)
+    assert found == {f"t{i}" for i in range(12)} - {"t0", "t3", "t4", "t5"}
+    assert more <= count + 1
+    assert E.completed_outputs(spark, str(tmp_path / "none")).collect() == []
