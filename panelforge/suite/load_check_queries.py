@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.operators import conform as C
+from panelforge.operators.checklist import post_load_checklist as post_load
 from panelforge.operators import normalize as N
 from panelforge.operators import quality as Q
 from panelforge.functions.numbers import quantize_half_even
@@ -437,3 +438,54 @@ SELECT column_name, declared_type, count(*) AS bad_values,
 FROM bad b GROUP BY 1, 2""")
 def conform_problems(t: Tables) -> DataFrame:
     return C.conform_problems(text_orders(t, broken=True), T.StructType.fromDDL(CONFORM_SCHEMA))
+
+
+CHECKLIST_SQL = """
+totals AS (
+  SELECT count(*) FILTER (WHERE secid IS NULL) AS null_secid, count(*) FILTER (WHERE date IS NULL) AS null_date,
+    count(*) FILTER (WHERE optionid IS NULL) AS null_optionid, count(*) FILTER (WHERE exdate IS NULL) AS null_exdate,
+    count(*) FILTER (WHERE cp_flag IS NULL) AS null_cp_flag, count(*) FILTER (WHERE strike_price IS NULL) AS null_strike_price,
+    (SELECT count(*) FROM (SELECT 1 FROM panel GROUP BY source_year, secid, date, optionid, exdate, cp_flag, strike_price HAVING count(*) > 1))
+      AS duplicate_contract_date_keys
+  FROM panel
+), whole AS (
+  SELECT name AS check_name, CAST(NULL AS BIGINT) AS year, CAST(n AS VARCHAR) AS value, CASE WHEN n = 0 THEN 'ok' ELSE 'review' END AS status
+  FROM totals UNPIVOT (n FOR name IN (null_secid, null_date, null_optionid, null_exdate, null_cp_flag, null_strike_price,
+    duplicate_contract_date_keys))
+), usable AS (
+  SELECT * FROM links WHERE permno IS NOT NULL AND sdate IS NOT NULL AND edate IS NOT NULL AND sdate <= edate
+), marked AS (
+  SELECT p.*, EXISTS (SELECT 1 FROM usable l WHERE l.secid = p.secid AND p.date BETWEEN l.sdate AND l.edate) AS linked FROM panel p
+), yearly AS (
+  SELECT source_year AS y, count(*) AS n, min(date) AS lo, max(date) AS hi, count(*) FILTER (WHERE linked) AS linked FROM marked GROUP BY 1
+), wanted AS (
+  SELECT year(l_shipdate) AS y, count(*) + CASE WHEN year(l_shipdate) = 1997 THEN 1 ELSE 0 END AS n FROM lineitem GROUP BY 1
+), by_year AS (
+  SELECT 'row_count' AS check_name, CAST(y AS BIGINT) AS year, CAST(yearly.n AS VARCHAR) AS value,
+    CASE WHEN yearly.n = wanted.n THEN 'ok' ELSE 'review' END AS status FROM yearly JOIN wanted USING (y)
+  UNION ALL SELECT 'min_date', y, CAST(lo AS VARCHAR), CASE WHEN year(lo) = y AND year(hi) = y THEN 'ok' ELSE 'review' END FROM yearly
+  UNION ALL SELECT 'max_date', y, CAST(hi AS VARCHAR), CASE WHEN year(lo) = y AND year(hi) = y THEN 'ok' ELSE 'review' END FROM yearly
+  UNION ALL SELECT 'link_match_rate', y, CAST(round(linked / n, 6) AS VARCHAR), CASE WHEN round(linked / n, 6) >= 0.01 THEN 'ok' ELSE 'review' END
+  FROM yearly
+), days AS (
+  SELECT DISTINCT secid, date FROM panel WHERE secid IS NOT NULL AND date IS NOT NULL
+), calendar AS (
+  SELECT date, lag(date) OVER (ORDER BY date) AS previous_date FROM (SELECT DISTINCT date FROM days)
+), lagged AS (
+  SELECT CASE WHEN d.date > DATE '2000-11-28' THEN 'lagged_by_source' ELSE 'same_day' END AS regime, count(*) AS n, count(e.date) AS known
+  FROM days d JOIN calendar c ON d.date = c.date LEFT JOIN days e ON e.secid = d.secid AND e.date = c.previous_date GROUP BY 1
+)"""
+
+
+@suite.register(f"""WITH {PANEL_SQL}, {LINKS_SQL}, {CHECKLIST_SQL}
+SELECT * FROM whole UNION ALL SELECT * FROM by_year
+UNION ALL SELECT 'lag_available_' || regime, NULL, CAST(round(known / n, 6) AS VARCHAR), CASE WHEN known > 0 THEN 'ok' ELSE 'review' END FROM lagged""")
+def post_load_checklist(t: Tables) -> DataFrame:
+    """The whole checklist over the option panel; one year's expected count is off by one."""
+
+    shipped = F.year("l_shipdate")
+    expected = t("lineitem").groupBy(shipped.alias("year")).agg(
+        (F.count(F.lit(1)) + F.max((shipped == 1997).cast("int"))).alias("row_count")
+    )
+    checked = post_load(option_panel(t), links(t), expected, F.col("source_year"), least_match=0.01)
+    return checked.withColumn("year", F.col("year").cast("bigint"))
