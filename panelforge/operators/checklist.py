@@ -69,11 +69,11 @@ def post_load_checklist(
     whole = _lines(totals, F.lit(None), *[(c, F.col(c), F.col(c) == 0) for c in totals.columns])
 
     placed = daily.where(F.col("secid").isNotNull() & F.col("date").isNotNull())
-    linked = link_join(placed, links, how="left_semi").groupBy("year").agg(F.sum("rows").alias("linked"))
+    linked = link_join(placed, links, how="left_semi").groupBy(F.col("year").alias("_linked_year")).agg(F.sum("rows").alias("linked"))
     yearly = daily.groupBy("year").agg(
         F.sum("rows").alias("rows"), F.min("date").alias("first"), F.max("date").alias("last")
     )
-    yearly = yearly.join(linked, yearly["year"].eqNullSafe(linked["year"]), "left").drop(linked["year"])
+    yearly = yearly.join(linked, F.col("year").eqNullSafe(F.col("_linked_year")), "left").drop("_linked_year")
     if expected is not None:
         wanted = expected.select(F.col("year").cast("int").alias("_wanted_year"), F.col("row_count").cast("bigint").alias("_wanted"))
         yearly = yearly.join(wanted, F.col("year").eqNullSafe(F.col("_wanted_year")), "full")
