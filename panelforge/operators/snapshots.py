@@ -16,10 +16,43 @@ from panelforge.session import land
 SAMPLE_SIZE = 25
 
 
-def snapshot_diff(local: DataFrame, live: DataFrame) -> DataFrame:
+#: Ranges by leading digest bits, where the caller names none.
+DIGEST_RANGES = 1024
+
+
+def _ranges(ranges: Sequence[Column]) -> list[Column]:
+    return list(ranges) or [F.pmod(F.conv(F.hex(F.substring("_digest", 1, 4)), 16, 10).cast("bigint"), F.lit(DIGEST_RANGES))]
+
+
+def differing_ranges(local: DataFrame, live: DataFrame, ranges: Sequence[Column] = ()) -> DataFrame:
+    """The ranges whose rows differ as multisets; stored, with columns ``range_0``, ``range_1`` ...
+
+    The upper level of a digest tree: every row's digest is cut into 32-bit numbers, and these
+    are summed per range, negated on one side. Sums merge before the shuffle, so equal
+    snapshots shuffle one row per range and task. ``ranges`` are expressions over the rows, best
+    the partition value and a range or class of the key, since changes then fall into few.
+    """
+
+    digest = row_digest(local.columns)
+    by = _ranges(ranges)
+    names = [f"range_{i}" for i in range(len(by))]
+
+    def tagged(rows: DataFrame, sign: int) -> DataFrame:
+        words = [F.conv(F.hex(F.substring("_digest", 1 + 4 * i, 4)), 16, 10).cast("bigint") * sign for i in range(4)]
+        return rows.withColumn("_digest", digest).select(
+            *[c.alias(n) for c, n in zip(by, names)], F.lit(sign).cast("bigint").alias("n"), *[w.alias(f"w{i}") for i, w in enumerate(words)]
+        )
+
+    sums = ["n", *[f"w{i}" for i in range(4)]]
+    nets = tagged(local, 1).unionByName(tagged(live, -1)).groupBy(*names).agg(*[F.sum(c).alias(c) for c in sums])
+    return land(nets.where(reduce(Column.__or__, [F.col(c) != 0 for c in sums])).select(*names), "differing-ranges")
+
+
+def snapshot_diff(local: DataFrame, live: DataFrame, ranges: Sequence[Column] = ()) -> DataFrame:
     """Rows present more often on one side, with that side and the surplus copies.
 
-    Only 32-byte digests are shuffled for the comparison. The digests that
+    A digest tree of two levels: :func:`differing_ranges` names the ranges that differ, and
+    only their rows are compared one by one, by 32-byte digests. The digests that
     differ are stored in the shared folder; their size is then known, so Spark
     broadcasts them when they are few and joins by shuffle when they are not.
     Full rows travel only for the answer. Copies are counted, not repeated.
@@ -27,9 +60,15 @@ def snapshot_diff(local: DataFrame, live: DataFrame) -> DataFrame:
 
     columns = local.columns
     digest = row_digest(columns)
-    tagged = local.select(digest.alias("digest"), F.lit(1).alias("weight")).unionByName(
-        live.select(digest.alias("digest"), F.lit(-1).alias("weight"))
-    )
+    changed = differing_ranges(local, live, ranges)
+    by = _ranges(ranges)
+
+    def in_changed(rows: DataFrame) -> DataFrame:
+        same = reduce(Column.__and__, [c.eqNullSafe(F.col(n)) for c, n in zip(by, changed.columns)])
+        return rows.withColumn("_digest", digest).join(changed, same, "left_semi").withColumnRenamed("_digest", "digest")
+
+    here, there = in_changed(local), in_changed(live)
+    tagged = here.select("digest", F.lit(1).alias("weight")).unionByName(there.select("digest", F.lit(-1).alias("weight")))
     nets = tagged.groupBy("digest").agg(F.sum("weight").alias("net"))
     surplus = land(nets.where(F.col("net") != 0), "snapshot-diff")
 
@@ -37,16 +76,14 @@ def snapshot_diff(local: DataFrame, live: DataFrame) -> DataFrame:
         wanted = surplus.where(test).select("digest", F.abs("net").alias("copies"))
         # One representative per digest; equal digests mean equal rows.
         found = (
-            rows.select(digest.alias("digest"), F.struct(*columns).alias("row"))
+            rows.select("digest", F.struct(*columns).alias("row"))
             .join(wanted, "digest")
             .groupBy("digest", "copies")
             .agg(F.any_value("row").alias("row"))
         )
         return found.select(F.lit(side).alias("side"), "copies", "row.*")
 
-    return picked(local, "local_only", F.col("net") > 0).unionByName(
-        picked(live, "live_only", F.col("net") < 0)
-    )
+    return picked(here, "local_only", F.col("net") > 0).unionByName(picked(there, "live_only", F.col("net") < 0))
 
 
 def sample_positions(df: DataFrame, table: str, keys: Sequence[str], size: int = SAMPLE_SIZE) -> DataFrame:

@@ -42,10 +42,21 @@ SELECT 'live_only', 1, doc_id + 1000000000, lang, source, n_chars, md5(text) FRO
 
 @suite.register(DIFF_SQL)
 def snapshot_diff(t: Tables) -> DataFrame:
-    found = S.snapshot_diff(local(t), live(t))
+    # The altered copy differs in three of the ten classes of ids.
+    found = S.snapshot_diff(local(t), live(t), [F.pmod("doc_id", F.lit(10))])
     return found.select("side", "copies", "doc_id", "lang", "source", "n_chars", F.md5("text").alias("text_md5"))
 
 
+@suite.register("""
+SELECT DISTINCT doc_id % 10 AS class, source FROM documents WHERE doc_id % 50 IN (7, 11, 17)
+UNION SELECT (doc_id + 1000000000) % 10, source FROM documents WHERE doc_id % 50 = 13""")
+def differing_ranges(t: Tables) -> DataFrame:
+    """The (id class, source) ranges in which the altered copy differs."""
+
+    ranges = [F.pmod("doc_id", F.lit(10)), F.col("source")]
+    return S.differing_ranges(local(t), live(t), ranges).toDF("class", "source")
+
+
 SAMPLE_SQL = """
 sampled AS (
   SELECT *, md5(CAST(doc_id AS VARCHAR)) AS key_hash,

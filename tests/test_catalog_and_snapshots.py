@@ -106,3 +106,26 @@ def test_scratch_folder_is_removed(spark, tmp_path):
         assert land(spark.range(3), "three").count() == 3
         assert (tmp_path / "own").exists() and path.endswith("own")
     assert not (tmp_path / "own").exists()
+
+
+def shuffled_rows(spark):
+    sc, jvm = spark.sparkContext, spark.sparkContext._jvm
+    none = jvm.java.util.ArrayList()
+    stages = sc._jsc.sc().statusStore().stageList(none, False, False, sc._gateway.new_array(jvm.double, 0), none)
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_equal_snapshots_shuffle_one_row_a_range(spark):
+    rows = spark.range(20_000, numPartitions=4).select("id", (F.col("id") % 3).cast("string").alias("kind"))
+    copy = rows.repartition(3, "kind")
+    copy.count()
+    before = shuffled_rows(spark)
+    found = S.snapshot_diff(rows, rows.select("*"), [F.col("kind")])
+    assert found.collect() == []
+    assert shuffled_rows(spark) - before <= 3 * 8  # three ranges, eight tasks
+    # One changed row: only its range is compared row by row.
+    altered = rows.withColumn("kind", F.when(F.col("id") == 7, None).otherwise(F.col("kind")))
+    assert sorted((r.side, r.copies, r.id, r.kind) for r in S.snapshot_diff(rows, altered, [F.col("kind")]).collect()) == [
+        ("live_only", 1, 7, None), ("local_only", 1, 7, "1"),
+    ]
+    assert sorted((r.side, r.id) for r in S.snapshot_diff(rows, altered).collect()) == [("live_only", 7), ("local_only", 7)]
