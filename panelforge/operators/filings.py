@@ -68,17 +68,36 @@ def flatten_holdings(documents: DataFrame, keys: list[str], xml: str = "xml") ->
         F.col("position").isNotNull()
     )
 
+    return exploded.select(*keys, "position", *_fields(F.col("h")))
+
+
+def _fields(holding: Column) -> list[Column]:
+    """The output columns of one parsed holding."""
+
     def leaf(parent: str | None, element: str) -> Column:
-        own = F.col("h").getField(element)
+        own = holding.getField(element)
         if parent is None:
             return _first(own)
-        group = F.get(F.col("h").getField(parent), F.lit(0))
-        present = F.size(F.coalesce(F.col("h").getField(parent), F.array())) > 0
+        group = F.get(holding.getField(parent), F.lit(0))
+        present = F.size(F.coalesce(holding.getField(parent), F.array())) > 0
         return F.when(present, _first(group.getField(element))).otherwise(_first(own))
 
-    return exploded.select(
-        *keys, "position", *[leaf(parent, element).alias(name) for name, parent, element in HOLDING_FIELDS]
-    )
+    return [leaf(parent, element).alias(name) for name, parent, element in HOLDING_FIELDS]
+
+
+def parse_holdings(records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Holdings from the records of :func:`panelforge.sources.documents.read_holding_records`.
+
+    A record that is no well-formed holding keeps its place: its fields are NULL and its text
+    stands in ``corrupt_record``, which is NULL for all others. Nothing fails the job.
+    """
+
+    schema = holding_schema().removeprefix("infoTable array<").removesuffix(">>") + ", `_corrupt`: string>"
+    options = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = records.withColumn("h", F.from_xml(F.col("record"), schema, options))
+    bad = ~F.col("closed") | F.col("h").isNull() | F.col("h._corrupt").isNotNull()
+    fields = [F.when(~bad, c).alias(name) for c, (name, _, _) in zip(_fields(F.col("h")), HOLDING_FIELDS)]
+    return parsed.select(*keys, "position", *fields, F.when(bad, F.col("record")).alias("corrupt_record"))
 
 
 def holding_value(value: Column) -> Column:

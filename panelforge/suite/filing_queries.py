@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from panelforge.operators import filings as H
 from panelforge.session import land, work_dir
 from panelforge.sinks.exports import write_holdings_csv
-from panelforge.sources.documents import read_documents, read_submissions
+from panelforge.sources.documents import read_documents, read_holding_records, read_submissions
 from panelforge.sources.tables import entry_names, read_csv, rename_path
 from panelforge.suite.common import Suite, Tables, number, spread
 
@@ -277,6 +277,47 @@ def landed_documents_read(t: Tables) -> DataFrame:
     return flat.select("file_name", number("position").alias("position"), "name_of_issuer", "value")
 
 
+@suite.register("""
+SELECT 'supplier_' || s_suppkey || '.xml' AS file_name, CAST(i - 1 AS BIGINT) AS position,
+       CASE WHEN s_suppkey % 7 = 3 AND i = 1 THEN NULL ELSE s_name END AS name_of_issuer,
+       CASE WHEN s_suppkey % 7 = 3 AND i = 1 THEN NULL ELSE CAST((s_nationkey % 5) * 1000 + i AS VARCHAR) END AS value,
+       s_suppkey % 7 = 3 AND i = 1 AS corrupt
+FROM supplier, LATERAL (SELECT unnest(range(1, (s_nationkey % 5) + 2)) AS i)
+UNION ALL
+SELECT 'large.xml', row_number() OVER (ORDER BY p_partkey) - 1, 'Part ' || p_partkey, CAST(p_size AS VARCHAR), false FROM part
+UNION ALL SELECT 'large.xml', count(*), NULL, NULL, true FROM part""")
+def damaged_documents_read(t: Tables) -> DataFrame:
+    """Documents cut while they are read: some with a holding of crossed tags, a large one of a holding per part that breaks off."""
+
+    first = F.col("s_suppkey") % 7 == 3
+    entry = F.transform(
+        F.sequence(F.lit(1).cast("bigint"), (F.col("s_nationkey") % 5) + 1),
+        lambda i: F.concat(
+            F.lit('<n1:infoTable a="1">\n <nameOfIssuer>'), F.col("s_name"),
+            F.when(first & (i == 1), "</value>").otherwise("</nameOfIssuer>"), F.lit("<n1:value>"),
+            ((F.col("s_nationkey") % 5) * 1000 + i).cast("string"), F.lit("</n1:value></n1:infoTable>"),
+        ),
+    )
+    documents = t("supplier").select(
+        F.concat(F.lit("supplier_"), "s_suppkey", F.lit(".xml")).alias("name"),
+        F.concat(F.lit('<?xml version="1.0"?>\n<t xmlns:n1="urn:h">'), F.array_join(entry, "\n"), F.lit("</t>")).alias("xml"),
+    )
+    folder = landed(t, documents, "name", "xml")
+    part = F.col("p_partkey").cast("string")
+    line = F.concat(
+        F.lit("<infoTable><nameOfIssuer>Part "), part, F.lit("</nameOfIssuer><value>"), F.col("p_size").cast("string"), F.lit("</value></infoTable>")
+    )
+    head = t.spark.range(1).select(F.lit(-1).cast("bigint").alias("k"), F.lit("<informationTable>").alias("line"))
+    cut = t.spark.range(1).select(F.lit((1 << 62)).alias("k"), F.lit("<infoTable><nameOfIssuer>Half").alias("line"))
+    lines = t("part").select(F.col("p_partkey").cast("bigint").alias("k"), line.alias("line")).unionByName(head).unionByName(cut)
+    staged = work_dir(t.spark, "landing")
+    lines.repartition(1).sortWithinPartitions("k").select("line").write.text(staged)  # one file, streamed to disk
+    large = next(n for n in entry_names(t.spark, staged) if n.startswith("part-"))
+    rename_path(t.spark, f"{staged}/{large}", f"{folder}/large.xml")
+    found = H.parse_holdings(read_holding_records(t.spark, folder), ["file_name"])
+    return found.select("file_name", "position", "name_of_issuer", "value", F.col("corrupt_record").isNotNull().alias("corrupt"))
+
+
 @suite.register("""
 SELECT CAST(s_suppkey AS VARCHAR) AS cik, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS padded_cik,
   CASE WHEN s_nationkey % 5 > 0 THEN '13F-HR' END AS filing_type, CASE WHEN s_nationkey % 5 > 0 THEN s_suppkey || '-24-2' END AS accession_number,

@@ -85,3 +85,49 @@ def test_long_ids_stay_whole(spark):
 
     df = spark.createDataFrame([("12345678901",), ("7",)], "cik string")
     assert [r[0] for r in df.select(padded_cik(df.cik)).collect()] == ["12345678901", "0000000007"]
+
+
+def test_documents_are_cut_while_they_are_read(spark, tmp_path):
+    """One large document over many file splits, a malformed holding, a cut document, attributes and prefixes."""
+
+    from panelforge.sources.documents import read_holding_records
+
+    one = "<ns:infoTable><ns:nameOfIssuer>A &amp; {}</ns:nameOfIssuer>\n<shrsOrPrnAmt><sshPrnamt>{}</sshPrnamt></shrsOrPrnAmt></ns:infoTable>\n"
+    (tmp_path / "large.xml").write_text('<x xmlns:ns="u">' + "".join(one.format(i, i * 2) for i in range(3000)) + "</x>")
+    (tmp_path / "bad.xml").write_text(
+        "<x><infoTable><value>1</value></infoTable><infoTable><value>2</cusip></infoTable>\n<infoTable id='3'><value>3</value></infoTable></x>"
+    )
+    (tmp_path / "cut.xml").write_text("<x><infoTable><value>1</value></infoTable><infoTable><value>2</val")
+    (tmp_path / "none.xml").write_text("<x></x>")
+    (tmp_path / "empty.xml").write_text("")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        records = read_holding_records(spark, str(tmp_path))
+        rows = H.parse_holdings(records, ["file_name"]).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    large = sorted((r for r in rows if r.file_name == "large.xml"), key=lambda r: r.position)
+    assert [(r.position, r.name_of_issuer, r.ssh_prnamt, r.corrupt_record) for r in large] == [
+        (i, f"A & {i}", str(i * 2), None) for i in range(3000)
+    ]
+    bad = sorted((r.position, r.value, r.corrupt_record is not None) for r in rows if r.file_name == "bad.xml")
+    assert bad == [(0, "1", False), (1, None, True), (2, "3", False)]
+    cut = sorted((r.position, r.value, r.corrupt_record) for r in rows if r.file_name == "cut.xml")
+    assert cut == [(0, "1", None), (1, None, "<value>2</val")]
+    assert {r.file_name for r in rows} == {"large.xml", "bad.xml", "cut.xml"}
+
+
+def test_a_cut_holding_is_found_wherever_a_split_begins(spark, tmp_path):
+    from panelforge.sources.documents import read_holding_records
+
+    text = "<x>" + "<infoTable><value>1</value></infoTable>" * 12 + "<infoTable><value>2</val"
+    (tmp_path / "cut.xml").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (19, 41, 64, 97):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            rows = sorted((r.position, r.closed) for r in read_holding_records(spark, str(tmp_path)).collect())
+            assert rows == [(i, i < 12) for i in range(13)], size
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
