@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import map_arrow, require
+from panelforge.llm.common import map_arrow, require, slices, text_views
 from panelforge.llm.piece_viterbi import PieceModel, load_model
 
 #: Default vocabulary file of a public tokenizer; callers may name another.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-#: Texts that are turned into Arrow lists at a time.
+#: Bytes of text whose distinct parts are segmented together; a longer text is a step of its own.
+STEP_BYTES = 6 << 20
+#: Rows of token ids that are decoded at a time.
 STEP_ROWS = 512
 
 _models: dict[str, PieceModel] = {}
@@ -50,8 +52,8 @@ def encode_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared_model(model_path)
         for whole in batches:
-            for low in range(0, whole.num_rows, STEP_ROWS):
-                batch = whole.slice(low, STEP_ROWS)
+            for low, high in slices(text_views(whole.column(position))[1], STEP_BYTES):
+                batch = whole.slice(low, high - low)
                 texts = [text or "" for text in batch.column(position).to_pylist()]
                 flat, bounds = model.encode_all(texts)
                 places = bounds.tolist()
