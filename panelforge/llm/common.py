@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -96,6 +97,16 @@ def numbered(df: DataFrame, row: str) -> DataFrame:
     return land(df.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system; a Python worker outlives its task and would keep it."""
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library, which trims by itself or not at all
+        pass
+
+
 def filter_rows(df: DataFrame, extra: dict[str, Column], decide) -> DataFrame:
     """Rows of ``df`` for which ``decide`` says so, decided in place without a shuffle.
 

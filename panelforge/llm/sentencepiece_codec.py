@@ -9,13 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import map_arrow, require, slices, text_views
+from panelforge.llm.common import map_arrow, release_memory, require, slices, text_views
 from panelforge.llm.piece_viterbi import PieceModel, load_model
 
 #: Default vocabulary file of a public tokenizer; callers may name another.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text whose distinct parts are segmented together; a longer text is a step of its own.
-STEP_BYTES = 6 << 20
+STEP_BYTES = 2 << 20
 #: Rows of token ids that are decoded at a time.
 STEP_ROWS = 512
 
@@ -50,6 +50,12 @@ def encode_texts(
     position = kept.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from encoded(batches)
+        finally:
+            release_memory()
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared_model(model_path)
         for whole in batches:
             for low, high in slices(text_views(whole.column(position))[1], STEP_BYTES):
