@@ -151,9 +151,12 @@ def _weights(model: ByteGru) -> list[np.ndarray]:
 
 def train(
     windows: np.ndarray, target: np.ndarray, labels: list[str], hidden: int = 8, rounds: int = 300,
-    lanes: int = 256, rate: float = 0.02, seed: int = 7,
+    lanes: int = 256, rate: float = 0.02, seed: int = 7, least_lanes: int = 8,
 ) -> ByteGru:
-    """Fit on ``windows`` (examples, steps) of bytes and the class number of each."""
+    """Fit on ``windows`` (examples, steps) of bytes and the class number of each.
+
+    A batch holds about ``lanes`` examples, and of every class at least ``least_lanes``.
+    """
 
     random = np.random.default_rng(seed)
 
@@ -171,7 +174,7 @@ def train(
     # Every class has the same share of each batch.
     members = [np.flatnonzero(target == k) for k in range(len(labels))]
     for step in range(1, rounds + 1):
-        pick = np.concatenate([random.choice(m, max(1, lanes // len(labels))) for m in members])
+        pick = np.concatenate([random.choice(m, max(least_lanes, lanes // len(labels))) for m in members])
         grads, _ = _gradients(model, np.ascontiguousarray(windows[pick].T), target[pick])
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
         shrink = min(1.0, 1.0 / max(norm, 1e-9))

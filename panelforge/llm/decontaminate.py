@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +25,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from panelforge.llm.common import filter_rows, map_arrow, require
+from panelforge.session import land
 
 #: Characters of a q-gram, of a window (13 words are about 75); edits per character of a window.
 Q, WINDOW, EDIT_SHARE = 10, 75, 0.08
 #: Characters of the q-grams that sift windows before their alignment.
 SHORT_Q = 5
-#: Items of fewer normalised characters are too short to be evidence and never match.
-LEAST_CHARS = 24
+#: Items of fewer normalised characters match verbatim only.
+VERBATIM_BELOW = 24
+#: Default of the least normalised characters of an item that is searched for: those of one q-gram.
+LEAST_CHARS = Q
 #: Characters of benchmark text in one block, and of corpus text in one vectorised step.
 BLOCK_CHARS, STEP_CHARS = 2_000_000, 1 << 19
 #: Shared q-grams that one step expands at a time.
@@ -119,16 +122,19 @@ class Index:
         return [self.texts[a + s : a + s + n] for a, number, n in bounds for s in range(number)]
 
 
-def build_index(texts: list[str]) -> Index | None:
-    """Index normalised item texts; None if no item is long enough."""
+def build_index(texts: list[str], least_chars: int = LEAST_CHARS) -> Index | None:
+    """Index normalised item texts of ``least_chars`` characters, at least ``Q``; None if there are none."""
 
-    numbers = np.array([i for i, t in enumerate(texts) if len(t) >= LEAST_CHARS], dtype=np.int64)
+    if least_chars < Q:
+        raise ValueError(f"an item needs the {Q} characters of a q-gram")
+    numbers = np.array([i for i, t in enumerate(texts) if len(t) >= least_chars], dtype=np.int64)
     if not len(numbers):
         return None
     codes = [_codes(texts[i]) for i in numbers]
     sizes = np.array([len(c) for c in codes], dtype=np.int64)
     length = np.minimum(sizes, WINDOW)
     edits = np.minimum((EDIT_SHARE * length).astype(np.int64), length // Q - 1)
+    edits[length < VERBATIM_BELOW] = 0
     hashes = [_grams(c) for c in codes]
     grams = np.concatenate(hashes)
     text = np.repeat(np.arange(len(codes)), [len(h) for h in hashes])
@@ -311,7 +317,7 @@ def matches(index: Index | None, texts: list[str | None]) -> dict[str, np.ndarra
 
 
 def item_blocks(benchmark: DataFrame, item_column: str, text_column: str) -> Iterator[tuple[list, list[str]]]:
-    """Items and normalised texts in blocks of about ``BLOCK_CHARS``; one block is held at a time."""
+    """Items and normalised texts in blocks of about ``BLOCK_CHARS``, one after the other."""
 
     rows: Iterable = benchmark.select(item_column, F.col(text_column).cast("string")).toLocalIterator()
     ids, texts, size = [], [], 0
@@ -328,16 +334,17 @@ def item_blocks(benchmark: DataFrame, item_column: str, text_column: str) -> Ite
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    item_column: str = "item_id", item_text_column: str = "text",
+    item_column: str = "item_id", item_text_column: str = "text", least_chars: int = LEAST_CHARS,
 ) -> DataFrame:
     """One row per (document row, benchmark item) with a window of the item in the document.
 
     Columns: the document's id, the item's id, ``windows`` found, least ``edits``, and
     ``begin`` and ``end`` (characters of the normalised text) around all of them. Texts are
     compared in lower case with white space collapsed. Null, empty and clean texts give no
-    row; an item shorter than ``LEAST_CHARS`` never matches; repeated rows and items each
-    give their own rows; an empty table gives an empty result. Both tables may have any
-    other columns, of any names.
+    row; an item shorter than ``least_chars`` is not searched for, and one shorter than
+    ``VERBATIM_BELOW`` matches without an edit only; repeated rows and items each give their own
+    rows; an empty table gives an empty result. Both tables may have any other columns, of any
+    names. The rows of every block but the last are stored before the next block is indexed.
     """
 
     require(docs, id_column, text_column)
@@ -347,7 +354,7 @@ def contaminated(
     picked = docs.select(F.col(id_column).alias("doc"), F.col(text_column).cast("string").alias("text"))
 
     def search(ids: list, texts: list[str]):
-        index = build_index(texts)
+        index = build_index(texts, least_chars)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -361,26 +368,32 @@ def contaminated(
         return run
 
     item_type = to_arrow_type(benchmark.schema[item_column].dataType)
-    found = None
+    parts: list[DataFrame] = []
     for ids, texts in item_blocks(benchmark, item_column, item_text_column):
-        part = map_arrow(picked, search(ids, texts), schema)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = docs.sparkSession.createDataFrame([], schema)
+        if parts:  # cuts the plan, and with it the index it holds
+            parts[-1] = land(parts[-1], "benchmark-passages")
+        parts.append(map_arrow(picked, search(ids, texts), schema))
+    found = reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], schema)
     return found.toDF(id_column, item_column if item_column != id_column else f"{item_column}_item", *found.columns[2:])
 
 
 def keep_clean(
-    docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_text_column: str = "text"
+    docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_text_column: str = "text",
+    least_chars: int = LEAST_CHARS,
 ) -> DataFrame:
-    """The rows without any benchmark passage, with all columns of ``docs``."""
+    """The rows without any benchmark passage, with all columns of ``docs``.
+
+    What every block but the last leaves is stored before the next block is indexed.
+    """
 
     require(docs, text_column)
     require(benchmark, item_text_column)
     kept = docs
     item = next((c for c in benchmark.columns if c != item_text_column), item_text_column)
-    for _, texts in item_blocks(benchmark, item, item_text_column):
-        index = build_index(texts)
+    for number, (_, texts) in enumerate(item_blocks(benchmark, item, item_text_column)):
+        if number:
+            kept = land(kept, "clean-documents")
+        index = build_index(texts, least_chars)
 
         def clean(text: pa.Array, index: Index | None = index) -> np.ndarray:
             mask = np.ones(len(text), dtype=bool)

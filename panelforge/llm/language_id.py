@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from panelforge.llm.byte_gru import ByteGru, train
 from panelforge.llm.common import filter_rows, held_out, learnable, map_arrow, require, slices, text_views
 
-#: Bounds of the training sample: languages, documents of each, characters of a document, windows of it, bytes in one.
-LANGUAGES, DOCUMENTS, EXTRACT, WINDOWS, STEPS = 64, 300, 1500, 6, 64
+#: Bounds of the training sample: documents of a language, characters of a document, windows of it, bytes in one.
+DOCUMENTS, EXTRACT, WINDOWS, STEPS = 300, 1500, 6, 64
 #: Parts of a language that are searched for the smallest hashes side by side.
 PARTS = 64
 #: A document whose best language has a lower mean probability is rejected by the pipeline.
@@ -23,23 +23,20 @@ REJECT_BELOW = 0.4
 def training_sample(df: DataFrame, id_column: str, text_column: str, lang_column: str) -> list[tuple[str, str]]:
     """(language, extract) of the ``DOCUMENTS`` learnable rows with the smallest id hash of each language.
 
-    The most frequent ``LANGUAGES`` values count as languages. Ids are picked first; only
-    the picked rows' texts are read, at most ``LANGUAGES * DOCUMENTS`` extracts.
+    Every label of a learnable row with a letter counts as a language, however rare. Ids are
+    picked first; only the picked rows' texts are read, at most ``DOCUMENTS`` extracts a language.
     """
 
     labelled = df.where(
         learnable(id_column) & F.col(lang_column).isNotNull() & F.col(text_column).rlike(r"\p{L}")
     ).select(F.col(id_column).alias("id"), F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text"))
-    names = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    known = sorted(r["lang"] for r in names.collect())
     # The smallest hashes of each of a few parts of a language, then of those the smallest: a
     # frequent language is not gathered in one task.
     place = F.xxhash64("id")
     within = Window.partitionBy("lang", "part").orderBy("place", "id")
     overall = Window.partitionBy("lang").orderBy("place", "id")
     picked = (
-        labelled.where(F.col("lang").isin(known))
-        .select("id", "lang", place.alias("place"), F.pmod(place, F.lit(PARTS)).alias("part"))
+        labelled.select("id", "lang", place.alias("place"), F.pmod(place, F.lit(PARTS)).alias("part"))
         .withColumn("nth", F.row_number().over(within)).where(F.col("nth") <= DOCUMENTS)
         .withColumn("nth", F.row_number().over(overall)).where(F.col("nth") <= DOCUMENTS)
         .select("id", "lang")
@@ -48,7 +45,7 @@ def training_sample(df: DataFrame, id_column: str, text_column: str, lang_column
     ids = df.sparkSession.createDataFrame(picked, labelled.select("id", "lang").schema).distinct()
     start = F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.lit(1), F.char_length("text") - EXTRACT)).cast("int")
     rows = (
-        labelled.join(F.broadcast(ids), ["id", "lang"])  # at most LANGUAGES * DOCUMENTS ids
+        labelled.join(ids, ["id", "lang"])  # Spark knows how many ids there are
         .select("id", "lang", F.lower(F.substring("text", start + 1, F.lit(EXTRACT))).alias("text"))
         .groupBy("id", "lang").agg(F.min("text").alias("text"))  # one of the rows that share an id
     )

@@ -20,15 +20,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import map_arrow, require, slices, text_views, thinned
 from panelforge.llm.license_texts import MENTIONS, TEMPLATES
 from panelforge.llm.simhash_near import xxh64_ranges
 
-#: Bounds of the sample of ordinary paragraphs: documents, and paragraphs of each.
-DOCUMENTS, PARAGRAPHS = 600, 8
+#: Bounds of the sample of ordinary paragraphs: documents, paragraphs of each, characters of one.
+DOCUMENTS, PARAGRAPHS, LINE_CHARS = 600, 8, 2000
 UNKNOWN = "unknown"
 #: Share of a template's or the paragraph's word pairs that confirms a family.
 CONFIRMED = 0.6
@@ -157,17 +157,29 @@ def _variants(sentence: str, random: np.random.Generator, count: int) -> list[st
 
 
 def ordinary_paragraphs(df: DataFrame, id_column: str, text_column: str) -> list[str]:
-    """A bounded sample of paragraphs that match no template, by the smallest hashes of text."""
+    """A bounded sample of paragraphs that match no template.
 
+    Of the ``DOCUMENTS`` documents with the smallest hash it takes the ``PARAGRAPHS`` different
+    lines with the smallest hash among all lines of the whole text; blank lines do not count. A
+    line of more than ``LINE_CHARS`` characters gives an extract of that size that begins
+    anywhere, as its hash says.
+    """
+
+    def extract(line: Column) -> Column:
+        start = F.pmod(F.xxhash64(line, F.lit(1)), F.greatest(F.lit(1), F.char_length(line) - LINE_CHARS + 1))
+        return F.substring(line, start.cast("int") + 1, F.lit(LINE_CHARS))
+
+    filled = F.filter(F.array_distinct(F.split(F.col(text_column), "\n")), lambda x: F.trim(x) != "")
+    by_hash = F.array_sort(F.transform(filled, lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("line"))))
+    picked = F.transform(F.slice(by_hash, 1, PARAGRAPHS), lambda x: extract(x["line"]))
     rows = (
         df.where(F.col(text_column).isNotNull() & thinned(F.col(id_column).cast("string"), df.count(), DOCUMENTS))
-        .select(F.xxhash64(F.col(id_column).cast("string")).alias("h"), F.col(text_column).alias("text"))
-        .select("h", F.slice(F.split(F.substring("text", 1, 4000), "\n"), 1, PARAGRAPHS).alias("lines"))
+        .select(F.xxhash64(F.col(id_column).cast("string")).alias("h"), picked.alias("lines"))
         .orderBy("h", "lines")
         .limit(DOCUMENTS)
         .collect()
     )
-    lines = sorted({x[:2000] for r in rows for x in r["lines"] if x.strip()})
+    lines = sorted({x for r in rows for x in r["lines"] if x.strip()})
     wanted = [w for family in _template_pairs.values() for w in family]
     return [x for x in lines for have in [_pairs(x)] if not any(len(w & have) >= 0.3 * len(w) for w in wanted)]
 

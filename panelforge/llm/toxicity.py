@@ -1,11 +1,13 @@
 """Toxic passages by maximum-scoring segment search.
 
 Every token has a score, its log-odds between toxic and clean documents under an
-informative Dirichlet prior taken from all documents. One linear scan over a text
-finds all maximal segments of high total score. Segment totals of clean text
-follow an extreme-value law with parameters lambda and K; the sum statistic of the
-best r segments gives the probability of seeing them by chance, and a logistic
-fit on learnable rows turns that evidence into a score between 0 and 1.
+informative Dirichlet prior taken from all documents: above zero for tokens of toxic
+documents, below it for tokens of clean ones. A token whose log-odds cannot be told
+from zero takes a little off a segment. One linear scan over a text finds all maximal
+segments of high total score. Segment totals of clean text follow an extreme-value law
+with parameters lambda and K, which gives the probability of seeing the best r
+segments by chance, for every r, and a logistic fit on learnable rows turns that
+evidence into a score between 0 and 1.
 """
 
 from __future__ import annotations
@@ -19,20 +21,24 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import held_out, learnable, map_arrow, require, thinned
 from panelforge.session import land
 
-#: Bounds of the training sample (rows of each label) and of the token table.
-TOXIC_ROWS, CLEAN_ROWS, VOCABULARY = 6000, 12000, 50_000
-#: Weight of the prior as a share of the sample; least toxic documents, log-odds and z of a scored token.
+#: Bounds of the training sample (rows of each label).
+TOXIC_ROWS, CLEAN_ROWS = 6000, 12000
+#: Weight of the prior as a share of the sample; least documents of the token's side, log-odds and z, of either sign, of a scored token.
 PRIOR_SHARE, LEAST_DOCUMENTS, LEAST_ODDS, LEAST_Z = 0.1, 2, 1.5, 2.5
+#: Tokens that a task counts before it passes their counts on.
+TOKENS_HELD = 100_000
 #: Parts of the sample; evidence for the logistic fit comes from tokens learned on the other parts.
 FOLDS = 4
-#: What a token without a score takes off a segment; segments that the sum statistic looks at.
-GAP_COST, MOST_SEGMENTS = 0.05, 12
+#: What a token without a score takes off a segment.
+GAP_COST = 0.05
+#: The sum statistic holds for sums of at least this much for each segment beyond the first.
+SUM_HOLDS = 8.0
 #: Chance probability below which a single segment is reported as a passage.
 SIGNIFICANT = 0.01
 #: Evidence beyond this counts as this much.
@@ -97,15 +103,23 @@ class ToxicityModel:
         return -math.log(max(-math.expm1(-expected), 1e-300))
 
     def evidence(self, scores: list[float], length: int) -> float:
-        """Minus the logarithm of the least chance probability of the best r segments, r = 1, 2, ..."""
+        """Minus the logarithm of the least chance probability of the best r segments, r = 1, 2, ... all.
+
+        The number of segments of a clean text that reach a score is Poisson, so seeing r of
+        them has at most the probability of Chernoff's bound. Where the sum of the r scores
+        is large for their number, its own law tells more.
+        """
 
         best, total = 0.0, 0.0
-        for r, score in enumerate(sorted(scores, reverse=True)[:MOST_SEGMENTS], 1):
-            total += self.rate * score - math.log(self.scale * max(length, 1))
-            if total <= 0:
-                continue
-            log_p = -total + (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r)
-            best = max(best, -log_p - r * math.log(2))  # allows for trying several r
+        for r, score in enumerate(sorted(scores, reverse=True), 1):
+            above = self.rate * score - math.log(self.scale * max(length, 1))
+            total += above
+            gains = [0.0]
+            if math.log(r) + above > 0:  # more than the exp(-above) to be expected
+                gains.append(r * (math.log(r) + above - 1) + math.exp(-above))
+            if total > 0 and total >= SUM_HOLDS * (r - 1):
+                gains.append(total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r))
+            best = max(best, max(gains) - r * math.log(2))  # allows for trying several r
         return best
 
     def judge(self, text: str | None) -> tuple[float, float, list[tuple[int, int, float]]]:
@@ -171,40 +185,39 @@ def labelled_sample(
     return land(told.groupBy("family").agg(first).select("family", "row.*"), "toxicity-sample")
 
 
-def _document_counts(docs: DataFrame, text_column: str, wanted: set[str]) -> dict[str, int]:
-    """In how many of all documents each wanted token occurs, and under ``""`` the number of documents."""
+def _document_counts(docs: DataFrame, text_column: str) -> DataFrame:
+    """(token, n): in how many of all documents each token occurs."""
+
+    def flush(found: Counter[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["token", "n"]
+        )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[str] = Counter()
         for batch in batches:
-            found: Counter[str] = Counter()
             for text in batch.column(0).to_pylist():
-                found.update(wanted.intersection(tokens(text)))
-                found[""] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["token", "n"]
-            )
+                found.update(set(tokens(text)))
+                if len(found) >= TOKENS_HELD:
+                    yield flush(found)
+                    found.clear()
+        yield flush(found)
 
     counts = map_arrow(docs.select(F.col(text_column).cast("string")), count, "token string, n bigint")
-    return {r["token"]: r["n"] for r in counts.groupBy("token").agg(F.sum("n").alias("n")).collect()}
+    return counts.groupBy("token").agg(F.sum("n").alias("n"))
+
 
+def _token_score(y1: Column, y0: Column, share: Column, toxic: int, clean: int) -> Column:
+    """Log-odds of a token in ``y1`` of ``toxic`` and ``y0`` of ``clean`` documents; null if it cannot be told from zero.
 
-def _token_scores(
-    counts: list[tuple[str, int, int]], toxic: int, clean: int, everywhere: dict[str, int]
-) -> dict[str, float]:
-    """Log-odds of the telling tokens from the (token, toxic, clean) document counts."""
+    ``share`` of all documents hold the token; the prior has that share of ``PRIOR_SHARE`` of the sample.
+    """
 
     weight = PRIOR_SHARE * (toxic + clean)
-    documents = max(1, everywhere.get("", 1))
-    found = {}
-    for token, y1, y0 in counts:
-        if y1 < LEAST_DOCUMENTS:
-            continue
-        prior = weight * max(everywhere.get(token, 0), 0.5) / documents
-        a, b = y1 + prior, y0 + prior
-        odds = math.log(a / max(toxic + weight - a, 0.5)) - math.log(b / max(clean + weight - b, 0.5))
-        if odds >= LEAST_ODDS and odds / math.sqrt(1 / a + 1 / b) >= LEAST_Z:
-            found[token] = odds
-    return found
+    a, b = y1 + share * weight, y0 + share * weight
+    odds = F.log(a / F.greatest(toxic + weight - a, F.lit(0.5))) - F.log(b / F.greatest(clean + weight - b, F.lit(0.5)))
+    told = (F.abs(odds) >= LEAST_ODDS) & (F.abs(odds) / F.sqrt(1 / a + 1 / b) >= LEAST_Z)
+    return F.when(told & (F.when(odds > 0, y1).otherwise(y0) >= LEAST_DOCUMENTS), odds)
 
 
 def _extreme_value(rows: list[tuple[int, list[tuple[int, float]]]]) -> tuple[float, float]:
@@ -254,22 +267,24 @@ def fit(
         sample.select("toxic", "fold", F.explode("words").alias("token"))
         .groupBy("token")
         .agg(F.sum("toxic").alias("y1"), F.count_if(F.col("toxic") == 0).alias("y0"), *per_fold)
-        .where(F.col("y1") >= LEAST_DOCUMENTS)
-        .orderBy(F.desc((F.col("y1") + 1) / (F.col("y0") + 1)), "token")
-        .limit(VOCABULARY)
-        .collect()
+        .where(F.greatest("y1", "y0") >= LEAST_DOCUMENTS)
+        .join(_document_counts(docs, text_column), "token")
     )
-    everywhere = _document_counts(docs, text_column, {r["token"] for r in counted})
-    model.scores = _token_scores([(r["token"], r["y1"], r["y0"]) for r in counted], toxic, clean, everywhere)
-    others = [
-        ToxicityModel(
-            _token_scores(
-                [(r["token"], r["y1"] - r[f"y1_{f}"], r["y0"] - r[f"y0_{f}"]) for r in counted],
-                toxic - sizes[f, 1], clean - sizes[f, 0], everywhere,
-            )
-        )
-        for f in range(FOLDS)
-    ]
+    share = F.greatest("n", F.lit(0.5)) / max(1, docs.count())
+    scored = counted.select(
+        "token", _token_score(F.col("y1"), F.col("y0"), share, toxic, clean).alias("all"),
+        *[
+            _token_score(
+                F.col("y1") - F.col(f"y1_{f}"), F.col("y0") - F.col(f"y0_{f}"), share,
+                toxic - sizes[f, 1], clean - sizes[f, 0],
+            ).alias(f"without_{f}")
+            for f in range(FOLDS)
+        ],
+    )
+    names = scored.columns[1:]
+    told = scored.where(F.coalesce(*names).isNotNull()).collect()  # telling tokens of a bounded sample
+    model.scores, *others = ({r["token"]: r[n] for r in told if r[n] is not None} for n in names)
+    others = [ToxicityModel(scores) for scores in others]
 
     def hits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
