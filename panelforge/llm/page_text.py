@@ -8,12 +8,15 @@ A line shared with one of them goes too, unless it stands in an explicit article
 element, which may quote or repeat another article. What is left loses the regions
 that markup itself names as menu, footer, advert and the like.
 
+Two neighbours may hold a sentence of an article by chance, so inside an article a line
+that both share goes only if the next pages on either side have it too.
+
 A page that is a copy of a neighbour keeps what it shares with it. A copy is known by
 its long lines: they outweigh what the page has of its own.
 
-Sorting is by range partitions, so a host with very many pages spreads over
-tasks. Only hashes of lines travel; the pages at the ends of a partition are
-compared on the driver, from the few first and last pages of each.
+Pages are parsed once, into stored lines. Sorting is by range partitions, so a host with
+very many pages spreads over tasks. Only hashes of lines travel; the pages at the ends of
+a partition are compared on the driver, from the few first and last pages of each.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import map_arrow, numbered, require
+from panelforge.llm.common import map_arrow, require
 from panelforge.llm.html_lines import Line, page_lines, shared_lines
 from panelforge.session import land
 
@@ -36,7 +39,9 @@ LONG_LINE = 80
 #: A page is a copy if its own text is less than this share of the long lines that it has in common.
 OWN_SHARE = 0.2
 #: Pages at each end of a partition that the driver sees, and those of them that it compares.
-EDGE, BORDER = 4, 2
+EDGE, BORDER = 6, 3
+#: Pages that must all hold a line before it goes from an article, where the host has so many within ``BORDER``.
+WITNESSES = 4
 
 
 def host_and_path(url: str | None) -> tuple[str, str]:
@@ -53,18 +58,35 @@ def host_and_path(url: str | None) -> tuple[str, str]:
         return "", ""
 
 
-def _index_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def content_lines(lines: list[Line]) -> list[int]:
+    """The lines of the article, or of the page if markup names none, outside the regions that are named as something else."""
+
+    article = any(line.main and not line.aside for line in lines)
+    return [i for i, line in enumerate(lines) if not line.aside and (line.main or not article)]
+
+
+def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of all lines; number and text of the content lines, and whether they are an article's."""
+
     for batch in batches:
-        hosts, paths, hashes = [], [], []
-        for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
+        hosts, paths, hashes, articles, places, texts = [], [], [], [], [], []
+        for url, html in zip(batch.column("url").cast(pa.string()).to_pylist(), batch.column("html").to_pylist()):
             host, path = host_and_path(url)
             lines = page_lines(html)
+            content = content_lines(lines)
             hosts.append(host)
             paths.append(path)
             hashes.append([xxhash.xxh64_intdigest(line.text) >> 1 for line in lines])
+            articles.append(bool(content) and lines[content[0]].main)
+            places.append(content)
+            texts.append([lines[i].text for i in content])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), pa.array(hosts), pa.array(paths), pa.array(hashes, pa.list_(pa.int64()))],
-            names=["row", "host", "path", "lines"],
+            [
+                batch.column("row"), batch.column("id"), batch.column("url"), pa.array(hosts, pa.string()),
+                pa.array(paths, pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(articles, pa.bool_()),
+                pa.array(places, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string())),
+            ],
+            names=["row", "id", "url", "host", "path", "lines", "article", "content", "texts"],
         )
 
 
@@ -87,7 +109,11 @@ class Comparer:
         return self.held[key]
 
     def shared(self, run: list[Page], i: int) -> list[list[int]]:
-        """For each of the up to two references of page ``i``: its lines that are shared with it."""
+        """For each of the up to two references of page ``i``: its lines that are shared with it.
+
+        After two references a third list holds those of both that further pages nearby have as
+        well, up to ``WITNESSES`` pages in all.
+        """
 
         def same(j: int) -> bool:
             return 0 <= j < len(run) and run[j] is not None and run[j][1] == run[i][1]
@@ -98,7 +124,13 @@ class Comparer:
             others.append(i - 2)
         if ahead and not back and same(i + 2):
             others.append(i + 2)
-        return [self.pair(run[j], run[i])[1] if j < i else self.pair(run[i], run[j])[0] for j in others]
+        found = [self.pair(run[j], run[i])[1] if j < i else self.pair(run[i], run[j])[0] for j in others]
+        if len(found) == 2:
+            near = [j for d in range(1, BORDER + 1) for j in (i - d, i + d) if j not in others and same(j)]
+            further = [set(run[j][2]) for j in near[: WITNESSES - 2]]
+            both = set(found[0]).intersection(found[1])
+            found.append(sorted(k for k in both if all(run[i][2][k] in lines for lines in further)))
+        return found
 
 
 def _compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,22 +184,17 @@ def _compare_ends(ends: list) -> list[tuple[int, list[list[int]]]]:
     return [(run[i][0], comparer.shared(run, i)) for i in places]
 
 
-def template_lines(pages: DataFrame) -> DataFrame:
-    """For a stored table of ``row``, ``url`` and ``html``: ``row`` and ``shared``, for each page it was aligned with the lines it shares.
+def template_lines(index: DataFrame) -> DataFrame:
+    """For a stored table of ``row``, ``host``, ``path`` and hashes ``lines``: ``row`` and ``shared``, as :meth:`Comparer.shared` gives it.
 
     Lines are numbered in page order. Pages alone on their host have an empty list. The
-    driver compares four pages per partition, nothing else.
+    driver compares six pages per partition, nothing else.
     """
 
-    picked = pages.select("row", F.col("url").cast("string").alias("url"), "html")
-    # Stored, so that the range bounds are sampled without parsing every page once more.
-    index = land(
-        map_arrow(picked, _index_pages, "row bigint, host string, path string, lines array<bigint>"), "page-index"
-    )
     order = ["host", "path", "row"]
     compared = land(
         map_arrow(
-            index.repartitionByRange(*order).sortWithinPartitions(*order), _compare_neighbours,
+            index.select(*order, "lines").repartitionByRange(*order).sortWithinPartitions(*order), _compare_neighbours,
             "row bigint, lines array<array<bigint>>, part int, place bigint, pages bigint, host string",
         ),
         "compared-pages",
@@ -176,22 +203,21 @@ def template_lines(pages: DataFrame) -> DataFrame:
     shared = compared.where("part is null").select("row", F.col("lines").alias("shared"))
     extra = _compare_ends(ends)
     if extra:
-        shared = shared.unionByName(pages.sparkSession.createDataFrame(extra, "row bigint, shared array<array<bigint>>"))
+        shared = shared.unionByName(index.sparkSession.createDataFrame(extra, "row bigint, shared array<array<bigint>>"))
     return shared
 
 
-def template_of(lines: list[Line], shared: list[list[int]]) -> set[int]:
-    """The lines that go because pages nearby have them too."""
+def template_of(article: bool, sizes: dict[int, int], shared: list[list[int]]) -> set[int]:
+    """The lines that go because pages nearby have them too; ``sizes`` are the characters of the content lines."""
 
-    article = any(line.main and not line.aside for line in lines)
-    content = {i for i, line in enumerate(lines) if not line.aside and (line.main or not article)}
-    sides = [set(s) for s in shared]
+    content = set(sizes)
+    sides = [set(s) for s in shared[:2]]
     every = set.intersection(*sides) if len(sides) > 1 else set()
     once = set().union(*sides) - every
     own = content - every - once
 
     def size(some: set[int], least: int = 0) -> int:
-        return sum(n for n in (len(lines[i].text) for i in some & content) if n >= least)
+        return sum(n for n in (sizes[i] for i in some & content) if n >= least)
 
     # Lines that one page has too: kept from a copy, and in an article, which may quote another.
     # On a host of two pages nothing else tells template from copy, so there own text weighs more.
@@ -209,19 +235,19 @@ def template_of(lines: list[Line], shared: list[list[int]]) -> set[int]:
     rest = content - every - once
     if not size(rest) or size(rest) < OWN_SHARE * size(every, LONG_LINE):
         every -= content
+    # Lines of an article that two neighbours may hold by chance.
+    if article and len(shared) > 2:
+        every -= content - set(shared[2])
     return every | once
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, counts = [], []
-        for html, shared in zip(batch.column("html").to_pylist(), batch.column("shared").to_pylist()):
-            lines = page_lines(html)
-            template = template_of(lines, shared or [])
-            article = any(line.main and not line.aside for line in lines)
-            content = [i for i, line in enumerate(lines) if not line.aside and (line.main or not article)]
-            kept = [i for i in content if i not in template]
-            texts.append("\n".join(lines[i].text for i in kept))
+        rows = zip(*[batch.column(n).to_pylist() for n in ("article", "content", "texts", "shared")])
+        for article, content, lines, shared in rows:
+            template = template_of(article, dict(zip(content, map(len, lines))), shared or [])
+            texts.append("\n".join(line for i, line in zip(content, lines) if i not in template))
             counts.append(len(template))
         yield pa.RecordBatch.from_arrays(
             [
@@ -240,18 +266,25 @@ def extract_text(
     Blocks keep the page's order, joined by a line feed; white space in a block is one
     space. Null and empty pages give an empty text; null URLs are one host of their own;
     pages with equal URLs are neighbours; repeated rows each get a row; an empty table gives
-    an empty result. The numbered pages are stored once; both reads use those numbers.
+    an empty result. The lines of the pages are stored once, with a number for each page;
+    both later reads use those numbers.
     """
 
     require(pages, id_column, url_column, html_column)
     kind, url_kind = (pages.schema[c].dataType.simpleString() for c in (id_column, url_column))
-    picked = numbered(
-        pages.select(
-            F.col(id_column).alias("id"), F.col(url_column).alias("url"), F.col(html_column).cast("string").alias("html")
-        ),
-        "row",
+    picked = pages.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(url_column).alias("url"),
+        F.col(html_column).cast("string").alias("html"),
+    )
+    schema = (
+        f"row bigint, id {kind}, url {url_kind}, host string, path string, lines array<bigint>, article boolean, "
+        "content array<int>, texts array<string>"
+    )
+    parsed = land(map_arrow(picked, _parse_pages, schema), "page-lines")
+    shared = land(template_lines(parsed), "template-lines")
+    joined = parsed.select("row", "id", "url", "article", "content", "texts").join(shared, "row", "left")
+    found = map_arrow(
+        joined.select("id", "url", "article", "content", "texts", "shared"), _assemble,
+        f"id {kind}, url {url_kind}, text string, n_chars bigint, n_shared int",
     )
-    shared = land(template_lines(picked), "template-lines")
-    joined = picked.join(shared, "row", "left").select("id", "url", "html", "shared")
-    found = map_arrow(joined, _assemble, f"id {kind}, url {url_kind}, text string, n_chars bigint, n_shared int")
     return found.withColumnRenamed("id", id_column).withColumnRenamed("url", url_column)

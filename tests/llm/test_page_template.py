@@ -32,6 +32,20 @@ def test_unnamed_template_in_main(spark, tmp_path, tag, parts):
     assert all(found[k].text == "\n".join(story(k)) and found[k].n_shared == 3 for k in range(30))
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_prose_that_both_neighbours_hold_by_chance_stays(spark, tmp_path, parts):
+    chance = "She left the house in the early morning."
+
+    def body(k):
+        return [*story(k), *([chance] if k in (11, 12, 13, 20, 21, 22) else [])]
+
+    def page(k):
+        return "<article>" + "".join(f"<p>{x}</p>" for x in body(k)) + f"<div>{NOTICE}</div></article>"
+
+    found = extract(spark, tmp_path / "p", [(k, f"http://h.example/a/{k:03d}", page(k)) for k in range(30)], parts)
+    assert all(found[k].text == "\n".join(body(k)) for k in range(30))
+
+
 def test_template_longer_than_the_article(spark, tmp_path):
     frame = "".join(f"<div>{x}</div>" for x in [NOTICE, SIGN_UP, *(f"Section {n} of the shop" for n in range(30))])
 
