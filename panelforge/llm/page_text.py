@@ -14,9 +14,11 @@ that both share goes only if the next pages on either side have it too.
 A page that is a copy of a neighbour keeps what it shares with it. A copy is known by
 its long lines: they outweigh what the page has of its own.
 
-Pages are parsed once, into stored lines. Sorting is by range partitions, so a host with
-very many pages spreads over tasks. Only hashes of lines travel; the pages at the ends of
-a partition are compared on the driver, from the few first and last pages of each.
+A page is known by a 128-bit digest of its row, so two scans agree about it however the
+files are cut, and no page is stored. Sorting is by range partitions, so a host with
+very many pages spreads over tasks. Only hashes of lines are sorted and compared; the
+pages at the ends of a partition are compared on the driver, from the few first and last
+pages of each. Texts travel once, to meet the lines that go.
 """
 
 from __future__ import annotations
@@ -66,39 +68,50 @@ def content_lines(lines: list[Line]) -> list[int]:
 
 
 def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of all lines; number and text of the content lines, and whether they are an article's."""
+    """Number and text of the content lines, and whether they are an article's."""
 
     for batch in batches:
-        hosts, paths, hashes, articles, places, texts = [], [], [], [], [], []
-        for url, html in zip(batch.column("url").cast(pa.string()).to_pylist(), batch.column("html").to_pylist()):
-            host, path = host_and_path(url)
+        articles, places, texts = [], [], []
+        for html in batch.column("html").to_pylist():
             lines = page_lines(html)
             content = content_lines(lines)
-            hosts.append(host)
-            paths.append(path)
-            hashes.append([xxhash.xxh64_intdigest(line.text) >> 1 for line in lines])
             articles.append(bool(content) and lines[content[0]].main)
             places.append(content)
             texts.append([lines[i].text for i in content])
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("row"), batch.column("id"), batch.column("url"), pa.array(hosts, pa.string()),
-                pa.array(paths, pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(articles, pa.bool_()),
+                batch.column("row"), batch.column("id"), batch.column("url"), pa.array(articles, pa.bool_()),
                 pa.array(places, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string())),
             ],
-            names=["row", "id", "url", "host", "path", "lines", "article", "content", "texts"],
+            names=["row", "id", "url", "article", "content", "texts"],
         )
 
 
-#: A page on its way: row, host, hashes of its lines. None marks a gap.
-Page = tuple[int, str, list[int]] | None
+def _index_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Host, path and the hashes of all lines."""
+
+    for batch in batches:
+        hosts, paths, hashes = [], [], []
+        for url, html in zip(batch.column("address").to_pylist(), batch.column("html").to_pylist()):
+            host, path = host_and_path(url)
+            hosts.append(host)
+            paths.append(path)
+            hashes.append([xxhash.xxh64_intdigest(line.text) >> 1 for line in page_lines(html)])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(hashes, pa.list_(pa.int64()))],
+            names=["row", "host", "path", "lines"],
+        )
+
+
+#: A page on its way: digest, host, hashes of its lines. None marks a gap.
+Page = tuple[str, str, list[int]] | None
 
 
 class Comparer:
     """Aligns the pages of a sorted run; each pair once while it is near."""
 
     def __init__(self) -> None:
-        self.held: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
+        self.held: dict[tuple[str, str], tuple[list[int], list[int]]] = {}
 
     def pair(self, a: Page, b: Page) -> tuple[list[int], list[int]]:
         key = (a[0], b[0])
@@ -160,14 +173,14 @@ def _compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
 
 def _compared(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.list_(pa.list_(pa.int64())), pa.int32(), pa.int64(), pa.int64(), pa.string())
+    kinds = (pa.string(), pa.list_(pa.list_(pa.int64())), pa.int32(), pa.int64(), pa.int64(), pa.string())
     columns = list(zip(*rows)) or [[]] * 6
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(columns, kinds)], names=["row", "lines", "part", "place", "pages", "host"]
     )
 
 
-def _compare_ends(ends: list) -> list[tuple[int, list[list[int]]]]:
+def _compare_ends(ends: list) -> list[tuple[str, list[list[int]]]]:
     """The pages next to partition borders, compared; ``ends`` are all handed-on pages in order."""
 
     run: list[Page] = []
@@ -195,7 +208,7 @@ def template_lines(index: DataFrame) -> DataFrame:
     compared = land(
         map_arrow(
             index.select(*order, "lines").repartitionByRange(*order).sortWithinPartitions(*order), _compare_neighbours,
-            "row bigint, lines array<array<bigint>>, part int, place bigint, pages bigint, host string",
+            "row string, lines array<array<bigint>>, part int, place bigint, pages bigint, host string",
         ),
         "compared-pages",
     )
@@ -203,7 +216,7 @@ def template_lines(index: DataFrame) -> DataFrame:
     shared = compared.where("part is null").select("row", F.col("lines").alias("shared"))
     extra = _compare_ends(ends)
     if extra:
-        shared = shared.unionByName(index.sparkSession.createDataFrame(extra, "row bigint, shared array<array<bigint>>"))
+        shared = shared.unionByName(index.sparkSession.createDataFrame(extra, "row string, shared array<array<bigint>>"))
     return shared
 
 
@@ -265,24 +278,29 @@ def extract_text(
 
     Blocks keep the page's order, joined by a line feed; white space in a block is one
     space. Null and empty pages give an empty text; null URLs are one host of their own;
-    pages with equal URLs are neighbours; repeated rows each get a row; an empty table gives
-    an empty result. The lines of the pages are stored once, with a number for each page;
-    both later reads use those numbers.
+    pages with equal URLs are neighbours; rows equal in id, URL and html count as one page
+    and each get a row with its text; an empty table gives an empty result.
     """
 
     require(pages, id_column, url_column, html_column)
     kind, url_kind = (pages.schema[c].dataType.simpleString() for c in (id_column, url_column))
+    fields = [F.col(id_column), F.col(url_column), F.col(html_column).cast("string")]
     picked = pages.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(url_column).alias("url"),
-        F.col(html_column).cast("string").alias("html"),
+        F.concat_ws("-", F.xxhash64(*fields), F.xxhash64(F.lit(1), *fields)).alias("row"), F.col(id_column).alias("id"),
+        F.col(url_column).alias("url"), fields[2].alias("html"),
+    )
+    index = map_arrow(
+        picked.select("row", F.col("url").cast("string").alias("address"), "html"), _index_pages,
+        "row string, host string, path string, lines array<bigint>",
     )
-    schema = (
-        f"row bigint, id {kind}, url {url_kind}, host string, path string, lines array<bigint>, article boolean, "
-        "content array<int>, texts array<string>"
+    # Stored, so that the range bounds are sampled without parsing every page once more.
+    index = land(index.groupBy("row").agg(*[F.min(c).alias(c) for c in ("host", "path", "lines")]), "page-index")
+    shared = land(template_lines(index), "template-lines")
+    parsed = map_arrow(
+        picked, _parse_pages,
+        f"row string, id {kind}, url {url_kind}, article boolean, content array<int>, texts array<string>",
     )
-    parsed = land(map_arrow(picked, _parse_pages, schema), "page-lines")
-    shared = land(template_lines(parsed), "template-lines")
-    joined = parsed.select("row", "id", "url", "article", "content", "texts").join(shared, "row", "left")
+    joined = parsed.join(shared, "row", "left")
     found = map_arrow(
         joined.select("id", "url", "article", "content", "texts", "shared"), _assemble,
         f"id {kind}, url {url_kind}, text string, n_chars bigint, n_shared int",

@@ -72,3 +72,14 @@ def test_a_run_of_copies_and_a_lone_page_stay_whole(spark, tmp_path):
     found = extract(spark, tmp_path / "p", rows, 2)
     assert all(found[k].text == "\n".join([*story(1, 8), f"Read {k} times"]) for k in range(6))
     assert found[9].text == "\n".join(story(1, 8)) and found[9].n_shared == 0
+
+
+def test_repeated_rows_each_get_the_text_of_one_page(spark, tmp_path):
+    def row(k):
+        body = "".join(f"<p>{x}</p>" for x in story(k))
+        return (k, f"http://h.example/a/{k:03d}", f"<main><div>{NOTICE}</div>{body}</main>")
+
+    rows = [row(k) for k in range(12) for _ in range(9 if k == 5 else 1)]
+    schema = "page_id long, url string, html string"
+    found = extract_text(spark.createDataFrame(rows, schema).repartition(3)).collect()
+    assert sorted((r.page_id, r.text) for r in found) == sorted((k, "\n".join(story(k))) for k, _, _ in rows)
