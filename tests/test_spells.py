@@ -126,3 +126,18 @@ def test_hot_edges_are_split(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_profile_takes_one_shuffle_and_keeps_the_latest_end(spark):
+    rows = random_spells(random.Random(5), 400)
+    source = S.role_spells(spark.createDataFrame(rows, SPELLS), "person", "organisation", "s", "e", "x", AS_OF)
+    profile = S.spell_profile(source)
+    assert profile._jdf.queryExecution().sparkPlan().toString().count("filter(") == 0
+    assert profile._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    want = {}
+    for person, organisation, start, end in rows:
+        key, year = (person, organisation), start.year if start else None
+        spans = want.setdefault(key, {})
+        spans[year] = max(spans.get(year, 0), (end or date(2024, 6, 30)).year)
+    got = {(r.person_id, r.organisation_id): {s.start_year: s.end_year for s in r.spans} for r in profile.collect()}
+    assert got == want
