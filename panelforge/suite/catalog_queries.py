@@ -190,7 +190,8 @@ def library_summary(t: Tables) -> DataFrame:
 @suite.register(f"""SELECT p_partkey, {pretty_sql('n')} AS pretty FROM (
   SELECT p_partkey, CAST(p_partkey AS BIGINT) * p_partkey * p_partkey * p_size + 128 * p_size AS n FROM part)""")
 def byte_sizes(t: Tables) -> DataFrame:
-    key, size = F.col("p_partkey"), F.col("p_size")
+    # The cube of a key outgrows a bigint beyond some hundred thousand parts.
+    key, size = F.col("p_partkey").cast("decimal(20,0)"), F.col("p_size").cast("bigint")
     return t("part").select("p_partkey", pretty_bytes(key * key * key * size + size * 128).alias("pretty"))
 
 

@@ -54,3 +54,11 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_sizes_of_large_keys(spark, tmp_path):
+    rows = [(1_200_000, 50), (7, 1), (5_000_000, 3)]
+    spark.createDataFrame(rows, "p_partkey bigint, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    got = {r.p_partkey: r.pretty for r in QUERIES["byte_sizes"](spark, str(tmp_path)).collect()}
+    exact = {k: k**3 * s + 128 * s for k, s in rows}
+    assert got == {1_200_000: f"{exact[1_200_000] / 2**30:.2f} GiB", 7: "471 B", 5_000_000: f"{exact[5_000_000] / 2**30:.2f} GiB"}
