@@ -7,6 +7,10 @@ is grouped to build them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -242,15 +246,35 @@ def filing_metadata(t: Tables) -> DataFrame:
 
 # --- landed files: documents of a filer in one file each, feeds as JSON
 
+# Rows of a task that lands files: a few seconds' work.
+FILES_PER_TASK = 2_000
+
+
 def landed(t: Tables, rows: DataFrame, name: str, text: str) -> str:
-    """Write ``text`` of every row to a file called ``name`` in a new folder; names are unique."""
-
-    staged, folder = work_dir(t.spark, "landing"), work_dir(t.spark, "landed")
-    rows.repartition(name).select(name, text).write.partitionBy(name).text(staged)
-    for entry in entry_names(t.spark, staged):
-        if entry.startswith(f"{name}="):
-            part = next(n for n in entry_names(t.spark, f"{staged}/{entry}") if n.startswith("part-"))
-            rename_path(t.spark, f"{staged}/{entry}/{part}", f"{folder}/{entry.partition('=')[2]}")
+    """Write ``text`` of every row to a file called ``name`` in a new folder; rows of one name are lines of one file.
+
+    The tasks write the files under their final names. Spark's own writer gives a folder to
+    each, which the driver then has to list and rename, one by one.
+    """
+
+    folder = work_dir(t.spark, "landed")
+    tasks = max(t.spark.sparkContext.defaultParallelism, -(-rows.count() // FILES_PER_TASK))
+    file_name = F.coalesce(F.col(name), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    files = (
+        rows.select(file_name.alias(name), F.coalesce(F.col(text), F.lit("")).alias(text)).repartition(tasks, name)
+        .groupBy(name).agg(F.array_join(F.collect_list(text), "\n").alias(text))
+    )
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            for title, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with store.open_output_stream(f"{root}/{title}") as file:
+                    file.write(f"{body}\n".encode())
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    files.mapInArrow(write, "files bigint").agg(F.sum("files")).collect()
     return folder
 
 

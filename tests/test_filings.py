@@ -131,3 +131,16 @@ def test_a_cut_holding_is_found_wherever_a_split_begins(spark, tmp_path):
             assert rows == [(i, i < 12) for i in range(13)], size
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_files_are_landed_by_tasks(spark, monkeypatch):
+    """The driver moves no file; rows of one name share a file, a missing text is an empty line."""
+
+    from panelforge.suite import filing_queries as Q
+    from panelforge.suite.common import Tables
+
+    monkeypatch.setattr(Q, "rename_path", None)
+    rows = [(f"d{i}.txt", f"text {i}") for i in range(50)] + [("d7.txt", "text 7"), ("none.txt", None)]
+    folder = Q.landed(Tables(spark, "unused"), spark.createDataFrame(rows, "name string, text string"), "name", "text")
+    found = {r.file_name: r.xml for r in read_documents(spark, folder, "*.txt").collect()}
+    assert found == {f"d{i}.txt": f"text {i}\n" for i in range(50)} | {"d7.txt": "text 7\ntext 7\n", "none.txt": "\n"}
