@@ -11,8 +11,9 @@ from panelforge.plans.contracts import LAYOUTS, Layout, default_sort_columns
 from panelforge.session import land
 
 EPOCH = "1970-01-01"
-# About one reader task's worth of rows per file keeps files splittable and bounded.
-FILE_ROWS = 20_000_000
+# The rows of a file are sorted in one task: so many fit its share of an executor's memory
+# unspilled, some 400 bytes each, and make about one reader task's worth of file.
+FILE_ROWS = 2_000_000
 # Bytes that a row takes at the least in Spark's statistics of a plan.
 SMALL_ROW = 16
 # Steps of a partition value's quantiles, and so the most ranges it is cut into.
@@ -65,7 +66,8 @@ def ranged(df: DataFrame, layout: Layout, file_rows: int = FILE_ROWS) -> DataFra
     value and sketches its quantiles; partial sketches merge, so one row per value, of which
     the calendar has few, reaches the driver. Values of more than ``file_rows`` rows are cut
     into ranges at the quantiles, small ones share a task, and one shuffle by task number
-    brings them there. Files of a month therefore have disjoint key ranges, and a reader that
+    brings them there; the ranges are broadcast, for a join that shuffled would bring all rows
+    of a value to one task. Files of a month therefore have disjoint key ranges, and a reader that
     looks for an id opens one. A key so frequent that it fills several files gets files of its
     own, its rows dealt by the rest of the sort key; other keys never share them.
 
@@ -110,7 +112,7 @@ def ranged(df: DataFrame, layout: Layout, file_rows: int = FILE_ROWS) -> DataFra
         F.col("_first") + F.size(F.filter("_bounds", lambda b: b <= F.col("_lead")))
     )
     placed = (
-        df.withColumn("_lead", lead).join(table, value.eqNullSafe(F.col("_value")), "left")
+        df.withColumn("_lead", lead).join(F.broadcast(table), value.eqNullSafe(F.col("_value")), "left")
         .withColumn("_task", F.coalesce(slot, F.lit(0)))
         .repartitionById(task + 1, "_task")
     )

@@ -38,10 +38,10 @@ def planted(value: Column, bad, n: int) -> Column:
 
 # --- raw option rows as they come from a source: loose types, planted errors
 
-def raw_options(t: Tables) -> DataFrame:
+def raw_options(t: Tables, lines: DataFrame | None = None) -> DataFrame:
     day = F.col("l_shipdate").cast("date")
     line = F.col("l_linenumber")
-    return t("lineitem").select(
+    return (t("lineitem") if lines is None else lines).select(
         "l_orderkey",
         "l_linenumber",
         planted(planted(F.col("l_partkey").cast("double"), -1.0, 101), float("nan"), 97).alias("secid"),

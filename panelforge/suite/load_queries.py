@@ -132,7 +132,8 @@ def option_panel_loaded(t: Tables) -> DataFrame:
     """
 
     path = work_dir(t.spark, "option-load")
-    raw = land(spread(raw_options(t)), "option-source")
+    # Line items are dealt out, not the raw rows, which are several times as wide.
+    raw = land(raw_options(t, spread(t("lineitem"))), "option-source")
     rows = N.valid_rows(N.normalize_family(raw, "opprcd"))
     write_layout(rows, path, LAYOUTS["opprcd"])
     loaded = t.spark.read.schema(rows.schema.add("month", "string")).parquet(path)

@@ -6,7 +6,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from panelforge.plans.contracts import LAYOUTS
-from panelforge.sinks.layouts import QUANTILES, _cut, file_report, write_layout
+from panelforge.sinks.layouts import QUANTILES, _cut, file_report, ranged, write_layout
 
 
 def test_bounds_of_one_partition_value():
@@ -51,3 +51,11 @@ def test_empty_table_and_missing_keys(spark, tmp_path):
     assert write_layout(empty, str(tmp_path / "empty"), LAYOUTS["opprcd"]) == 0
     rows = spark.createDataFrame([(date(2020, 1, 1), 5)], "date date, optionid bigint")
     assert write_layout(rows, str(tmp_path / "no-secid"), LAYOUTS["opprcd"]) == 1
+
+
+def test_ranges_are_joined_without_a_shuffle(spark):
+    """A shuffled join would gather all rows of a partition value in one task."""
+
+    df = spark.range(3000).selectExpr("id as secid", "date'2020-01-01' as date", "'202001' as month").rdd.toDF()
+    plan = ranged(df, LAYOUTS["opprcd"], file_rows=100)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
