@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.functions.digests import rows_fingerprint
 from panelforge.plans.contracts import LAYOUTS, Layout, default_sort_columns
-from panelforge.session import land
 
 EPOCH = "1970-01-01"
 # The rows of a file are sorted in one task: so many fit its share of an executor's memory
@@ -169,29 +173,69 @@ def _written(df: DataFrame, path: str, layout: Layout, mode: str, file_rows: int
     return seen.get
 
 
+def _order_breaks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per batch and file split, from rows of (file, split, keys): ``wrong`` neighbours, first and last key."""
+
+    def less(x: pa.Array, y: pa.Array) -> pa.Array:
+        found = pc.less(x, y)
+        return pc.or_(found, pc.and_not(pc.is_nan(y), pc.is_nan(x))) if pa.types.is_floating(x.type) else found
+
+    def same(x: pa.Array, y: pa.Array) -> pa.Array:
+        found = pc.equal(x, y)
+        return pc.or_(found, pc.and_(pc.is_nan(x), pc.is_nan(y))) if pa.types.is_floating(x.type) else found
+
+    for place, batch in enumerate(batches):
+        rows = batch.num_rows
+        if not rows:
+            continue
+        file, split, *keys = batch.columns
+        together = pc.and_(same(file[:-1], file[1:]), same(split[:-1], split[1:])).to_numpy(zero_copy_only=False)
+        wrong, tied = less(keys[0][1:], keys[0][:-1]), same(keys[0][1:], keys[0][:-1])
+        for key in keys[1:]:
+            wrong = pc.or_(wrong, pc.and_(tied, less(key[1:], key[:-1])))
+            tied = pc.and_(tied, same(key[1:], key[:-1]))
+        wrong = np.append(0, wrong.to_numpy(zero_copy_only=False) & together)
+        starts = np.append(0, np.flatnonzero(~together) + 1)
+        ends = np.append(starts[1:] - 1, rows - 1)
+        names = [f"k{i}" for i in range(len(keys))]
+        yield pa.RecordBatch.from_arrays(
+            [
+                file.take(pa.array(starts)), split.take(pa.array(starts)), pa.array(np.full(len(starts), place), pa.int64()),
+                pa.array(np.add.reduceat(wrong, starts), pa.int64()),
+                *[pa.StructArray.from_arrays([k.take(pa.array(at)) for k in keys], names) for at in (starts, ends)],
+            ],
+            ["file", "split", "place", "wrong", "first_key", "last_key"],
+        )
+
+
 def file_report(stored: DataFrame, layout: Layout) -> DataFrame:
     """Per file of a stored table: ``value``, ``file``, ``rows``, ``first``, ``last``, ``unsorted``, ``overlaps``.
 
     ``first`` and ``last`` are the least and greatest leading key. ``unsorted`` counts
-    neighbours that are out of order by the full sort key; they meet by their number, so no
-    file has to be one group. ``overlaps`` tells that the file begins before an earlier one
-    of its partition value ends; files of one single key may follow each other.
+    neighbours that are out of order by the full sort key. They are compared where they are
+    read; a batch leaves one row per file split, whose ends meet those of the next, so no row
+    is shuffled and no file has to be one group. ``overlaps`` tells that the file begins before
+    an earlier one of its partition value ends; files of one single key may follow each other.
     """
 
-    lead, *rest = [c for c in layout.sort_keys if c in stored.columns]
+    present = [c for c in layout.sort_keys if c in stored.columns]
     value = F.col(layout.partition) if layout.partition else F.lit(None).cast("string")
-    rows = land(
-        stored.select(
-            value.alias("value"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"),
-            sort_value(stored, lead).alias("lead"), F.struct(*[sort_value(stored, c) for c in (lead, *rest)]).alias("key"),
-        ),
-        "placed-rows",
+    path = F.col("_metadata.file_path").alias("file")
+    placed = stored.select(
+        path, F.col("_metadata.file_block_start").alias("split"),
+        *[sort_value(stored, c).alias(f"k{i}") for i, c in enumerate(present)],
+    )
+    keys = ", ".join(f"k{i}: {placed.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(present)))
+    pieces = placed.mapInArrow(
+        _order_breaks, f"file string, split bigint, place bigint, wrong bigint, first_key struct<{keys}>, last_key struct<{keys}>"
     )
-    after = rows.select((F.col("place") - 1).alias("place"), F.col("file").alias("next_file"), F.col("key").alias("next_key"))
-    wrong = (F.col("file") == F.col("next_file")) & (F.col("next_key") < F.col("key"))
-    files = rows.join(after, "place", "left").groupBy("value", "file").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("lead").alias("first"), F.max("lead").alias("last"), F.count_if(wrong).alias("unsorted")
+    before = F.lag("last_key").over(Window.partitionBy("file").orderBy("split", "place"))
+    unsorted = pieces.withColumn("_before", before).groupBy("file").agg(
+        (F.sum("wrong") + F.count_if(F.col("first_key") < F.col("_before"))).alias("unsorted")
     )
+    files = stored.select(value.alias("value"), path, sort_value(stored, present[0]).alias("lead")).groupBy("value", "file").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("lead").alias("first"), F.max("lead").alias("last")
+    ).join(unsorted, "file").select("value", "file", "rows", "first", "last", "unsorted")
     earlier = Window.partitionBy("value").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("overlaps", F.coalesce(F.max("last").over(earlier) > F.col("first"), F.lit(False)))
 

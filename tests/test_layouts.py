@@ -5,7 +5,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from panelforge.plans.contracts import LAYOUTS
+from panelforge.plans.contracts import LAYOUTS, Layout
 from panelforge.sinks.layouts import QUANTILES, _cut, file_report, ranged, write_layout
 
 
@@ -59,3 +59,22 @@ def test_ranges_are_joined_without_a_shuffle(spark):
     df = spark.range(3000).selectExpr("id as secid", "date'2020-01-01' as date", "'202001' as month").rdd.toDF()
     plan = ranged(df, LAYOUTS["opprcd"], file_rows=100)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_disorder_is_counted_within_and_across_batches(spark, tmp_path):
+    """By the full key, with no join of the rows; a file of a few batches, NaN counts as greatest."""
+
+    rows = [(1, 2.0), (1, 1.0), (2, float("nan")), (2, 5.0), (3, 0.0), (3, float("nan")), (None, 1.0), (0, 2.0), (9, 1.0), (8, 7.0)]
+    df = spark.createDataFrame(rows, "secid bigint, strike_price double").coalesce(1)
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    for size in ("3", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            report = file_report(stored, Layout(("secid", "strike_price")))
+            (found,) = report.collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        # 2.0 before 1.0, NaN before 5.0, 3 before NULL (counts as 0), 9 before 8
+        assert (found["rows"], found["first"], found["last"], found["unsorted"]) == (10, 0, 9, 4)
+    assert "MapInArrow" in report._jdf.queryExecution().executedPlan().toString()
