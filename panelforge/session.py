@@ -37,6 +37,14 @@ def build_session(app_name: str = "panelforge", master: str | None = None, **ext
     return builder.getOrCreate()
 
 
+def keep_methods_compiled(spark: SparkSession) -> None:
+    """Lower the session's limit for generated methods to the size the JVM compiles, also in a session built elsewhere."""
+
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(name)) > int(SETTINGS[name]):
+        spark.conf.set(name, SETTINGS[name])
+
+
 _owned: ContextVar[str | None] = ContextVar("owned_scratch", default=None)
 
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelforge.session import keep_methods_compiled
+
 
 class Tables:
     """The Parquet tables of one data folder."""
@@ -15,6 +17,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = str(folder).rstrip("/")
+        keep_methods_compiled(spark)
 
     def __call__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

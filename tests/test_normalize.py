@@ -156,3 +156,22 @@ def test_pretty_bytes(spark):
     df = spark.createDataFrame([(v,) for v in values], "b bigint")
     got = [r.p for r in df.select(pretty_bytes(F.col("b")).alias("p")).collect()]
     assert got == ["0 B", "1023 B", "1.00 KiB", "1.12 KiB", "1.25 KiB", "1.00 MiB", "5.12 GiB", "1024.00 GiB"]
+
+
+def test_wide_methods_are_compiled_in_any_session(spark):
+    """A session built elsewhere has Spark's own limit, under which the wide normalization runs interpreted."""
+
+    from panelforge.suite.common import Tables
+
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        spark.conf.set(name, "65535")
+        Tables(spark, "unused")
+        assert spark.conf.get(name) == "8000"
+        spark.conf.set(name, "4000")  # a lower limit stays
+        Tables(spark, "unused")
+        assert spark.conf.get(name) == "4000"
+    finally:
+        spark.conf.set(name, before)
