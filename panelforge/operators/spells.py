@@ -91,8 +91,8 @@ def spell_profile(spells: DataFrame) -> DataFrame:
     )
 
 
-def _stored_profile(spells: DataFrame) -> DataFrame:
-    """The profile, computed once and stored.
+def stored_profile(spells: DataFrame) -> DataFrame:
+    """The profile, computed once and stored; the checks take it in the place of spells.
 
     A join that reads a stored table shuffles it by itself, directly below the join's
     sort, which is the form in which adaptive execution can split a hot key of the edges.
@@ -101,6 +101,10 @@ def _stored_profile(spells: DataFrame) -> DataFrame:
     return land(spell_profile(spells), "spell-profile")
 
 
+def _profile_of(spells: DataFrame) -> DataFrame:
+    return spells if "spans" in spells.columns else stored_profile(spells)
+
+
 def _side_flags(spans: Column, first_year: Column, last_year: Column) -> Column:
     """(any spell in range, any spell with a start in range) for one side."""
 
@@ -149,7 +153,7 @@ def check_person_edges(
     The two persons must differ.
     """
 
-    profile = _stored_profile(spells)
+    profile = _profile_of(spells)
     flagged = _with_side(edges, profile, person_a, organisation, years, "_a")
     flagged = _with_side(flagged, profile, person_b, organisation, years, "_b")
     return flagged.withColumn("matched", _matched(F.col(person_a) != F.col(person_b))).drop("_a", "_b")
@@ -171,8 +175,8 @@ def check_organisation_edges(
     additionally requires the organisations to differ.
     """
 
-    profile_a = _stored_profile(spells_a)
-    profile_b = profile_a if spells_b is spells_a else _stored_profile(spells_b)
+    profile_a = _profile_of(spells_a)
+    profile_b = profile_a if spells_b is spells_a else _profile_of(spells_b)
     flagged = _with_side(edges, profile_a, person, organisation_a, years, "_a")
     flagged = _with_side(flagged, profile_b, person, organisation_b, years, "_b")
     extra = F.col(organisation_a) != F.col(organisation_b) if distinct_organisations else None
@@ -194,7 +198,7 @@ def check_point_event_edges(
     on), which is the ``dated`` flag.
     """
 
-    flagged = _with_side(edges, _stored_profile(spells), person, organisation_a, years, "_a")
+    flagged = _with_side(edges, _profile_of(spells), person, organisation_a, years, "_a")
     event_years = land(
         events.groupBy("person_id", "organisation_id")
         .agg(F.collect_set(F.year("start_date")).alias("event_years"))

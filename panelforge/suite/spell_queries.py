@@ -233,7 +233,8 @@ def checked_associations(t: Tables) -> DataFrame:
         (F.col("event_id") % 30 + 2001).alias("overlapyearstart"),
         (F.col("event_id") % 2 + 2024).alias("overlapyearend"),
     )
-    jobs, activities = spells_of(e, "emp"), spells_of(o, "other")
+    # Both checks look up the same jobs, so their profile is made once.
+    jobs, activities = S.stored_profile(spells_of(e, "emp")), spells_of(o, "other")
     where = ("boardid", "companyid", "directorid", YEARS)
     return S.check_organisation_edges(board, jobs, jobs, *where).unionByName(
         S.check_organisation_edges(activity, jobs, activities, *where)

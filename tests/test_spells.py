@@ -141,3 +141,27 @@ def test_profile_takes_one_shuffle_and_keeps_the_latest_end(spark):
         spans[year] = max(spans.get(year, 0), (end or date(2024, 6, 30)).year)
     got = {(r.person_id, r.organisation_id): {s.start_year: s.end_year for s in r.spans} for r in profile.collect()}
     assert got == want
+
+
+def test_associations_store_each_profile_once(spark, tmp_path, monkeypatch):
+    """The jobs are a side of both checks; their profile is made once, that of the activities once."""
+
+    from panelforge.operators import spells
+    from panelforge.suite import spell_queries as Q
+    from panelforge.suite.common import Tables
+
+    spark.range(1, 9).selectExpr(
+        "id AS o_orderkey", "id % 3 AS o_custkey", "timestamp '1997-01-01 00:00:00' AS o_orderdate", "'1-URGENT' AS o_orderpriority"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(1, 9).selectExpr(
+        "id AS l_orderkey", "id % 4 AS l_partkey", "id % 2 AS l_suppkey", "int(id % 7 + 1) AS l_linenumber",
+        "if(id % 2 = 0, 'A', 'N') AS l_returnflag", "timestamp '1997-03-01 00:00:00' AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(1, 9).selectExpr(
+        "id AS event_id", "id % 3 AS user_id", "if(id % 2 = 0, 'click', 'view') AS event_type", "timestamp '2024-01-01 00:00:00' AS ts"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    made, make = [], spells.spell_profile
+    monkeypatch.setattr(spells, "spell_profile", lambda df: made.append(df) or make(df))
+    rows = Q.association_report(Tables(spark, str(tmp_path))).collect()
+    assert len(made) == 2
+    assert {r.table_name: r.checked_rows for r in rows} == {"listed_assoc": 4, "unlisted_assoc": 4, "nfp_assoc": 8}
