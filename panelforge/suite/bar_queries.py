@@ -10,8 +10,8 @@ from panelforge.plans.contracts import LAYOUTS
 from panelforge.session import work_dir
 from panelforge.sinks.bar_loads import check_folder, load_bars
 from panelforge.sinks.layouts import write_layout
-from panelforge.sources.tables import entry_names, rename_path
 from panelforge.suite.common import Suite, Tables
+from panelforge.suite.filing_queries import landed
 
 suite = Suite()
 ZONE = "America/New_York"
@@ -172,6 +172,8 @@ def bars_layout_written(t: Tables) -> DataFrame:
 # --- a folder of bar files from end to end: text files, load, rejects, report
 
 LINES_PER_FILE = 2000
+# Lines of a task that lands bar files: some 50 files.
+LINES_PER_TASK = 100_000
 
 FOLDER_SQL = f"""{BARS_SQL.strip()}, placed AS (
   SELECT b.*, event_type || (b.event_id // {LINES_PER_FILE}) || '_full_1min_adj.txt' AS file,
@@ -182,7 +184,7 @@ FOLDER_SQL = f"""{BARS_SQL.strip()}, placed AS (
 
 
 def bar_folder(t: Tables) -> str:
-    """The bar lines as text files of a new folder, in the order of their events."""
+    """The bar lines as text files of a new folder, in the order of their events, written by the tasks."""
 
     event = t("events").select("event_id", "event_type")
     named = (
@@ -190,15 +192,8 @@ def bar_folder(t: Tables) -> str:
         .withColumn("file", F.concat("event_type", F.floor(F.col("event_id") / LINES_PER_FILE), F.lit("_full_1min_adj.txt")))
         .select("file", "event_id", "line")
     )
-    staged, folder = work_dir(t.spark, "bar-files-staged"), work_dir(t.spark, "bar-files")
-    # All lines of a file are in one task, so each file folder holds one part.
-    by_file = named.repartition("file").sortWithinPartitions("file", "event_id")
-    by_file.select("file", "line").write.partitionBy("file").text(staged)
-    for entry in entry_names(t.spark, staged):
-        if entry.startswith("file="):
-            part = next(n for n in entry_names(t.spark, f"{staged}/{entry}") if n.startswith("part-"))
-            rename_path(t.spark, f"{staged}/{entry}/{part}", f"{folder}/{entry.removeprefix('file=')}")
-    return folder
+    tasks = max(t.spark.sparkContext.defaultParallelism, -(-event.count() // LINES_PER_TASK))
+    return landed(t, named, "file", "line", order="event_id", tasks=tasks)
 
 
 @suite.register(f"""WITH {FOLDER_SQL}

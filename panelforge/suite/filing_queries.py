@@ -250,7 +250,7 @@ def filing_metadata(t: Tables) -> DataFrame:
 FILES_PER_TASK = 2_000
 
 
-def landed(t: Tables, rows: DataFrame, name: str, text: str) -> str:
+def landed(t: Tables, rows: DataFrame, name: str, text: str, order: str | None = None, tasks: int | None = None) -> str:
     """Write ``text`` of every row to a file called ``name`` in a new folder; rows of one name are lines of one file.
 
     The tasks write the files under their final names. Spark's own writer gives a folder to
@@ -258,17 +258,19 @@ def landed(t: Tables, rows: DataFrame, name: str, text: str) -> str:
     """
 
     folder = work_dir(t.spark, "landed")
-    tasks = max(t.spark.sparkContext.defaultParallelism, -(-rows.count() // FILES_PER_TASK))
+    tasks = tasks or max(t.spark.sparkContext.defaultParallelism, -(-rows.count() // FILES_PER_TASK))
     file_name = F.coalesce(F.col(name), F.lit("__HIVE_DEFAULT_PARTITION__"))
     files = (
-        rows.select(file_name.alias(name), F.coalesce(F.col(text), F.lit("")).alias(text)).repartition(tasks, name)
-        .groupBy(name).agg(F.array_join(F.collect_list(text), "\n").alias(text))
+        rows.select(file_name.alias(name), F.coalesce(F.col(text), F.lit("")).alias(text), *([order] if order else []))
+        .repartition(tasks, name).groupBy(name).agg(F.array_join(lines, "\n").alias(text))
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         for batch in batches:
+    The lines of a file stand in the ``order`` of that column, if one is given.
+
             for title, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with store.open_output_stream(f"{root}/{title}") as file:
                     file.write(f"{body}\n".encode())
@@ -276,6 +278,9 @@ def landed(t: Tables, rows: DataFrame, name: str, text: str) -> str:
 
     files.mapInArrow(write, "files bigint").agg(F.sum("files")).collect()
     return folder
+    lines = F.collect_list(text)
+    if order is not None:
+        lines = F.transform(F.sort_array(F.collect_list(F.struct(order, text))), lambda line: line[text])
 
 
 @suite.register("""

@@ -121,3 +121,25 @@ def test_folder_load_and_check(spark, tmp_path):
         ("BNS_full_1min_adj.txt", 2, "issues found"), ("EMPTY_1min.txt", 0, "OK"), ("ER_U24_1min.txt", 0, "OK")]
     assert sorted((r.line_number, r.column_name, r.issue) for r in issues.collect()) == [
         (3, "timestamp", "empty"), (4, "close", "negative")]
+
+
+def test_bar_files_are_written_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver lists and renames no file; lines keep the order of their events."""
+
+    from panelforge.sources import tables
+    from panelforge.suite import bar_queries as Q
+    from panelforge.suite.common import Tables
+
+    for module in (Q, tables):
+        monkeypatch.setattr(module, "rename_path", None, raising=False)
+    spark.range(5000).selectExpr(
+        "id AS event_id", "if(id % 2 = 0, 'click', 'purchase') AS event_type", "timestamp '2024-01-01 00:00:00' AS ts", "2.5D AS value"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    folder = Q.bar_folder(Tables(spark, str(tmp_path)))
+    lines = spark.read.text(folder).selectExpr("_metadata.file_name AS f", "value")
+    assert {r.f for r in lines.select("f").distinct().collect()} == {
+        f"{kind}{i}_full_1min_adj.txt" for kind in ("click", "purchase") for i in range(3)
+    }
+    last = [r.value.rsplit(",", 1)[1] for r in lines.where("f = 'click1_full_1min_adj.txt'").collect() if r.value.count(",") == 5]
+    ids = [int(v) for v in last if v.strip().isdigit()]
+    assert ids == sorted(ids) and len(ids) > 800
