@@ -115,7 +115,7 @@ FROM ranked WHERE rn <= 25""")
 def holdings_top25(t: Tables) -> DataFrame:
     """The 25 largest holdings per filer (supplier) over all its documents."""
 
-    flat = H.flatten_holdings(holding_documents(t), KEYS)
+    flat = H.flatten_holdings(holding_documents(t), KEYS, columns=["cusip", "value", "ssh_prnamt", "put_call"])
     ties = ["position", "l_orderkey", "l_linenumber", "l_partkey", "ssh_prnamt", "put_call"]
     top = H.holdings_preview(flat, ["l_suppkey"], ties=ties)
     return top.select(
@@ -127,7 +127,7 @@ def holdings_top25(t: Tables) -> DataFrame:
 @suite.register(f"""WITH {HOLDINGS_SQL}
 SELECT l_orderkey, CAST(position AS BIGINT) AS position, CAST(amount AS BIGINT) AS amount FROM holdings""")
 def holdings_sorted(t: Tables) -> DataFrame:
-    flat = land(H.flatten_holdings(holding_documents(t), ["l_orderkey"]), "holdings")
+    flat = land(H.flatten_holdings(holding_documents(t), ["l_orderkey"], columns=["value"]), "holdings")
     ordered = H.holdings_by_value(flat, ["l_orderkey"])
     return ordered.select(
         "l_orderkey", number("position").alias("position"), H.holding_value(F.col("value")).cast("bigint").alias("amount")
@@ -232,7 +232,7 @@ FROM filings f JOIN documents_found d ON f.cik = d.cik LEFT JOIN counts c ON c.c
 JOIN orders ON CAST(o_orderkey AS VARCHAR) = f.cik JOIN customer ON o_custkey = c_custkey
 WHERE f.error IS NULL""")
 def filing_metadata(t: Tables) -> DataFrame:
-    holdings = H.flatten_holdings(holding_documents(t), ["l_orderkey"]).select(
+    holdings = H.flatten_holdings(holding_documents(t), ["l_orderkey"], columns=[]).select(
         F.col("l_orderkey").cast("string").alias("cik")
     )
     names = (
@@ -376,7 +376,7 @@ def holdings_csv_round_trip(t: Tables) -> DataFrame:
     """Flattened holdings written as CSV and read back; empty fields stay empty text."""
 
     path = work_dir(t.spark, "holdings-csv")
-    flat = H.flatten_holdings(holding_documents(t), ["l_orderkey"]).select("l_orderkey", "position", "cusip", "value")
+    flat = H.flatten_holdings(holding_documents(t), ["l_orderkey"], columns=["cusip", "value"])
     write_holdings_csv(flat, path)
     back = read_csv(t.spark, path, "l_orderkey bigint, position bigint, cusip string, value string")
     return back.withColumn("value", F.coalesce("value", F.lit("")))

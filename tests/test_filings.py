@@ -144,3 +144,19 @@ def test_files_are_landed_by_tasks(spark, monkeypatch):
     folder = Q.landed(Tables(spark, "unused"), spark.createDataFrame(rows, "name string, text string"), "name", "text")
     found = {r.file_name: r.xml for r in read_documents(spark, folder, "*.txt").collect()}
     assert found == {f"d{i}.txt": f"text {i}\n" for i in range(50)} | {"d7.txt": "text 7\ntext 7\n", "none.txt": "\n"}
+
+
+def test_only_wanted_fields_are_parsed(spark):
+    """The schema of the parse has the wanted fields alone; rows and failures stay those of the whole parse."""
+
+    assert H.holding_schema([H.HOLDING_FIELDS[2]]) == "infoTable array<struct<`cusip`: array<string>>>"
+    docs = spark.createDataFrame([(1, PREFIXED), (2, "<informationTable/>")], "id int, xml string")
+    whole = H.flatten_holdings(docs, ["id"])
+    for columns in ([], ["cusip"], ["value", "ssh_prnamt", "voting_authority_sole"]):
+        some = H.flatten_holdings(docs, ["id"], columns=columns)
+        names = ["id", "position", *[n for n, _, _ in H.HOLDING_FIELDS if n in columns]]
+        assert some.columns == names
+        assert sorted(some.collect()) == sorted(whole.select(*names).collect())
+    bad = spark.createDataFrame([(1, "<informationTable><infoTable><value>1</cusip></infoTable></informationTable>")], "id int, xml string")
+    with pytest.raises(Exception):
+        H.flatten_holdings(bad, ["id"], columns=[]).collect()
