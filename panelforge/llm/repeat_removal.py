@@ -37,8 +37,6 @@ from panelforge.session import land
 GRAM, MOST_CONTEXTS, WANTED_BITS = 40, 4000, 28
 #: Bytes of contexts that are put into one suffix array, together with whole further anchors.
 ARRAY_BYTES = 1 << 18
-#: Parts into which the offsets of a crowded anchor are cut: the first time, and later.
-FIRST_PARTS, PARTS = 2, 8
 
 PLACES = "gram bigint, context bigint, row bigint, at bigint, before int, after int"
 CONTEXTS = "key bigint, row bigint, start bigint, anchor int, low int, high int, bytes binary"
@@ -231,8 +229,8 @@ def _repeat_spans(least: int):
     return run
 
 
-def _narrow(least: int, parts: int):
-    """Cut contexts into ``parts`` by the offset of a stretch's start from the anchor.
+def _narrow(least: int):
+    """Cut contexts in two by the offset of a stretch's start from the anchor.
 
     A stretch that starts ``o`` bytes before the anchor, low <= o <= high, covers the core
     [-low, least - high) and lies in [-high, least - low). The core's hash is the next key.
@@ -243,7 +241,7 @@ def _narrow(least: int, parts: int):
         for batch in batches:
             out, contents = [], []
             for key, row, start, anchor, low, high, data in zip(*[batch.column(n).to_pylist() for n in names]):
-                for part in np.array_split(np.arange(low, high + 1), min(parts, high - low + 1)):
+                for part in np.array_split(np.arange(low, high + 1), min(2, high - low + 1)):
                     a, b = int(part[0]), int(part[-1])
                     core = data[max(0, anchor - a) : anchor + least - b]
                     if anchor < a or len(core) < least - b + a:
@@ -266,12 +264,13 @@ def _narrow(least: int, parts: int):
 def _spans_of(contexts: DataFrame, least: int) -> list[DataFrame]:
     """Covered spans from contexts that meet by key; crowded keys are narrowed until they fit.
 
-    A stretch reaches far to one side of its anchor at least, so a first cut in two already
-    parts most contexts, and makes two rows of each; what still is crowded is cut finer. After
-    four rounds of narrowing a key stands for one single stretch, so the loop ends.
+    A stretch reaches far to one side of its anchor at least, so a cut in two already parts
+    most contexts. Every round makes two rows at most of a context, and only of those whose
+    key still is crowded. The offsets halve each time, so a key soon stands for one single
+    stretch (after eight rounds for 200 bytes), and the loop ends.
     """
 
-    found, parts = [], FIRST_PARTS
+    found = []
     contexts = land(contexts, "repeat-contexts")
     while True:
         crowded = land(
@@ -290,8 +289,7 @@ def _spans_of(contexts: DataFrame, least: int) -> list[DataFrame]:
         if crowded.isEmpty():
             return found
         crowd = contexts.join(crowded, "key", "left_semi")
-        cut = land(map_arrow(crowd, _narrow(least, parts), f"{CONTEXTS}, content bigint"), "narrowed-contexts")
-        parts = PARTS
+        cut = land(map_arrow(crowd, _narrow(least), f"{CONTEXTS}, content bigint"), "narrowed-contexts")
         # Equal contents are covered whole; one of them stays as a partner for the others.
         copies = land(
             cut.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "start")).alias("one")),
