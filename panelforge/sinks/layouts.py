@@ -174,7 +174,10 @@ def _written(df: DataFrame, path: str, layout: Layout, mode: str, file_rows: int
 
 
 def _order_breaks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch and file split, from rows of (file, split, keys): ``wrong`` neighbours, first and last key."""
+    """Per batch and file split, from rows of (value, file, split, keys): ``count`` of rows, ``wrong`` neighbours, its end keys.
+
+    ``low`` and ``high`` are the least and greatest leading key of those rows.
+    """
 
     def less(x: pa.Array, y: pa.Array) -> pa.Array:
         found = pc.less(x, y)
@@ -188,7 +191,7 @@ def _order_breaks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         rows = batch.num_rows
         if not rows:
             continue
-        file, split, *keys = batch.columns
+        value, file, split, *keys = batch.columns
         together = pc.and_(same(file[:-1], file[1:]), same(split[:-1], split[1:])).to_numpy(zero_copy_only=False)
         wrong, tied = less(keys[0][1:], keys[0][:-1]), same(keys[0][1:], keys[0][:-1])
         for key in keys[1:]:
@@ -197,14 +200,21 @@ def _order_breaks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         wrong = np.append(0, wrong.to_numpy(zero_copy_only=False) & together)
         starts = np.append(0, np.flatnonzero(~together) + 1)
         ends = np.append(starts[1:] - 1, rows - 1)
+        wrong = np.add.reduceat(wrong, starts)
+        # Rows in order have their least and greatest leading key at the ends.
+        low, high = starts.copy(), ends.copy()
+        for i in np.flatnonzero(wrong):
+            order = pc.sort_indices(keys[0][int(starts[i]) : int(ends[i]) + 1])
+            low[i], high[i] = starts[i] + order[0].as_py(), starts[i] + order[-1].as_py()
         names = [f"k{i}" for i in range(len(keys))]
         yield pa.RecordBatch.from_arrays(
             [
-                file.take(pa.array(starts)), split.take(pa.array(starts)), pa.array(np.full(len(starts), place), pa.int64()),
-                pa.array(np.add.reduceat(wrong, starts), pa.int64()),
+                *[c.take(pa.array(starts)) for c in (value, file, split)], pa.array(np.full(len(starts), place), pa.int64()),
+                pa.array(ends - starts + 1, pa.int64()), pa.array(wrong, pa.int64()),
+                *[keys[0].take(pa.array(at)) for at in (low, high)],
                 *[pa.StructArray.from_arrays([k.take(pa.array(at)) for k in keys], names) for at in (starts, ends)],
             ],
-            ["file", "split", "place", "wrong", "first_key", "last_key"],
+            ["value", "file", "split", "place", "count", "wrong", "low", "high", "first_key", "last_key"],
         )
 
 
@@ -212,30 +222,30 @@ def file_report(stored: DataFrame, layout: Layout) -> DataFrame:
     """Per file of a stored table: ``value``, ``file``, ``rows``, ``first``, ``last``, ``unsorted``, ``overlaps``.
 
     ``first`` and ``last`` are the least and greatest leading key. ``unsorted`` counts
-    neighbours that are out of order by the full sort key. They are compared where they are
-    read; a batch leaves one row per file split, whose ends meet those of the next, so no row
-    is shuffled and no file has to be one group. ``overlaps`` tells that the file begins before
+    neighbours that are out of order by the full sort key. All are found where the rows are
+    read, once; a batch leaves one row per file split, whose ends meet those of the next, so no
+    row is shuffled or sorted and no file has to be one group. ``overlaps`` tells that the file begins before
     an earlier one of its partition value ends; files of one single key may follow each other.
     """
 
     present = [c for c in layout.sort_keys if c in stored.columns]
     value = F.col(layout.partition) if layout.partition else F.lit(None).cast("string")
-    path = F.col("_metadata.file_path").alias("file")
     placed = stored.select(
-        path, F.col("_metadata.file_block_start").alias("split"),
+        value.alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
         *[sort_value(stored, c).alias(f"k{i}") for i, c in enumerate(present)],
     )
-    keys = ", ".join(f"k{i}: {placed.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(present)))
+    kinds = {name: field.dataType.simpleString() for name, field in zip(placed.columns, placed.schema)}
+    keys = ", ".join(f"k{i}: {kinds[f'k{i}']}" for i in range(len(present)))
     pieces = placed.mapInArrow(
-        _order_breaks, f"file string, split bigint, place bigint, wrong bigint, first_key struct<{keys}>, last_key struct<{keys}>"
+        _order_breaks,
+        f"value {kinds['value']}, file string, split bigint, place bigint, count bigint, wrong bigint, "
+        f"low {kinds['k0']}, high {kinds['k0']}, first_key struct<{keys}>, last_key struct<{keys}>",
     )
     before = F.lag("last_key").over(Window.partitionBy("file").orderBy("split", "place"))
-    unsorted = pieces.withColumn("_before", before).groupBy("file").agg(
-        (F.sum("wrong") + F.count_if(F.col("first_key") < F.col("_before"))).alias("unsorted")
+    files = pieces.withColumn("_before", before).groupBy("value", "file").agg(
+        F.sum("count").alias("rows"), F.min("low").alias("first"), F.max("high").alias("last"),
+        (F.sum("wrong") + F.count_if(F.col("first_key") < F.col("_before"))).alias("unsorted"),
     )
-    files = stored.select(value.alias("value"), path, sort_value(stored, present[0]).alias("lead")).groupBy("value", "file").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("lead").alias("first"), F.max("lead").alias("last")
-    ).join(unsorted, "file").select("value", "file", "rows", "first", "last", "unsorted")
     earlier = Window.partitionBy("value").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("overlaps", F.coalesce(F.max("last").over(earlier) > F.col("first"), F.lit(False)))
 

@@ -78,3 +78,25 @@ def test_disorder_is_counted_within_and_across_batches(spark, tmp_path):
         # 2.0 before 1.0, NaN before 5.0, 3 before NULL (counts as 0), 9 before 8
         assert (found["rows"], found["first"], found["last"], found["unsorted"]) == (10, 0, 9, 4)
     assert "MapInArrow" in report._jdf.queryExecution().executedPlan().toString()
+
+
+def test_files_are_reported_from_one_read(spark, tmp_path):
+    """No second read, no join or sort of the rows; keys out of order and NaN still give the true ends of a file."""
+
+    parts = {"2020": ["S9", "S10", "S2", None], "2021": ["b", "a", "c", "a", "b"]}
+    rows = [(v, s, i) for v, symbols in parts.items() for i, s in enumerate(symbols)]
+    df = spark.createDataFrame(rows, "year string, symbol string, n int").coalesce(1)
+    df.write.partitionBy("year").parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        report = file_report(spark.read.parquet(str(tmp_path / "t")), Layout(("symbol",), partition="year"))
+        found = {r["value"]: r for r in report.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [tuple(found[2020][c] for c in ("rows", "first", "last", "unsorted", "overlaps"))] == [(4, "", "S9", 2, False)]
+    assert [tuple(found[2021][c] for c in ("rows", "first", "last", "unsorted", "overlaps"))] == [(5, "a", "c", 2, False)]
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("parquet") == 1 and "Join" not in plan
+    spark.createDataFrame([(float(x),) for x in ("2", "nan", "1", "3")], "k double").coalesce(1).write.parquet(str(tmp_path / "nan"))
+    (row,) = file_report(spark.read.parquet(str(tmp_path / "nan")), Layout(("k",))).collect()
+    assert row["first"] == 1.0 and row["last"] != row["last"] and row["unsorted"] == 1
