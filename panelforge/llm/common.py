@@ -3,18 +3,15 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.session import land
+from panelforge.session import land, map_arrow
 
 # Bytes of text that one vectorised step works on; larger single texts are taken whole.
 SLICE_BYTES = 1 << 20
@@ -122,32 +119,3 @@ def filter_rows(df: DataFrame, extra: dict[str, Column], decide) -> DataFrame:
             yield batch.filter(pa.array(mask)).select([n for n in batch.schema.names if n not in names])
 
     return map_arrow(df.withColumns(dict(zip(names, extra.values()))), run, df.schema)
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application.
-
-    Functions that run there import from it; this makes them independent of the folder
-    and the PYTHONPATH that the executors were started with.
-    """
-
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parent.parent
-    path = Path(tempfile.mkdtemp(prefix="panelforge-")) / "panelforge-package.zip"
-    with zipfile.ZipFile(path, "w") as archive:
-        for file in sorted(root.rglob("*.py")):
-            archive.write(file, str(file.relative_to(root.parent)))
-    context.addPyFile(str(path))
-    _shipped.add(context.applicationId)
-
-
-def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow`` for a function of this package."""
-
-    ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)

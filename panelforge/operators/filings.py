@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from panelforge.functions.numbers import strip
+from panelforge.functions.plain_xml import Layout, read_plain, steps
 from panelforge.functions.text import padded_cik
+from panelforge.session import map_arrow
 
 # Report forms, preview size, document element names.
 FILING_FORMS = ("13F-HR", "13F-HR/A")
@@ -60,22 +64,49 @@ def flatten_holdings(
     Namespaces are ignored and a missing element is an empty string. Amount and
     voting fields are read from their group, or from the holding itself when
     the group is absent. A malformed document fails the job. ``columns`` names the
-    output fields that are wanted, all by default: Spark does not prune the schema of
-    a parsed document, and fields without a use cost more than the rest of the parse.
+    output fields that are wanted, all by default.
+
+    Documents of plain build are read many at once (:mod:`panelforge.functions.plain_xml`);
+    all others come through that step as they are and go to ``from_xml``. Spark does not prune
+    the schema of a parsed document, so only wanted fields are in it.
     """
 
     fields = [f for f in HOLDING_FIELDS if columns is None or f[0] in columns]
-    parsed = documents.select(
-        *keys, F.from_xml(F.col(xml), holding_schema(fields or HOLDING_FIELDS[:1]), {"ignoreNamespace": "true", "mode": "FAILFAST"}).alias("d")
+    names = [name for name, _, _ in fields]
+    layout = Layout("infoTable", [(parent, element) for _, parent, element in fields])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, labels = batch.column(len(keys)), [*keys, "position", *names, "_xml"]
+            for low, high in steps(texts):
+                part = batch.slice(low, high - low)
+                others, document, position, columns = read_plain(part.column(len(keys)), layout)
+                for rows, place, found, rest in (
+                    (document, position, columns, False), (others, None, [None] * len(names), True)
+                ):
+                    if not len(rows):
+                        continue
+                    of = part.take(pa.array(rows))
+                    null, place = pa.nulls(len(rows), texts.type), pa.nulls(len(rows), pa.int32()) if place is None else pa.array(place)
+                    found = [null if c is None else c.cast(texts.type) for c in found]
+                    yield pa.RecordBatch.from_arrays([*of.columns[:-1], place, *found, of.columns[-1] if rest else null], labels)
+
+    given = documents.select(*keys, F.col(xml).alias("_xml"))
+    schema = StructType([
+        *[StructField(f.name, f.dataType) for f in given.schema[:-1]], StructField("position", IntegerType()),
+        *[StructField(name, StringType()) for name in [*names, "_xml"]],
+    ])
+    parsed = F.from_xml(F.col("_xml"), holding_schema(fields or HOLDING_FIELDS[:1]), {"ignoreNamespace": "true", "mode": "FAILFAST"})
+    # The outer form keeps the plain documents' rows, and the optimizer from adding a size
+    # test below the explode, which would parse a document a second time.
+    exploded = map_arrow(given, read, schema).select(
+        *keys, "position", *names, F.posexplode_outer(F.when(F.col("_xml").isNotNull(), parsed["infoTable"])).alias("_position", "_h")
     )
-    # The outer form keeps the optimizer from adding a size test below the
-    # explode, which would parse every document a second time.
-    exploded = parsed.select(*keys, F.posexplode_outer("d.infoTable").alias("position", "h")).where(
-        F.col("position").isNotNull()
+    place = F.coalesce("position", "_position")
+    return exploded.where(place.isNotNull()).select(
+        *keys, place.alias("position"), *[F.coalesce(F.col(n), c).alias(n) for n, c in zip(names, _fields(F.col("_h"), fields))]
     )
 
-    return exploded.select(*keys, "position", *_fields(F.col("h"), fields))
-
 
 def _fields(holding: Column, fields: Sequence[tuple[str, str | None, str]] = HOLDING_FIELDS) -> list[Column]:
     """The output columns of one parsed holding."""

@@ -31,10 +31,6 @@ def padded(number: Column, width: int) -> Column:
     return F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
 
 
-def _tag(prefix: Column, name: str, text: Column) -> Column:
-    return F.concat(F.lit("<"), prefix, F.lit(f"{name}>"), text, F.lit("</"), prefix, F.lit(f"{name}>"))
-
-
 def holding_documents(t: Tables) -> DataFrame:
     """One XML document per line item.
 
@@ -43,42 +39,49 @@ def holding_documents(t: Tables) -> DataFrame:
     the amount directly under the holding, flag R has no put/call field.
     """
 
-    flag = F.col("l_returnflag")
-    p = F.when(flag == "A", "n1:").otherwise("")
-    part = F.col("l_partkey")
-
-    def entry(i: Column) -> Column:
-        rest = F.lpad((part % 1000).cast("string"), 3, "0")
-        value = F.when(i == 3, "").when(i % 2 == 0, F.concat(i.cast("string"), F.lit(","), rest)).otherwise(
-            F.concat(i.cast("string"), rest)
-        )
-        amount = F.concat(
-            _tag(p, "sshPrnamt", (F.col("l_quantity").cast("bigint") + i).cast("string")),
-            _tag(p, "sshPrnamtType", F.lit("SH")),
-        )
-        return F.concat(
-            F.lit("<"), p, F.lit("infoTable>"),
-            _tag(p, "nameOfIssuer", F.concat(F.lit(" Issuer "), part.cast("string"), F.lit(" &amp; Co "))),
-            _tag(p, "cusip", padded(part, 9)),
-            _tag(p, "value", value),
-            F.when(flag == "N", amount).otherwise(_tag(p, "shrsOrPrnAmt", amount)),
-            F.when(flag != "R", _tag(p, "putCall", F.lit("Put"))).otherwise(""),
-            _tag(p, "votingAuthority", F.concat(_tag(p, "Sole", i.cast("string")), _tag(p, "None", F.lit("0")))),
-            F.lit("</"), p, F.lit("infoTable>"),
+    flag, part, lines = F.col("l_returnflag"), F.col("l_partkey"), F.col("l_linenumber")
+    quantity = F.col("l_quantity").cast("bigint")
+
+    def document(p: str, space: str, bare: bool, put: bool) -> Column:
+        # Spark interprets what stands in a lambda, piece by piece, so each entry is cut into the
+        # part that depends on its number and the rest, which joins the entries of a document.
+        group, end = ("", "") if bare else (f"<{p}shrsOrPrnAmt>", f"</{p}shrsOrPrnAmt>")
+        choice = f"<{p}putCall>Put</{p}putCall>" if put else ""
+
+        def entry(i: Column) -> Column:
+            number = i.cast("string")
+            value = F.when(i == 3, "").when(i % 2 == 0, F.concat(number, F.lit(","), "_rest")).otherwise(F.concat(number, "_rest"))
+            return F.concat(
+                value, F.lit(f"</{p}value>{group}<{p}sshPrnamt>"), (quantity + i).cast("string"),
+                F.lit(f"</{p}sshPrnamt><{p}sshPrnamtType>SH</{p}sshPrnamtType>{end}{choice}<{p}votingAuthority><{p}Sole>"), number,
+            )
+
+        head = F.concat(
+            F.lit(f"<{p}infoTable><{p}nameOfIssuer>"), "_name", F.lit(f"</{p}nameOfIssuer><{p}cusip>"), "_cusip", F.lit(f"</{p}cusip><{p}value>")
         )
+        tail = F.lit(f"</{p}Sole><{p}None>0</{p}None></{p}votingAuthority></{p}infoTable>")
+        entries = F.call_function("array_join", F.transform(F.sequence(F.lit(1), lines), entry), F.concat(tail, head))
+        # An entry with a null in it is none, and all entries of a document share their nulls.
+        body = F.when(part.isNull() | quantity.isNull(), F.when(lines.isNotNull(), "")).otherwise(F.concat(head, entries, tail))
+        return F.concat(F.lit(f'<?xml version="1.0"?><{p}informationTable {space}>'), body, F.lit(f"</{p}informationTable>"))
 
-    body = F.array_join(F.transform(F.sequence(F.lit(1), F.col("l_linenumber")), entry), "")
-    space = F.when(flag == "A", ' xmlns:n1="urn:holdings"').otherwise(' xmlns="urn:holdings"')
+    plain = 'xmlns="urn:holdings"'
     # Rendering and parsing XML is heavy per row, so the rows are dealt out first; a
     # real landing folder is already split over many files.
     columns = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
     rows = spread(t("lineitem").select(*columns))
+    digits = part.cast("string")
+    rows = rows.select(
+        *columns, F.concat(F.lit(" Issuer "), digits, F.lit(" &amp; Co ")).alias("_name"), padded(part, 9).alias("_cusip"),
+        F.lpad((part % 1000).cast("string"), 3, "0").alias("_rest"),
+    )
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        F.concat(
-            F.lit('<?xml version="1.0"?><'), p, F.lit("informationTable"), space, F.lit(">"), body,
-            F.lit("</"), p, F.lit("informationTable>"),
-        ).alias("xml"),
+        F.when(flag == "A", document("n1:", 'xmlns:n1="urn:holdings"', False, True))
+        .when(flag == "N", document("", plain, True, True))
+        .when(flag != "R", document("", plain, False, True))
+        .otherwise(document("", plain, False, False))
+        .alias("xml"),
     )
 
 
