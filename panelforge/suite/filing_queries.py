@@ -130,11 +130,11 @@ def holdings_top25(t: Tables) -> DataFrame:
 @suite.register(f"""WITH {HOLDINGS_SQL}
 SELECT l_orderkey, CAST(position AS BIGINT) AS position, CAST(amount AS BIGINT) AS amount FROM holdings""")
 def holdings_sorted(t: Tables) -> DataFrame:
-    flat = land(H.flatten_holdings(holding_documents(t), ["l_orderkey"], columns=["value"]), "holdings")
-    ordered = H.holdings_by_value(flat, ["l_orderkey"])
-    return ordered.select(
-        "l_orderkey", number("position").alias("position"), H.holding_value(F.col("value")).cast("bigint").alias("amount")
-    )
+    flat = H.flatten_holdings(holding_documents(t), ["l_orderkey"], columns=["value"])
+    amount = H.holding_value(F.col("value")).cast("bigint")
+    valued = land(flat.select("l_orderkey", "position", amount.alias("amount")), "holdings")
+    ordered = H.holdings_by_value(valued, ["l_orderkey"], "amount")
+    return ordered.select("l_orderkey", number("position").alias("position"), "amount")
 
 
 # --- submission feeds: parallel arrays of one to four reports per filer

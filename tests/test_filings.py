@@ -42,6 +42,23 @@ def test_value_order(spark):
         df.select(H.holding_value(F.lit("12.5"))).collect()
 
 
+def test_value_is_a_number_before_the_sort(spark):
+    """No comparison of the sort works the number out again; every spelling keeps its value and its place."""
+
+    texts = ["7", "1,000", "", " +1_0 ", "-3", "9" * 18, "9" * 19, "9" * 38, "007", "5\n", "0", "-0"]
+    numbers = [7, 1000, -1, 10, -3, 10**18 - 1, 10**19 - 1, 10**38 - 1, 7, 5, 0, 0]
+    df = spark.createDataFrame([(1, t, i) for i, t in enumerate(texts)], "id int, value string, position int")
+    ordered = H.holdings_by_value(df, ["id"])
+    sort = next(line for line in ordered._jdf.queryExecution().toString().split("== Physical Plan ==")[1].splitlines() if "Sort [" in line)
+    assert "replace" not in sort and "RLIKE" not in sort.upper()
+    assert ordered.columns == df.columns
+    expected = sorted(range(len(texts)), key=lambda i: (-numbers[i], i))
+    assert [r.position for r in ordered.collect()] == expected
+    valued = df.withColumn("amount", H.holding_value(F.col("value")))
+    assert [int(r.amount) for r in valued.orderBy("position").collect()] == numbers
+    assert [r.position for r in H.holdings_by_value(valued, ["id"], "amount").collect()] == expected
+
+
 def test_latest_filing_and_document(spark, tmp_path):
     feed = {"cik": "1067983", "filings": {"recent": {
         "form": ["4", "13F-HR/A", "13F-HR"], "accessionNumber": ["1-1-1", "0001-24-02", "x"],
