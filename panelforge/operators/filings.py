@@ -165,14 +165,21 @@ def holdings_by_value(holdings: DataFrame, keys: list[str], amount: str | None =
 def holdings_preview(
     holdings: DataFrame, keys: list[str], rows: int = PREVIEW_ROWS, ties: Sequence[str] = ("position",)
 ) -> DataFrame:
-    """Top holdings per filing with their rank; cut per input partition before the shuffle."""
+    """Top holdings per filing with their rank; cut per input partition before the shuffle.
 
-    ranked = Window.partitionBy(*keys).orderBy(F.col("_value").desc(), *ties)
+    The sorts compare a 64-bit number first, which holds the value up to its own bounds; only
+    where it is equal do they compare the decimal, which has to be made anew each time.
+    """
+
+    value, bound = F.col("_value"), 1 << 62
+    near = F.when(value > bound, bound).when(value < -bound, -bound).otherwise(value.cast("bigint"))
+    ranked = Window.partitionBy(*keys).orderBy(F.col("_near").desc(), value.desc(), *ties)
     return (
         holdings.withColumn("_value", holding_value(F.col("value")))
+        .withColumn("_near", near)
         .withColumn("value_rank", F.row_number().over(ranked))
         .where(F.col("value_rank") <= rows)
-        .drop("_value")
+        .drop("_value", "_near")
     )
 
 

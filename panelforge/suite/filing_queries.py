@@ -31,7 +31,12 @@ def padded(number: Column, width: int) -> Column:
     return F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
 
 
-def holding_documents(t: Tables) -> DataFrame:
+# Rows of a task that takes documents by filer: the sample for their ranges, some 300 rows a task,
+# stays small beside the driver.
+ROWS_BY_FILER = 100_000
+
+
+def holding_documents(t: Tables, by_filer: bool = False) -> DataFrame:
     """One XML document per line item.
 
     Entry i has value i * 1000 + part % 1000, written with a comma when i is
@@ -69,7 +74,9 @@ def holding_documents(t: Tables) -> DataFrame:
     # Rendering and parsing XML is heavy per row, so the rows are dealt out first; a
     # real landing folder is already split over many files.
     columns = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
-    rows = spread(t("lineitem").select(*columns))
+    # With ``by_filer`` a task gets a filer's documents together.
+    rows = t("lineitem").select(*columns)
+    rows = spread(rows, ROWS_BY_FILER, ["l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]) if by_filer else spread(rows)
     digits = part.cast("string")
     rows = rows.select(
         *columns, F.concat(F.lit(" Issuer "), digits, F.lit(" &amp; Co ")).alias("_name"), padded(part, 9).alias("_cusip"),
@@ -118,7 +125,7 @@ FROM ranked WHERE rn <= 25""")
 def holdings_top25(t: Tables) -> DataFrame:
     """The 25 largest holdings per filer (supplier) over all its documents."""
 
-    flat = H.flatten_holdings(holding_documents(t), KEYS, columns=["cusip", "value", "ssh_prnamt", "put_call"])
+    flat = H.flatten_holdings(holding_documents(t, by_filer=True), KEYS, columns=["cusip", "value", "ssh_prnamt", "put_call"])
     ties = ["position", "l_orderkey", "l_linenumber", "l_partkey", "ssh_prnamt", "put_call"]
     top = H.holdings_preview(flat, ["l_suppkey"], ties=ties)
     return top.select(

@@ -59,6 +59,39 @@ def test_value_is_a_number_before_the_sort(spark):
     assert [r.position for r in H.holdings_by_value(valued, ["id"], "amount").collect()] == expected
 
 
+def test_preview_of_large_values(spark):
+    """Values beyond 64 bits keep their order among themselves and around the others."""
+
+    texts = ["5", "9" * 38, "-" + "9" * 38, "9" * 19, "9" * 20, "-" + "9" * 19, str(1 << 62), "4", "5"]
+    df = spark.createDataFrame([(1, t, i) for i, t in enumerate(texts)], "id int, value string, position int")
+    rows = H.holdings_preview(df, ["id"], 8).orderBy("value_rank").collect()
+    assert [r.position for r in rows] == sorted(range(len(texts)), key=lambda i: (-int(texts[i]), i))[:8]
+    assert df.columns + ["value_rank"] == H.holdings_preview(df, ["id"], 8).columns
+
+
+def test_filers_meet_in_a_task_before_the_cut(spark, tmp_path, monkeypatch):
+    """Nearly every filer has its documents in one task; a crowded one is cut, and the top 25 stay those of all its documents."""
+
+    from panelforge.suite import filing_queries as Q
+    from panelforge.suite.common import Tables
+
+    rows = [(i, 1, i * 37 % 1000, i % 60 if i % 3 else 7, 1.0, "N") for i in range(3000)]
+    spark.createDataFrame(
+        rows, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_returnflag string"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(Q, "ROWS_BY_FILER", 100)
+    t = Tables(spark, str(tmp_path))
+    pairs = Q.holding_documents(t, by_filer=True).select("l_suppkey", F.spark_partition_id().alias("p")).distinct().collect()
+    assert len(pairs) <= 60 + 30 and sum(r.l_suppkey == 7 for r in pairs) > 5
+    got = {}
+    for r in Q.holdings_top25(t).orderBy("l_suppkey", "value_rank").collect():
+        got.setdefault(r.l_suppkey, []).append(r.l_orderkey)
+    docs = {}
+    for order, _, part, filer, _, _ in rows:
+        docs.setdefault(filer, []).append((-(1000 + part), order))
+    assert got == {filer: [order for _, order in sorted(found)[:25]] for filer, found in docs.items()}
+
+
 def test_latest_filing_and_document(spark, tmp_path):
     feed = {"cik": "1067983", "filings": {"recent": {
         "form": ["4", "13F-HR/A", "13F-HR"], "accessionNumber": ["1-1-1", "0001-24-02", "x"],
